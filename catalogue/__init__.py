@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "warehouse")
+MODULES = ("scalars", "warehouse", "changes", "checks", "feeds")
 
 
 def load() -> None:

@@ -19,6 +19,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._built: dict[str, DataFrame] = {}
+
+    def once(self, name: str, build: Callable[["Tables"], DataFrame]) -> DataFrame:
+        """A derived table, planned once per query however often it is used."""
+        if name not in self._built:
+            self._built[name] = build(self)
+        return self._built[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -182,7 +182,7 @@ def bucketize(t: Tables):
     "date_diffs",
     "C13 C14 C15",
     """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, l_partkey, l_suppkey,
   cast(floor(date_diff('day', cast(o_orderdate AS date), cast(l_shipdate AS date)) / 365.0) AS bigint) AS years_by_days,
   cast(extract(year FROM age(cast(l_shipdate AS date), cast(o_orderdate AS date))) AS bigint) AS years_by_calendar,
   cast(floor(date_diff('day', cast(o_orderdate AS date), cast(l_shipdate AS date)) / 7.0) AS bigint) AS weeks
@@ -225,7 +225,7 @@ SELECT d AS order_day, count(*) AS order_count, year(d) * 10000 + month(d) * 100
   quarter(d) AS quarter, month(d) AS month, strftime(d, '%B') AS month_name, week(d) AS week, day(d) AS day,
   strftime(d, '%A') AS day_name, dayofweek(d) AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend,
   CASE WHEN month(d) >= 7 THEN year(d) ELSE year(d) - 1 END AS fiscal_year,
-  CASE WHEN month(d) >= 10 THEN 2 WHEN month(d) >= 7 THEN 1 WHEN month(d) >= 4 THEN 4 ELSE 3 END AS fiscal_quarter
+  cast(CASE WHEN month(d) >= 10 THEN 2 WHEN month(d) >= 7 THEN 1 WHEN month(d) >= 4 THEN 4 ELSE 3 END AS bigint) AS fiscal_quarter
 FROM (SELECT cast(o_orderdate AS date) AS d FROM orders) x GROUP BY d""".replace("d AS order_day", "cast(d AS varchar) AS order_day"),
 )
 def date_parts(t: Tables):
@@ -277,7 +277,7 @@ _PAID = "cast(floor(l_extendedprice * 0.75) as decimal(15,2))"
     "money_columns",
     "C17 C18",
     f"""
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(total_discount AS double) AS total_discount,
+SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, l_partkey, l_suppkey, cast(total_discount AS double) AS total_discount,
   cast(gross - total_discount AS double) AS net_amount, cast(gross - total_discount - paid AS double) AS balance_amount,
   {pct("paid", "cast(gross - total_discount AS double)")} AS payment_ratio,
   gross - total_discount - paid <= 0 AS is_fully_paid

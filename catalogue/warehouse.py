@@ -234,7 +234,9 @@ _STUDENT_OUT = """student_key, student_id, full_name, cast(date_of_birth AS varc
 
 
 def departments(t: Tables) -> DataFrame:
-    return uni.dim_department(silver(t, "departments"), AS_OF, stamp=STAMP)
+    return t.once(
+        "dim_department", lambda t: uni.dim_department(silver(t, "departments"), AS_OF, stamp=STAMP)
+    )
 
 
 def semesters(t: Tables) -> DataFrame:
@@ -246,7 +248,7 @@ def courses(t: Tables) -> DataFrame:
 
 
 def students(t: Tables) -> DataFrame:
-    return uni.dim_student(silver(t, "students"), departments(t), AS_OF)
+    return t.once("dim_student", lambda t: uni.dim_student(silver(t, "students"), departments(t), AS_OF))
 
 
 @query(
@@ -350,7 +352,7 @@ def surrogate_keys_incremental(t: Tables):
 
 
 _LOOKUP_SQL = """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, p_partkey * 10 AS part_key,
+SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber, l_partkey, l_suppkey, l_quantity, p_partkey * 10 AS part_key,
   s_suppkey + 1000 AS supplier_key
 FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN NULL WHEN l_linenumber = 1 THEN -1 ELSE l_partkey END AS pk FROM lineitem) l
 LEFT JOIN part ON pk = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal > 0"""
@@ -392,7 +394,7 @@ def lookup_keys_hot_values(t: Tables):
 @query(
     "lookup_without_dimension",
     "J3",
-    "SELECT n_nationkey, n_name, cast(NULL AS bigint) AS department_key FROM nation",
+    "SELECT cast(n_nationkey AS bigint) AS n_nationkey, n_name, cast(NULL AS bigint) AS department_key FROM nation",
 )
 def lookup_without_dimension(t: Tables):
     return lookup.lookup_key(t.nation, None, "n_nationkey", "department_key").drop("n_regionkey")
@@ -439,7 +441,7 @@ _DAY_COLUMNS = """
   quarter(d) AS quarter, month(d) AS month, strftime(d, '%B') AS month_name, week(d) AS week, day(d) AS day,
   strftime(d, '%A') AS day_name, dayofweek(d) AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend,
   CASE WHEN month(d) >= 7 THEN year(d) ELSE year(d) - 1 END AS fiscal_year,
-  CASE WHEN month(d) >= 10 THEN 2 WHEN month(d) >= 7 THEN 1 WHEN month(d) >= 4 THEN 4 ELSE 3 END AS fiscal_quarter"""
+  cast(CASE WHEN month(d) >= 10 THEN 2 WHEN month(d) >= 7 THEN 1 WHEN month(d) >= 4 THEN 4 ELSE 3 END AS bigint) AS fiscal_quarter"""
 
 
 @query(
@@ -478,9 +480,9 @@ _LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_e
     "dedup_latest",
     "W1",
     f"""
-SELECT {_LINE_COLUMNS}, cast(l_shipdate AS varchar) AS l_shipdate FROM (
+SELECT * REPLACE (cast(l_linenumber AS bigint) AS l_linenumber) FROM (SELECT {_LINE_COLUMNS}, cast(l_shipdate AS varchar) AS l_shipdate FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_extendedprice DESC,
-    l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM lineitem) x WHERE rn = 1""",
+    l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM lineitem) x WHERE rn = 1) y""",
 )
 def dedup_latest(t: Tables):
     latest = dedup.keep_latest(

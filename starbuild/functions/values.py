@@ -74,13 +74,12 @@ def with_money_columns(
     total = sum((F.coalesce(F.col(d).cast(money), F.lit(0).cast(money)) for d in deductions), F.lit(0).cast(money))
     net = F.col(gross).cast(money) - total
     paid_amount = F.col(paid).cast(money)
-    # the ratio is taken in double: a decimal quotient would be cut to a narrow scale first
     return df.withColumns(
         {
             "total_discount": total.cast(money),
             "net_amount": net.cast(money),
             "balance_amount": (net - paid_amount).cast(money),
-            "payment_ratio": percentage(paid_amount.cast("double"), net.cast("double")).cast(ratio),
+            "payment_ratio": percentage(paid_amount, net).cast(ratio),
         }
     )
 
@@ -100,14 +99,14 @@ def row_hash(*columns: Column) -> Column:
 
 def rate(condition: Column, digits: int = 2) -> Column:
     """Aggregate: percentage of all rows of the group for which the condition holds."""
-    return percentage(F.count_if(condition).cast("double"), F.count(F.lit(1)).cast("double"), digits)
+    return percentage(F.count_if(condition), F.count(F.lit(1)), digits)
 
 
 def exact_avg(c: Column, digits: int = 2, exact_type: str = "decimal(18,4)") -> Column:
-    """Aggregate: rounded mean whose value does not depend on the order of summation.
+    """Aggregate: rounded mean that does not depend on the order of summation.
 
-    The sum is taken in decimal and divided once, so partial sums arriving in any
-    order (or re-run after a lost executor) give the same last digit.
+    Sum and quotient are decimal, so partial sums arriving in any order (or re-run after
+    a lost executor) give the same last digit, and a tie rounds up.
     """
     exact = c.cast(exact_type)
-    return F.round(F.try_divide(F.sum(exact).cast("double"), F.count(exact)), digits)
+    return F.round(F.try_divide(F.sum(exact), F.count(exact).cast("decimal(20,0)")), digits)

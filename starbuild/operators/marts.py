@@ -71,7 +71,7 @@ def financial_summary(facts: DataFrame) -> DataFrame:
         F.sum("discount_amount").alias("total_discounts"),
         F.sum("paid_amount").alias("total_collected"),
         F.sum("remaining_amount").alias("total_outstanding"),
-        percentage(F.sum("paid_amount").cast("double"), F.sum("net_amount").cast("double")).alias("collection_rate"),
+        percentage(F.sum("paid_amount"), F.sum("net_amount")).alias("collection_rate"),
         F.count_distinct("student_key").alias("student_count"),
         exact_avg(F.col("tuition_amount")).alias("avg_tuition_per_student"),
     )
