@@ -28,7 +28,9 @@ class Tables:
         return self._built[name]
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return self.once(name, lambda t: t.spark.read.parquet(f"{t.folder}/{name}.parquet"))
 
 
 def query(name: str, operators: str, sql: str | None = None):

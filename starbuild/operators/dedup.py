@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
+    """Whether a row lacks one of the key columns."""
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
@@ -22,7 +23,7 @@ def _split_null_keys(df: DataFrame, keys: Sequence[str], null_keys: str) -> tupl
         raise ValueError(f"unknown null_keys mode: {null_keys}")
     if null_keys == "group":
         return df, None
-    missing = _any_null(keys)
+    missing = any_null(keys)
     return df.where(~missing), df.where(missing) if null_keys == "keep" else None
 
 
@@ -79,7 +80,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "input") -> Da
     """
     order = F.xxhash64(*[F.col(c) for c in df.columns])
     window = Window.partitionBy(*keys).orderBy(order)
-    missing = _any_null(keys)
+    missing = any_null(keys)
     message = f"{what}: more than one row for a value of {', '.join(keys)}"
     repeated = F.col("__copy") > 1
     checked = (

@@ -83,7 +83,8 @@ def lookup_key_skewed(
     marked = df.drop(as_name).join(F.broadcast(heavy_side), F.col(column) == F.col("__hot"), "left").withColumn(
         "__slot", slot
     )
-    cold = side.withColumn("__zero", F.lit(0).cast("bigint"))
+    # always 0, but not as a literal: Spark would fold that and partition the join by the key alone
+    cold = side.withColumn("__zero", F.pmod(F.xxhash64("__nk"), F.lit(1)))
     joined = marked.join(cold, (F.col(column) == F.col("__nk")) & (F.col("__slot") == F.col("__zero")), "left")
     return joined.withColumn(as_name, F.coalesce("__hot_key", "__key")).drop(
         "__hot", "__hot_key", "__slot", "__nk", "__key", "__zero"

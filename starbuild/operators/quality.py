@@ -158,8 +158,9 @@ def failed_rows(condition: Column, below_percent: float, name: str, columns: Seq
 def references(column: str, parent: DataFrame, key: str) -> Check:
     """Every non-NULL value exists in the parent table."""
     return Check(
-        "referential", column, "0 orphans", F.count(F.lit(1)), lambda n: n == 0, (column,), parent=(parent, key)
-    )
+        "referential", column, "0 orphans", F.coalesce(F.sum("__n"), F.lit(0)), lambda n: n == 0, (column,),
+        parent=(parent, key),
+    )
 
 
 def _row(check: Check, value: Column, passed: Column, table: str, at: Column, batch: str | None) -> Column:
@@ -200,10 +201,13 @@ def run_checks(
             metrics = repeated.agg(F.count_if(F.col("n") > 1).alias("m0"))
         else:
             parent, key = check.parent
-            loose = df.where(F.col(check.column).isNotNull()).select(F.col(check.column).alias("__fk"))
+            # counted per value first: a hot value reaches the join as one row per task
+            values = df.where(F.col(check.column).isNotNull()).groupBy(F.col(check.column).alias("__fk"))
             known = parent.select(F.col(key).alias("__pk"))
-            metrics = loose.join(known, F.col("__fk") == F.col("__pk"), "left_anti").agg(
-                check.metric.alias("m0")
+            metrics = (
+                values.agg(F.count(F.lit(1)).alias("__n"))
+                .join(known, F.col("__fk") == F.col("__pk"), "left_anti")
+                .agg(check.metric.alias("m0"))
             )
         parts.append((metrics, [(check, F.col("m0"))]))
     if absent:

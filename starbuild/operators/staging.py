@@ -20,8 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_FOLDER_SETTING} to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="starbuild-")
-        spark.conf.set(_FOLDER_SETTING, base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starbuild-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/starbuild/{spark.sparkContext.applicationId}"
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.operators import calendar, marts, merge, quality
+from starbuild.operators import calendar, dedup, marts, merge, quality
 from starbuild.operators.staging import discard_staged
 from starbuild.plans import university as uni
 from starbuild.plans.specs import EntitySpec
@@ -130,10 +130,12 @@ class Warehouse:
         raw = self.bronze(entity)
         if recent_days is None or not self.lake.exists("silver", entity.silver_table):
             return uni.silver(raw, entity, self.run_at)
-        recent = merge.recent_rows(raw, "_ingested_at", self.as_of, recent_days)
-        fresh = uni.silver(recent, entity, self.run_at)
-        before = self.lake.read("silver", entity.silver_table)
-        return merge.upsert(before, fresh, entity.keys, check_unique=False)
+        keyless = dedup.any_null(entity.keys)
+        recent = merge.recent_rows(raw.where(~keyless), "_ingested_at", self.as_of, recent_days)
+        before = self.lake.read("silver", entity.silver_table, where=~keyless)
+        merged = merge.upsert(before, uni.silver(recent, entity, self.run_at), entity.keys, check_unique=False)
+        # rows without a key cannot be merged; they are taken afresh from all batches
+        return merged.unionByName(uni.silver(raw.where(keyless), entity, self.run_at))
 
     def silver(self, name: str) -> DataFrame:
         return self.lake.read("silver", f"stg_{name}")
