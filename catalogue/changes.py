@@ -49,7 +49,7 @@ for _name, _day in (("snap1", FIRST), ("snap2", SECOND), ("snap3", LATER)):
 SELECT o_custkey AS customer_id, o_orderpriority AS last_priority, nullif(o_orderstatus, 'P') AS last_status,
   cast(o_orderdate AS date) AS last_order_day FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-  FROM orders WHERE o_orderdate <= DATE '{_day}') x WHERE rn = 1""",
+  FROM orders WHERE o_orderdate <= DATE '{_day}' AND o_custkey IS NOT NULL) x WHERE rn = 1""",
     )
 cte(
     "dim1",

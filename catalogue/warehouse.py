@@ -85,8 +85,9 @@ cte(
 SELECT transaction_id, student_id, semester_id, tuition_amount, scholarship_amount, discount_amount, total_discount,
   net_amount, paid_amount, net_amount - paid_amount AS balance_amount, try_cast(payment_date AS date) AS payment_date,
   payment_method, {pct("paid_amount", "cast(net_amount AS double)")} AS payment_ratio, status,
-  coalesce(net_amount >= 0, false) AS is_valid,
-  CASE WHEN coalesce(net_amount >= 0, false) THEN '' ELSE 'Negative net amount' END AS validation_errors
+  student_id IS NOT NULL AND coalesce(net_amount >= 0, false) AS is_valid,
+  CASE WHEN student_id IS NULL THEN 'Missing student_id' WHEN coalesce(net_amount >= 0, false) THEN ''
+    ELSE 'Negative net amount' END AS validation_errors
 FROM (SELECT *, tuition_amount - total_discount AS net_amount FROM (
   SELECT *, coalesce(scholarship_amount, 0) + coalesce(discount_amount, 0) AS total_discount FROM b_tuition) a) b""",
     "b_tuition",
@@ -338,16 +339,17 @@ def surrogate_keys(t: Tables):
     "D2",
     """
 WITH old AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS customer_key FROM (
-    SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < DATE '1995-07-01') a),
-now AS (SELECT o_custkey, count(*) AS order_count FROM orders GROUP BY o_custkey)
+    SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < DATE '1995-07-01' AND o_custkey IS NOT NULL) a),
+now AS (SELECT o_custkey, count(*) AS order_count FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
 SELECT coalesce(customer_key, (SELECT max(customer_key) FROM old) +
     row_number() OVER (PARTITION BY customer_key IS NULL ORDER BY now.o_custkey)) AS customer_key,
   now.o_custkey, order_count FROM now LEFT JOIN old ON now.o_custkey = old.o_custkey""",
 )
 def surrogate_keys_incremental(t: Tables):
-    early = t.orders.where(F.col("o_orderdate") < F.lit("1995-07-01").cast("date")).select("o_custkey").distinct()
+    known = t.orders.where(F.col("o_custkey").isNotNull())
+    early = known.where(F.col("o_orderdate") < F.lit("1995-07-01").cast("date")).select("o_custkey").distinct()
     existing = keys.assign_keys(early, ["o_custkey"], "customer_key")
-    now = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("order_count"))
+    now = known.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("order_count"))
     return keys.assign_keys(now, ["o_custkey"], "customer_key", existing)
 
 
