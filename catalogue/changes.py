@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.registry import Tables, cte, query, with_ctes
+from catalogue.standins import DAYS, STAMP
+from catalogue.warehouse import courses, semesters, silver, students
 from starbuild.operators import dedup, keys, lookup, merge, scd2
+from starbuild.plans import university as uni
 
 FIRST, SECOND, LATER = "1998-01-01", "2000-01-01", "2001-01-01"
 NATURAL, TRACKED = ["customer_id"], ["last_priority", "last_status"]
@@ -299,3 +302,35 @@ def incremental_merge_partitions(t: Tables):
         (F.col("o_orderdate") >= F.lit("2000-06-01").cast("date")) & (F.col("o_orderstatus") == "F")
     ).select("o_orderkey", "order_year", (F.col("o_totalprice") / 2).alias("amount"))
     return merge.upsert_partitions(target, updates, ["o_orderkey"], ["order_year"])
+
+
+cte(
+    "facts_then",
+    "SELECT f.* FROM f_enrollment f JOIN s_enrollments s ON f.enrollment_id = s.enrollment_id "
+    "WHERE s.enrollment_date < DATE '2000-01-01'",
+    "f_enrollment",
+)
+
+
+@query(
+    "fact_enrollment_incremental",
+    "D14 D12 A8",
+    with_ctes(
+        """
+SELECT enrollment_id, student_key, course_key, semester_key,
+  CASE WHEN enrollment_id IN (SELECT enrollment_id FROM facts_then) THEN total_score ELSE total_score / 2 END AS total_score,
+  CASE WHEN enrollment_id IN (SELECT enrollment_id FROM facts_then) THEN '1999-12-31 00:00:00'
+    ELSE '2002-01-01 00:00:00' END AS created_at
+FROM f_enrollment""",
+        "facts_then",
+    ),
+)
+def fact_enrollment_incremental(t: Tables):
+    """Facts loaded up to the end of 1999, then merged with the enrolments dated later."""
+    enrollments = silver(t, "enrollments").withColumn("updated_at", F.col("enrollment_date").cast("timestamp"))
+    dims = students(t), courses(t), semesters(t)
+    early = enrollments.where(F.col("enrollment_date") < F.lit("2000-01-01").cast("date"))
+    loaded = uni.fact_enrollment(early, *dims, days=DAYS, stamp="1999-12-31 00:00:00")
+    corrected = enrollments.withColumn("total_score", F.col("total_score") / 2)
+    merged = uni.fact_enrollment_merged(loaded, corrected, *dims, days=DAYS, stamp=STAMP)
+    return merged.select("enrollment_id", "student_key", "course_key", "semester_key", "total_score", "created_at")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.functions import dates, text, values
-from starbuild.operators import dedup, keys, layout, lookup, quality, scd2
+from starbuild.operators import dedup, keys, layout, lookup, merge, quality, scd2
 from starbuild.operators.validate import EMAIL_PATTERN, Rule, matches, required, validate
 from starbuild.plans.specs import DAY, FLAG, INT, MONEY, POINTS, RATIO, SCORE, TEXT, VALIDITY, EntitySpec, fields
 
@@ -363,7 +363,7 @@ def student_snapshot(
 def dim_student(
     students: DataFrame, departments: DataFrame | None, as_of, existing: DataFrame | None = None, stamp=None
 ) -> DataFrame:
-    """Next state of the versioned student dimension."""
+    """Next state of the versioned student dimension (``existing`` may be its current rows alone)."""
     snapshot = student_snapshot(students, departments, as_of)
     stamp = stamp or f"{as_of} 00:00:00"
     if existing is None:
@@ -435,6 +435,15 @@ def fact_enrollment(
     return layout.with_audit(rows, stamp, updated=False)
 
 
+def fact_enrollment_merged(
+    existing: DataFrame, enrollments: DataFrame, students: DataFrame, courses: DataFrame, semesters: DataFrame, **options
+) -> DataFrame:
+    """``existing`` facts with the enrolments updated since its newest load put in or replaced."""
+    fresh = merge.newer_rows(enrollments, "updated_at", existing, "created_at")
+    facts = fact_enrollment(fresh, students, courses, semesters, **options)
+    return merge.upsert(existing, facts, ["enrollment_id"])
+
+
 def fact_tuition(
     tuition: DataFrame,
     students: DataFrame,

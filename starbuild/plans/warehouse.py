@@ -141,14 +141,24 @@ class Warehouse:
         return self.lake.read("silver", f"stg_{name}")
 
     def gold(self, name: str) -> DataFrame:
-        return self.lake.read("gold", name)
+        """A gold table; of the student dimension all versions."""
+        return self.lake.read_dimension(name) if name == "dim_student" else self.lake.read("gold", name)
+
+    def current_students(self) -> DataFrame:
+        """Current versions only; closed ones are not read."""
+        return self.lake.read("gold", "dim_student")
 
     def _gold(self, name: str, sources: Sequence[str], kind: str, plan: Callable[[], DataFrame]) -> None:
-        self._build(f"gold.{name}", sources, kind, plan, lambda df: self.lake.overwrite(df, "gold", name))
+        def save(df: DataFrame) -> int:
+            if name == "dim_student":
+                return self.lake.overwrite_dimension(df, name)
+            return self.lake.overwrite(df, "gold", name)
+
+        self._build(f"gold.{name}", sources, kind, plan, save)
 
     def build_dimensions(self) -> None:
         def before(name: str) -> DataFrame | None:
-            return self.gold(name) if self.lake.exists("gold", name) else None
+            return self.lake.read("gold", name) if self.lake.exists("gold", name) else None
 
         at = self.run_at
         self._gold(
@@ -174,31 +184,37 @@ class Warehouse:
             ),
         )
 
-    def build_facts(self) -> None:
-        students, semesters, courses = self.gold("dim_student"), self.gold("dim_semester"), self.gold("dim_course")
+    def build_facts(self, incremental: bool = False) -> None:
+        """Both fact tables; ``incremental`` merges only enrolments updated since the last load."""
+        students, semesters, courses = self.current_students(), self.gold("dim_semester"), self.gold("dim_course")
+
+        def enrollment_plan() -> DataFrame:
+            dims, rows = (students, courses, semesters), self.silver("enrollments")
+            if incremental and self.lake.exists("gold", "fact_enrollment"):
+                return uni.fact_enrollment_merged(self.gold("fact_enrollment"), rows, *dims, stamp=self.run_at)
+            return uni.fact_enrollment(rows, *dims, stamp=self.run_at)
+
         self._gold(
             "fact_enrollment", ["silver.stg_enrollments", "gold.dim_student", "gold.dim_course", "gold.dim_semester"],
-            "fact",
-            lambda: uni.fact_enrollment(
-                self.silver("enrollments"), students, courses, semesters, stamp=self.run_at
-            ),
+            "fact", enrollment_plan,
         )
         self._gold(
             "fact_tuition", ["silver.stg_tuition", "gold.dim_student", "gold.dim_semester"], "fact",
             lambda: uni.fact_tuition(self.silver("tuition"), students, semesters, stamp=self.run_at),
         )
+        versions = self.gold("dim_student")
         self.check(
             self.gold("fact_enrollment"),
-            uni.fact_checks("fact_enrollment", students, semesters, courses),
+            uni.fact_checks("fact_enrollment", versions, semesters, courses),
             "gold.fact_enrollment",
         )
         self.check(
-            self.gold("fact_tuition"), uni.fact_checks("fact_tuition", students, semesters), "gold.fact_tuition"
+            self.gold("fact_tuition"), uni.fact_checks("fact_tuition", versions, semesters), "gold.fact_tuition"
         )
 
     def build_marts(self) -> None:
         enrollment, tuition = self.gold("fact_enrollment"), self.gold("fact_tuition")
-        students = self.gold("dim_student")
+        students = self.current_students()
         for name, sources, plan in (
             (
                 "agg_academic_performance_semester",

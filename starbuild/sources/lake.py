@@ -123,6 +123,32 @@ class Lake:
         df = self.spark.read.parquet(f"{self.table_path(layer, table)}/{_VERSION}{version or known[-1]}")
         return select_where(df, where, columns)
 
+    # -- versioned dimensions -------------------------------------------------
+    #
+    # Current rows are a table like any other.  Closed rows are only ever added: each
+    # merge writes the ones it closed under the number of the table version it started
+    # from, so a repeated merge replaces its own rows and history is never rewritten.
+
+    def overwrite_dimension(self, df: DataFrame, table: str) -> int:
+        """Store a merge result: closed rows first, then the current rows as the next version."""
+        before = (self.versions("gold", table) or [0])[-1]
+        closed = df.where(~F.col("is_current")).withColumn("_closed_from", F.lit(before))
+        (
+            closed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_closed_from")
+            .parquet(self.table_path("gold", f"{table}_closed"))
+        )
+        return self.overwrite(df.where(F.col("is_current")), "gold", table)
+
+    def read_dimension(self, table: str) -> DataFrame:
+        """All versions: the current rows and every row closed on the way to them."""
+        current = self.read("gold", table)
+        layout = T.StructType([*current.schema.fields, T.StructField("_closed_from", T.IntegerType())])
+        closed = self.spark.read.schema(layout).parquet(self.table_path("gold", f"{table}_closed"))
+        newest = self.versions("gold", table)[-1]
+        return current.unionByName(closed.where(F.col("_closed_from") < F.lit(newest)).drop("_closed_from"))
+
     def drop_versions_before(self, layer: str, table: str, version: int) -> None:
         """Delete versions older than the given one."""
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
