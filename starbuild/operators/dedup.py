@@ -78,8 +78,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "input") -> Da
     Shares the key partitioning with a following join on the same keys, and keeps at
     most two rows per key and task in the shuffle.
     """
-    order = F.xxhash64(*[F.col(c) for c in df.columns])
-    window = Window.partitionBy(*keys).orderBy(order)
+    window = Window.partitionBy(*keys).orderBy(*keys)
     missing = any_null(keys)
     message = f"{what}: more than one row for a value of {', '.join(keys)}"
     repeated = F.col("__copy") > 1

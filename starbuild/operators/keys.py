@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.operators.staging import stage
@@ -13,16 +13,15 @@ from starbuild.operators.staging import stage
 _POSITION_BITS = 33
 
 
-def fill_keys(df: DataFrame, key: str, order_by: Sequence[str], highest: DataFrame | None = None) -> DataFrame:
+def fill_keys(df: DataFrame, key: str, order_by: Sequence[str], highest: int = 0) -> DataFrame:
     """Number the rows whose ``key`` is NULL, in ``order_by`` order, after the highest key in use.
 
-    ``order_by`` must be unique among those rows.  Rows are range-partitioned and sorted,
-    each takes its position inside its partition, and the per-partition row counts (one
-    small row per partition) give the offsets.  The sorted rows are written before they
-    are counted: counting and numbering then look at the same partitions, also when a
-    lost executor forces a recomputation.
-
-    ``highest`` may name a one-value DataFrame with the highest key ever given out.
+    ``order_by`` must be unique among those rows; ``highest`` is the highest key given out
+    elsewhere.  Rows are range-partitioned and sorted, and each takes its position inside
+    its partition.  The driver reads one row count per partition, as ``zipWithIndex`` does,
+    and turns them into offsets.  The sorted rows are written before they are counted:
+    counting and numbering then look at the same partitions, also when a lost executor
+    forces a recomputation.
     """
     unnumbered = F.col(key).isNull()
     placed = stage(
@@ -33,23 +32,25 @@ def fill_keys(df: DataFrame, key: str, order_by: Sequence[str], highest: DataFra
         .withColumn("__pos", F.monotonically_increasing_id()),
         f"keys-{key}",
     )
-    new = placed.where(~F.col("__old"))
     chunk = F.shiftright("__pos", _POSITION_BITS)
-    earlier = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        new.groupBy(chunk.alias("__chunk"))
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select("__chunk", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"))
+    per_partition = (
+        placed.groupBy(chunk.alias("chunk"))
+        .agg(F.count_if(~F.col("__old")).alias("new_rows"), F.max(key).alias("top"))
+        .orderBy("chunk")
+        .collect()
     )
-    in_use = placed.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).scalar()
-    if highest is not None:
-        in_use = F.greatest(in_use, F.coalesce(highest.scalar(), F.lit(0)))
+    next_key = max([highest, *(p.top for p in per_partition if p.top is not None)]) + 1
+    first_keys = []
+    for p in per_partition:
+        if p.new_rows:
+            first_keys.append((p.chunk, next_key))
+            next_key += p.new_rows
+    if not first_keys:
+        return placed.select(*df.columns)
+    firsts = df.sparkSession.createDataFrame(first_keys, "__chunk bigint, __first bigint")
     position = F.col("__pos") - F.shiftleft("__chunk", _POSITION_BITS)
-    number = in_use + F.col("__offset") + position + 1
-    numbered = (
-        placed.withColumn("__chunk", chunk)
-        .join(F.broadcast(offsets), "__chunk", "left")
-        .withColumn(key, F.coalesce(F.col(key), number))
+    numbered = placed.join(F.broadcast(firsts), chunk == F.col("__chunk"), "left").withColumn(
+        key, F.coalesce(F.col(key), F.col("__first") + position)
     )
     return numbered.select(*df.columns)
 
@@ -68,4 +69,5 @@ def assign_keys(
         return fill_keys(keyed, key, natural_key)
     known = existing.select(*natural_key, F.col(key).cast("bigint").alias(key))
     keyed = df.select(*columns).join(known, list(natural_key), "left").select(key, *columns)
-    return fill_keys(keyed, key, natural_key, highest=existing.agg(F.max(key).cast("bigint")))
+    highest = existing.agg(F.max(key).cast("bigint").alias("top")).first().top
+    return fill_keys(keyed, key, natural_key, highest or 0)

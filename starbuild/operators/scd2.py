@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starbuild.functions.dates import as_date, as_timestamp
-from starbuild.operators.dedup import assert_unique
+from starbuild.operators.dedup import any_null, assert_unique
 from starbuild.operators.keys import fill_keys
 
 START, END, CURRENT = "effective_start_date", "effective_end_date", "is_current"
@@ -81,8 +81,8 @@ def merge_versions(
     ``as_of`` and followed by a new open version; if it began on ``as_of`` itself it is
     rewritten instead, so a second run on the same day leaves no empty interval.  New
     keys get an open version.  Columns of ``dim`` missing from the snapshot (such as a
-    surrogate key) are NULL in new versions.  A snapshot older than a version it would
-    close is an error.
+    surrogate key) are NULL in new versions.  Snapshot rows without a natural key cannot be
+    versioned and are left out.  A snapshot older than a version it would close is an error.
     """
     at = as_date(as_of)
     types = {f.name: f.dataType for f in dim.schema}
@@ -101,6 +101,7 @@ def merge_versions(
     if "updated_at" in types:
         closed["updated_at"] = rewritten["updated_at"] = now
 
+    snapshot = snapshot.where(~any_null(natural_key))
     if check_unique:
         snapshot = assert_unique(snapshot, natural_key, "snapshot")
     pairs = _keyed(dim.where(F.col(CURRENT)), natural_key, "__old").join(

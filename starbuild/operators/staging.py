@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,9 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the files.
 
@@ -36,12 +41,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    for paths in _scopes:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard_staged(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables (call when the results are written)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving, the tables staged inside; what was computed from them must be written by then."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes[:] = [scope for scope in _scopes if scope is not paths]
+        for path in paths:
+            _delete(spark, path)
+
+
+def discard_staged(spark: SparkSession) -> None:
+    """Delete everything this application staged."""
+    _delete(spark, shared_folder(spark))

@@ -24,6 +24,7 @@ class EntitySpec:
     silver: T.StructType
     cleanse: Callable[[DataFrame], DataFrame]
     rules: Callable[[], Sequence[Rule]]
+    gold_table: str
 
     @property
     def bronze_table(self) -> str:

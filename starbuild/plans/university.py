@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starbuild.functions import dates, text, values
 from starbuild.operators import dedup, keys, layout, lookup, merge, quality, scd2
+from starbuild.operators.staging import stage
 from starbuild.operators.validate import EMAIL_PATTERN, Rule, matches, required, validate
 from starbuild.plans.specs import DAY, FLAG, INT, MONEY, POINTS, RATIO, SCORE, TEXT, VALIDITY, EntitySpec, fields
 
@@ -172,6 +173,7 @@ STUDENTS = EntitySpec(
     ),
     _clean_students,
     lambda: [required("student_id"), matches("email", EMAIL_PATTERN, "Invalid email format")],
+    "dim_student",
 )
 COURSES = EntitySpec(
     "courses",
@@ -191,6 +193,7 @@ COURSES = EntitySpec(
     ),
     _clean_courses,
     _all_required("course_id", "course_name", "credits"),
+    "dim_course",
 )
 ENROLLMENTS = EntitySpec(
     "enrollments",
@@ -214,6 +217,7 @@ ENROLLMENTS = EntitySpec(
     ),
     _clean_enrollments,
     _all_required("enrollment_id", "student_id", "course_id"),
+    "fact_enrollment",
 )
 TUITION = EntitySpec(
     "tuition",
@@ -242,6 +246,7 @@ TUITION = EntitySpec(
         required("student_id"),
         Rule(F.col("net_amount") >= 0, "Negative net amount"),
     ],
+    "fact_tuition",
 )
 SEMESTERS = EntitySpec(
     "semesters",
@@ -261,6 +266,7 @@ SEMESTERS = EntitySpec(
     ),
     _clean_semesters,
     _all_required("semester_id", "start_date", "end_date"),
+    "dim_semester",
 )
 DEPARTMENTS = EntitySpec(
     "departments",
@@ -276,6 +282,7 @@ DEPARTMENTS = EntitySpec(
     ),
     _clean_departments,
     _all_required("department_id", "department_name"),
+    "dim_department",
 )
 ENTITIES = {e.name: e for e in (STUDENTS, COURSES, ENROLLMENTS, TUITION, SEMESTERS, DEPARTMENTS)}
 
@@ -440,7 +447,8 @@ def fact_enrollment_merged(
 ) -> DataFrame:
     """``existing`` facts with the enrolments updated since its newest load put in or replaced."""
     fresh = merge.newer_rows(enrollments, "updated_at", existing, "created_at")
-    facts = fact_enrollment(fresh, students, courses, semesters, **options)
+    # used by the merge several times over, so computed once
+    facts = stage(fact_enrollment(fresh, students, courses, semesters, **options), "fresh-facts")
     return merge.upsert(existing, facts, ["enrollment_id"])
 
 

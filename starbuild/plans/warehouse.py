@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starbuild.operators import calendar, dedup, marts, merge, quality
-from starbuild.operators.staging import discard_staged
+from starbuild.operators.staging import stage, staged_tables
 from starbuild.plans import university as uni
 from starbuild.plans.specs import EntitySpec
+from starbuild.sources import jdbc
 from starbuild.sources.files import batch_id_of, ingest
 from starbuild.sources.lake import Lake
 
@@ -133,7 +134,8 @@ class Warehouse:
         keyless = dedup.any_null(entity.keys)
         recent = merge.recent_rows(raw.where(~keyless), "_ingested_at", self.as_of, recent_days)
         before = self.lake.read("silver", entity.silver_table, where=~keyless)
-        merged = merge.upsert(before, uni.silver(recent, entity, self.run_at), entity.keys, check_unique=False)
+        fresh = stage(uni.silver(recent, entity, self.run_at), f"fresh-{entity.name}")
+        merged = merge.upsert(before, fresh, entity.keys, check_unique=False)
         # rows without a key cannot be merged; they are taken afresh from all batches
         return merged.unionByName(uni.silver(raw.where(keyless), entity, self.run_at))
 
@@ -236,6 +238,14 @@ class Warehouse:
             stamped = F.lit(self.run_at).cast("timestamp")
             self._gold(name, sources, "aggregate", lambda plan=plan: plan().withColumn("updated_at", stamped))
 
+    def export(self, layer: str, table: str, url: str, properties: Mapping[str, str], mode: str = "overwrite") -> None:
+        """Copy a finished table to a database: read back from the lake, so both hold the same rows and times."""
+        if layer == "bronze":
+            df = self.lake.read_bronze(table, batch_id=self.batch_id)
+        else:
+            df = self.gold(table) if layer == "gold" else self.lake.read(layer, table)
+        jdbc.write_table(df, url, f"{layer}.{table}", properties, mode)
+
     def write_audit(self) -> None:
         """Store the job and lineage rows of this run."""
         if self.jobs:
@@ -244,23 +254,30 @@ class Warehouse:
             self.lake.append(quality.lineage_rows(self.spark, self.lineage), "audit", "data_lineage")
         self.jobs, self.lineage = [], []
 
-    def run(self, feeds: Mapping[str, tuple[str, str]], student_checks: bool = True) -> None:
-        """Bronze to marts with the quality gates between the layers; audit rows are always stored."""
+    def run(
+        self, feeds: Mapping[str, tuple[str, str]], source_checks: bool = True, recent_days: int | None = None
+    ) -> None:
+        """Bronze to marts with the quality gates between the layers; audit rows are always stored.
+
+        With ``recent_days`` silver and the enrolment facts take in only what is new.
+        """
         try:
-            self.build_bronze(feeds)
-            if student_checks and "students" in feeds:
-                batch = self.lake.read_bronze("raw_students", uni.STUDENTS.source, self.batch_id)
-                self.check(batch, uni.bronze_student_checks(), "bronze.raw_students")
-            self.build_silver([n for n in SILVER_ORDER if n in feeds])
-            if student_checks:
-                for name in (n for n in SILVER_ORDER if n in feeds):
-                    entity = uni.ENTITIES[name]
-                    self.check(
-                        self.silver(name), uni.silver_checks(name, self.run_at), f"silver.{entity.silver_table}"
-                    )
-            self.build_dimensions()
-            self.build_facts()
-            self.build_marts()
+            with staged_tables(self.spark):
+                self._run(feeds, source_checks, recent_days)
         finally:
             self.write_audit()
-            discard_staged(self.spark)
+
+    def _run(self, feeds: Mapping[str, tuple[str, str]], source_checks: bool, recent_days: int | None) -> None:
+        names = [n for n in SILVER_ORDER if n in feeds]
+        self.build_bronze(feeds)
+        if source_checks and "students" in feeds:
+            batch = self.lake.read_bronze("raw_students", uni.STUDENTS.source, self.batch_id)
+            self.check(batch, uni.bronze_student_checks(), "bronze.raw_students")
+        self.build_silver(names, recent_days)
+        if source_checks:
+            for name in names:
+                checks = uni.silver_checks(name, self.run_at)
+                self.check(self.silver(name), checks, f"silver.{uni.ENTITIES[name].silver_table}")
+        self.build_dimensions()
+        self.build_facts(incremental=recent_days is not None)
+        self.build_marts()

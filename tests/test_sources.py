@@ -152,6 +152,12 @@ def test_layout(rows):
 def test_staged_tables_live_in_the_shared_folder(spark):
     staged = staging.stage(spark.range(3), "x")
     assert spark.conf.get("spark.checkpoint.dir") + "/starbuild/" in staged.inputFiles()[0]
+    with staging.staged_tables(spark):
+        inner = staging.stage(spark.range(4), "y")
+        assert inner.count() == 4
+    with pytest.raises(Exception):
+        inner.collect()
+    assert staged.count() == 3
     staging.discard_staged(spark)
     with pytest.raises(Exception):
         staged.collect()

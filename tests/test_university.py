@@ -155,7 +155,7 @@ def test_repeat_and_next_day(spark, built, tmp_path):
     """The same run again changes nothing; the next day's feed opens and closes versions."""
     before = built.gold("dim_student").orderBy("student_key").collect()
     again = Warehouse(spark, built.lake.root, DAY, gate=False)
-    again.run(feed.write_feeds(tmp_path / "again"), student_checks=False)
+    again.run(feed.write_feeds(tmp_path / "again"), source_checks=False)
     assert again.gold("dim_student").orderBy("student_key").collect() == before
     assert again.lake.read_bronze("raw_students", uni.STUDENTS.source).count() == 20
 
@@ -168,7 +168,7 @@ def test_repeat_and_next_day(spark, built, tmp_path):
     next_day.build_bronze(feed.write_feeds(tmp_path / "next", students=people))
     next_day.build_silver(recent_days=1)
     next_day.build_dimensions()
-    next_day.build_facts()
+    next_day.build_facts(incremental=True)
     dim = next_day.gold("dim_student")
     assert dim.count() == 22 and scd2.version_faults(dim, ["student_id"]).count() == 0
     moved = dim.where("student_id = 'SV001'").orderBy("effective_start_date").collect()
@@ -180,9 +180,17 @@ def test_repeat_and_next_day(spark, built, tmp_path):
     assert next_day.silver("students").count() == 22
     assert next_day.gold("fact_enrollment").count() == 30
     assert next_day.gold("fact_enrollment").where("student_key = 21").count() == 5
+    assert next_day.current_students().count() == 21
     assert next_day.gold("dim_course").orderBy("course_id").first().course_key == 1
 
 
+def test_fact_plan_reads_only_what_it_needs(built):
+    facts = uni.fact_tuition(built.silver("tuition"), built.current_students(), built.gold("dim_semester"))
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(is_valid,true)" in plan and "IsNotNull(student_id)" in plan
+    assert "validation_errors" not in plan and "full_name" not in plan and "semester_name" not in plan
+
+
 def test_gate_stops_the_run(spark, tmp_path):
     people = feed.students()
     people[3] |= {"student_id": ""}
