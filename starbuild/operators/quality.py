@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
@@ -47,7 +47,7 @@ class Check:
         return self.name or "_".join([self.kind, *([self.column] if self.column else [])])
 
     def warn(self) -> "Check":
-        return Check(**{**self.__dict__, "severity": "warn"})
+        return replace(self, severity="warn")
 
 
 def _ratio(part: Column, whole: Column) -> Column:

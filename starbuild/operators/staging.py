@@ -18,13 +18,15 @@ def shared_folder(spark: SparkSession) -> str:
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint folder).  Only a
     local session may fall back to a temporary folder of its own machine.
     """
-    base = spark.conf.get(_FOLDER_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get(_FOLDER_SETTING, None)
+    if not base:
+        base = spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_FOLDER_SETTING} to a folder that every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starbuild-"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/starbuild/{spark.sparkContext.applicationId}"
+    return f"{base.rstrip('/')}/starbuild/{spark.conf.get('spark.app.id')}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:

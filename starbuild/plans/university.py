@@ -28,14 +28,23 @@ STATUSES = {
 STATUS_DEFAULT = "Unknown"
 
 REGIONS = {
-    "Miền Bắc": "Hà Nội, Hải Phòng, Quảng Ninh, Hải Dương, Bắc Ninh, Vĩnh Phúc, Phú Thọ, Thái Nguyên, Lạng Sơn, Cao Bằng".split(", "),
-    "Miền Trung": "Đà Nẵng, Huế, Quảng Nam, Quảng Ngãi, Bình Định, Phú Yên, Khánh Hòa, Nghệ An, Hà Tĩnh, Quảng Bình".split(", "),
-    "Miền Nam": "TP HCM, Hồ Chí Minh, Bình Dương, Đồng Nai, Long An, Cần Thơ, An Giang, Kiên Giang, Vũng Tàu, Bà Rịa".split(", "),
+    "Miền Bắc": [
+        "Hà Nội", "Hải Phòng", "Quảng Ninh", "Hải Dương", "Bắc Ninh",
+        "Vĩnh Phúc", "Phú Thọ", "Thái Nguyên", "Lạng Sơn", "Cao Bằng",
+    ],
+    "Miền Trung": [
+        "Đà Nẵng", "Huế", "Quảng Nam", "Quảng Ngãi", "Bình Định",
+        "Phú Yên", "Khánh Hòa", "Nghệ An", "Hà Tĩnh", "Quảng Bình",
+    ],
+    "Miền Nam": [
+        "TP HCM", "Hồ Chí Minh", "Bình Dương", "Đồng Nai", "Long An",
+        "Cần Thơ", "An Giang", "Kiên Giang", "Vũng Tàu", "Bà Rịa",
+    ],
 }
 REGIONS_SHORT = {
-    "Miền Bắc": "Hà Nội, Hải Phòng, Quảng Ninh, Hải Dương, Bắc Ninh".split(", "),
-    "Miền Trung": "Đà Nẵng, Huế, Quảng Nam, Nghệ An".split(", "),
-    "Miền Nam": "TP HCM, Hồ Chí Minh, Bình Dương, Đồng Nai, Long An".split(", "),
+    "Miền Bắc": ["Hà Nội", "Hải Phòng", "Quảng Ninh", "Hải Dương", "Bắc Ninh"],
+    "Miền Trung": ["Đà Nẵng", "Huế", "Quảng Nam", "Nghệ An"],
+    "Miền Nam": ["TP HCM", "Hồ Chí Minh", "Bình Dương", "Đồng Nai", "Long An"],
 }
 REGION_DEFAULT = "Khác"
 
@@ -476,6 +485,7 @@ def fact_tuition(
 
 
 # --- quality suites ----------------------------------------------------------
+# The limits, value lists and tolerances are fixed values of the declared checks.
 
 
 def bronze_student_checks() -> list[quality.Check]:
@@ -534,6 +544,11 @@ def silver_checks(entity: str, as_of) -> list[quality.Check]:
     return []
 
 
+def dimension_checks(key: str, natural_key: str) -> list[quality.Check]:
+    """Keys present and unique; a natural key held twice would multiply facts."""
+    return [quality.not_null(key), quality.unique(key), quality.unique(natural_key)]
+
+
 def fact_checks(
     fact: str, students: DataFrame, semesters: DataFrame, courses: DataFrame | None = None
 ) -> list[quality.Check]:

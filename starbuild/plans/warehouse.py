@@ -186,6 +186,14 @@ class Warehouse:
             ),
         )
 
+        for name, key, natural_key in (
+            ("dim_department", "department_key", "department_id"),
+            ("dim_semester", "semester_key", "semester_id"),
+            ("dim_course", "course_key", "course_id"),
+            ("dim_student", "student_key", "student_id"),
+        ):
+            self.check(self.lake.read("gold", name), uni.dimension_checks(key, natural_key), f"gold.{name}")
+
     def build_facts(self, incremental: bool = False) -> None:
         """Both fact tables; ``incremental`` merges only enrolments updated since the last load."""
         students, semesters, courses = self.current_students(), self.gold("dim_semester"), self.gold("dim_course")

@@ -148,7 +148,9 @@ def test_audit(built):
     failed = {(r.table_name, r.check_name) for r in checks if not r.is_passed}
     # 20 students are under the declared minimum of 100; "nữ" is not among the raw spellings listed
     assert failed == {("silver.stg_students", "row_count"), ("bronze.raw_students", "value_set_gender")}
-    assert {r.table_name for r in checks} >= {"gold.fact_enrollment", "gold.fact_tuition", "silver.stg_courses"}
+    assert {r.table_name for r in checks} >= {
+        "gold.fact_enrollment", "gold.fact_tuition", "gold.dim_student", "silver.stg_courses",
+    }
 
 
 def test_repeat_and_next_day(spark, built, tmp_path):
