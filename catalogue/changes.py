@@ -13,7 +13,9 @@ from catalogue.registry import Tables, cte, query, with_ctes
 from catalogue.standins import DAYS, STAMP
 from catalogue.warehouse import courses, semesters, silver, students
 from starbuild.operators import dedup, keys, lookup, merge, scd2
+from starbuild.operators.staging import new_path
 from starbuild.plans import university as uni
+from starbuild.sources.lake import Lake
 
 FIRST, SECOND, LATER = "1998-01-01", "2000-01-01", "2001-01-01"
 NATURAL, TRACKED = ["customer_id"], ["last_priority", "last_status"]
@@ -304,6 +306,33 @@ def incremental_merge_partitions(t: Tables):
     return merge.upsert_partitions(target, updates, ["o_orderkey"], ["order_year"])
 
 
+def _by_year(t: Tables, where, factor: float = 1.0) -> DataFrame:
+    return t.orders.where(where).select(
+        "o_orderkey", F.year("o_orderdate").alias("order_year"), (F.col("o_totalprice") * factor).alias("amount")
+    )
+
+
+@query(
+    "incremental_merge_stored",
+    "D14 O2",
+    """
+SELECT o_orderkey, year(o_orderdate) AS order_year,
+  CASE WHEN o_orderdate >= DATE '2000-06-01' AND o_orderstatus = 'F' THEN o_totalprice / 2 ELSE o_totalprice END AS amount
+FROM orders WHERE o_orderdate < DATE '2001-03-01' OR o_orderstatus = 'F'""",
+)
+def incremental_merge_stored(t: Tables):
+    """The stored table after an update that rewrites only the years it touches."""
+    store = Lake(t.spark, new_path(t.spark, "lake"))
+    loaded = _by_year(t, F.col("o_orderdate") < F.lit("2001-03-01").cast("date"))
+    store.overwrite(loaded, "gold", "orders_by_year", ["order_year"])
+    late = (F.col("o_orderdate") >= F.lit("2000-06-01").cast("date")) & (F.col("o_orderstatus") == "F")
+    changed = merge.upsert_partitions(
+        store.read("gold", "orders_by_year"), _by_year(t, late, 0.5), ["o_orderkey"], ["order_year"]
+    )
+    store.replace_partitions(changed, "gold", "orders_by_year", ["order_year"])
+    return store.read("gold", "orders_by_year")
+
+
 cte(
     "facts_then",
     "SELECT f.* FROM f_enrollment f JOIN s_enrollments s ON f.enrollment_id = s.enrollment_id "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.functions.values import exact_avg, percentage, rate
@@ -12,9 +12,60 @@ GRADE_LETTERS = ("A", "B", "C", "D", "F")
 PLACEHOLDER_GPA = 3.5
 
 
-def _with_department(facts: DataFrame, students: DataFrame, how: str) -> DataFrame:
+_EXACT = "decimal(18,4)"
+_EXACT_SUM = "decimal(28,4)"
+
+
+def _per_student(facts: DataFrame) -> DataFrame:
+    """Facts added up per semester and student, before they meet the student dimension.
+
+    The join then carries one row per student and semester, however many enrolments a
+    student has, and the rows of a group are its distinct students.
+    """
+    gpa, attendance = F.col("gpa_points").cast(_EXACT), F.col("attendance_rate").cast(_EXACT)
+    return facts.groupBy("semester_key", "student_key").agg(
+        F.count("enrollment_id").alias("ids"),
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(gpa).alias("gpa_sum"),
+        F.count(gpa).alias("gpa_count"),
+        F.sum((gpa * gpa).cast("decimal(28,8)")).alias("gpa_squares"),
+        F.min(gpa).alias("gpa_min"),
+        F.max(gpa).alias("gpa_max"),
+        F.count_if(F.col("is_passed")).alias("passed"),
+        F.count_if(~F.col("is_passed")).alias("failed"),
+        F.sum(attendance).alias("attendance_sum"),
+        F.count(attendance).alias("attendance_count"),
+        *[F.count_if(F.col("grade_letter") == letter).alias(f"grade_{letter.lower()}") for letter in GRADE_LETTERS],
+    )
+
+
+def _by_department(facts: DataFrame, students: DataFrame, how: str):
+    """Per-student sums grouped by semester and department of the current student version."""
     side = students.where(F.col("is_current")).select(F.col("student_key").alias("__sk"), "department_key")
-    return facts.join(side, F.col("student_key") == F.col("__sk"), how).drop("__sk")
+    joined = _per_student(facts).join(side, F.col("student_key") == F.col("__sk"), how)
+    return joined.groupBy("semester_key", "department_key")
+
+
+def _mean(total: str, count: str, digits: int = 2) -> Column:
+    """Mean from partial sums, exact like :func:`exact_avg`."""
+    whole = F.sum(count).cast("decimal(20,0)")
+    return F.round(F.try_divide(F.sum(total).cast(_EXACT_SUM), whole), digits)
+
+
+def _deviation(total: str, squares: str, count: str) -> Column:
+    """Sample standard deviation from exact partial sums; NULL for a single value."""
+    n, s, q = (F.sum(c).cast("double") for c in (count, total, squares))
+    return F.sqrt(F.greatest(F.try_divide(n * q - s * s, n * (n - 1)), F.lit(0.0)))
+
+
+def _core() -> list[Column]:
+    return [
+        F.count("student_key").alias("total_students"),
+        _mean("gpa_sum", "gpa_count").alias("avg_gpa"),
+        percentage(F.sum("passed"), F.sum("rows")).alias("pass_rate"),
+        percentage(F.sum("failed"), F.sum("rows")).alias("fail_rate"),
+        _mean("attendance_sum", "attendance_count").alias("avg_attendance_rate"),
+    ]
 
 
 def academic_performance(facts: DataFrame, students: DataFrame) -> DataFrame:
@@ -22,41 +73,19 @@ def academic_performance(facts: DataFrame, students: DataFrame) -> DataFrame:
 
     Facts without a current student are left out.
     """
-    return (
-        _with_department(facts, students, "inner")
-        .groupBy("semester_key", "department_key")
-        .agg(
-            F.count_distinct("student_key").alias("total_students"),
-            F.count("enrollment_id").alias("total_enrollments"),
-            exact_avg(F.col("gpa_points")).alias("avg_gpa"),
-            rate(F.col("is_passed")).alias("pass_rate"),
-            rate(~F.col("is_passed")).alias("fail_rate"),
-            exact_avg(F.col("attendance_rate")).alias("avg_attendance_rate"),
-        )
-    )
+    return _by_department(facts, students, "inner").agg(F.sum("ids").alias("total_enrollments"), *_core())
 
 
 def academic_performance_extended(facts: DataFrame, students: DataFrame) -> DataFrame:
     """:func:`academic_performance` plus GPA spread and grade counts, keeping facts without a student."""
-    gpa = F.col("gpa_points").cast("decimal(18,4)")
-    return (
-        _with_department(facts, students, "left")
-        .groupBy("semester_key", "department_key")
-        .agg(
-            F.count_distinct("student_key").alias("total_students"),
-            F.count(F.lit(1)).alias("total_enrollments"),
-            exact_avg(F.col("gpa_points")).alias("avg_gpa"),
-            F.round(F.min(gpa).cast("double"), 2).alias("min_gpa"),
-            F.round(F.max(gpa).cast("double"), 2).alias("max_gpa"),
-            F.round(F.stddev_samp(F.col("gpa_points").cast("double")), 2).alias("stddev_gpa"),
-            rate(F.col("is_passed")).alias("pass_rate"),
-            rate(~F.col("is_passed")).alias("fail_rate"),
-            exact_avg(F.col("attendance_rate")).alias("avg_attendance_rate"),
-            *[
-                F.count_if(F.col("grade_letter") == letter).alias(f"grade_{letter.lower()}_count")
-                for letter in GRADE_LETTERS
-            ],
-        )
+    deviation = _deviation("gpa_sum", "gpa_squares", "gpa_count")
+    return _by_department(facts, students, "left").agg(
+        F.sum("rows").alias("total_enrollments"),
+        *_core(),
+        F.round(F.min("gpa_min").cast("double"), 2).alias("min_gpa"),
+        F.round(F.max("gpa_max").cast("double"), 2).alias("max_gpa"),
+        F.round(F.when(F.sum("gpa_count") > 1, deviation), 2).alias("stddev_gpa"),
+        *[F.sum(f"grade_{letter.lower()}").alias(f"grade_{letter.lower()}_count") for letter in GRADE_LETTERS],
     )
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starbuild.operators.staging import stage
+
 _VERSION = "version="
 
 
@@ -101,6 +103,19 @@ class Lake:
         writer.parquet(f"{self.table_path(layer, table)}/{_VERSION}{version}")
         return version
 
+    def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
+        """Rewrite, in the first version's folder, only the partitions that occur in ``df``.
+
+        ``df`` may be computed from the partitions it replaces, so it is staged first.
+        """
+        (
+            stage(df, table)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(f"{self.table_path(layer, table)}/{_VERSION}1")
+        )
+
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         """Add rows to an append-only table (audit tables)."""
         df.write.mode("append").parquet(f"{self.table_path(layer, table)}/{_VERSION}1")

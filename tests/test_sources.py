@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starbuild import session
-from starbuild.operators import layout, staging
+from starbuild.operators import layout, merge, staging
 from starbuild.plans.specs import DAY, INT, SCORE, TEXT, fields
 from starbuild.sources import files, jdbc
 from starbuild.sources.lake import Lake
@@ -104,6 +104,23 @@ def test_versions(spark, tmp_path):
     assert lake.read("audit", "a").count() == 4
 
 
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.overwrite(spark.range(40).selectExpr("id AS k", "'old' AS v", "cast(id % 4 as int) AS part"), "gold", "t", ["part"])
+
+    def files_of(part):
+        return {p.name for p in (tmp_path / "gold" / "t" / "version=1" / f"part={part}").glob("*.parquet")}
+
+    before = {part: files_of(part) for part in range(4)}
+    updates = spark.createDataFrame([(1, "new", 1), (41, "new", 1)], "k bigint, v string, part int")
+    for _ in range(2):
+        target = lake.read("gold", "t")
+        lake.replace_partitions(merge.upsert_partitions(target, updates, ["k"], ["part"]), "gold", "t", ["part"])
+    assert [files_of(part) == before[part] for part in range(4)] == [True, False, True, True]
+    after = lake.read("gold", "t")
+    assert after.count() == 41 and after.where("v = 'new'").count() == 2
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     lake.overwrite(spark.range(100).selectExpr("id", "id * 2 AS twice", "'x' AS pad"), "gold", "t")
