@@ -35,6 +35,9 @@ WORD = r"[^\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+#: A column that a filter on the statistics must name: Spark then filters what was computed,
+#: instead of computing the statistics anew inside the filter.
+BARRIER = "_barrier"
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
@@ -93,7 +96,8 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     df = df.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x.i)))
     steps = F.transform("_starts", lambda x, i: F.coalesce(F.least(F.get("_starts", i + 1) - x, F.lit(WINDOW)), F.lit(WINDOW)))
     covered = F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.select("row", *COUNTS[:4], F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"), "n_lines")
+    repeated = F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words")
+    return df.select("row", *COUNTS[:4], repeated, "n_lines", F.monotonically_increasing_id().alias(BARRIER))
 
 
 def base_failed() -> Column:
@@ -265,4 +269,4 @@ def reject_outliers(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     lang, source = F.col(f"row.`{lang_col}`"), F.col(f"row.`{source_col}`")
     counts = stage(counted.select(lang.alias("lang"), source.alias("source"), *COUNTS), "outlier-counts")
     model = fit(counts)
-    return judge(counted, model, lang, source).where("kept").select("row.*")
+    return judge(counted, model, lang, source).where(F.col("kept") & (F.col(BARRIER) >= 0)).select("row.*")
