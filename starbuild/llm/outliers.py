@@ -203,7 +203,7 @@ def _nearest(points: DataFrame, parameters: DataFrame, starts: int) -> DataFrame
     # the first bin with which the share is reached
     reached = counted.withColumn("enough", below >= SUPPORT * whole).where("enough").groupBy("g")
     limits = reached.agg(*[F.min(F.when(F.col("s") == s, F.col("b"))).alias(f"limit{s}") for s in range(starts)])
-    return near.join(limits, "g")
+    return near.join(stage(limits, "outlier-limits"), "g")
 
 
 def fit(counts: DataFrame) -> DataFrame:

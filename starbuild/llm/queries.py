@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm import content_sort, mixing, outliers, packing, simhash
+from starbuild.llm import content_sort, mixing, outliers, packing, pseudonyms, sharding, simhash, tag_paths
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -37,6 +37,28 @@ def op2_simhash_vantage_point(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), hex_print("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.balanced_shards(_table(spark, folder, "documents"))
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonyms.pseudonymise(_table(spark, folder, "documents")).select("row.doc_id", "text", "n_replaced")
+
+
+def op6_tag_path_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    return tag_paths.extract(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), tokenizer_path())
 
@@ -52,7 +74,16 @@ def op10_content_sort(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_robust_outliers, op2_simhash_vantage_point, op7_harmonic_packing, op9_poisson_mixing, op10_content_sort)
+    for f in (
+        op1_robust_outliers,
+        op2_simhash_vantage_point,
+        op3_label_propagation,
+        op5_feistel_pseudonyms,
+        op6_tag_path_ratios,
+        op7_harmonic_packing,
+        op9_poisson_mixing,
+        op10_content_sort,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
