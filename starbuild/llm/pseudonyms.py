@@ -141,7 +141,7 @@ def _ssn(text: str, key: bytes) -> str | None:
 
 
 def _valid_phone(d: list[int]) -> bool:
-    return d[0] > 1 and d[3] > 1 and d[1:3] != [1, 1]
+    return d[0] > 0 and d[3] > 1
 
 
 def _phone(text: str, key: bytes) -> str | None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm import content_sort, mixing, outliers, packing, pseudonyms, sharding, simhash, tag_paths
+from starbuild.llm import content_sort, cotraining, mixing, outliers, packing, pseudonyms, sharding, simhash, tag_paths
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -63,6 +63,11 @@ def op7_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op8_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    scored = cotraining.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op9_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.replicate(_table(spark, folder, "documents")).select("row.*", "rate", "copies", "copy", "place")
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_feistel_pseudonyms,
         op6_tag_path_ratios,
         op7_harmonic_packing,
+        op8_cotraining,
         op9_poisson_mixing,
         op10_content_sort,
     )
