@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm import content_sort, cotraining, mixing, outliers, packing, pseudonyms, sharding, simhash, tag_paths
+from starbuild.llm import content_sort, cotraining, mixing, outliers, packing, pseudonyms, sharding, simhash, suffix_repeats, tag_paths
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -50,6 +50,12 @@ def op3_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_interval_tree(spark: SparkSession, folder: str) -> DataFrame:
+    removed = suffix_repeats.remove_repeats(_table(spark, folder, "documents"))
+    spans = (F.size("spans") / 2).cast("long").alias("n_spans")
+    return removed.select("doc_id", "n_bytes", "n_removed", spans, "kept_sha256")
+
+
 def op5_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymise(_table(spark, folder, "documents")).select("row.doc_id", "text", "n_replaced")
 
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_robust_outliers,
         op2_simhash_vantage_point,
         op3_label_propagation,
+        op4_interval_tree,
         op5_feistel_pseudonyms,
         op6_tag_path_ratios,
         op7_harmonic_packing,
