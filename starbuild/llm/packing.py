@@ -12,8 +12,8 @@ worker waits for another.  Only the last, unfinished sequence of each class is l
 most one a class (``CAPACITY`` classes at worst, some 200 in fact), and first-fit
 decreasing joins these.
 
-Tokens: the vocabulary splits at white space anyway, so each worker encodes a word once
-and remembers it (up to ``MEMORY`` words, then it starts afresh).
+Tokens: the vocabulary splits at white space and lower-cases anyway, so each worker encodes
+a word once and remembers it (at most twice ``MEMORY`` words).
 
 Defined cases: NULL or empty text is one piece, the closing id; NULL identifiers and
 repeated rows are packed like others; an empty table gives an empty result; other
@@ -23,6 +23,9 @@ columns are not read.
 from __future__ import annotations
 
 import os
+import re
+import sys
+import types
 import zlib
 from array import array
 from collections import defaultdict
@@ -40,8 +43,10 @@ END = 2
 CUTS = 2
 #: Rests below this are not cut.
 LEAST_CUT = 128
-#: Words a worker remembers.
-MEMORY = 600_000
+#: Words a worker learns before it forgets those not met since.
+MEMORY = 500_000
+#: A full stop or comma after a letter, before white space: a token of its own.
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \t-\r]|\Z)")
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[int]:
@@ -55,7 +60,10 @@ def cut(n: int, capacity: int = CAPACITY) -> list[int]:
 
 
 class Words:
-    """Ids of a text as little-endian 32-bit integers, by words it has seen."""
+    """Ids of a text as little-endian 32-bit integers, by words it has seen.
+
+    Words that were not met since ``MEMORY`` others were learnt are forgotten.
+    """
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,23 +71,40 @@ class Words:
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
         self._known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self._known) + len(words) > MEMORY:
-            self._known.clear()
-        new = list(words)
-        for word, found in zip(new, self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self._known[word] = array("I", found.ids).tobytes()
+        self._former: dict[bytes, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
+        if b"<|" not in text:  # no special token can arise; the vocabulary has lower case only
+            text = _STOP.sub(rb" \1", text.lower())
         words = text.split()  # at ASCII white space, where no token crosses
-        try:
-            return b"".join([self._known[w] for w in words])
-        except KeyError:
-            self._learn(set(words) - self._known.keys())
-            if len(self._known) < len(words):
-                self._learn(set(words) - self._known.keys())
-            return b"".join(map(self._known.__getitem__, words))
+        known = self._known
+        found = list(map(known.get, words))
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            former, new = self._former, []
+            for word in dict.fromkeys([words[i] for i in missing]):
+                if word in former:
+                    known[word] = former[word]
+                else:
+                    new.append(word)
+            encoded = self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+            for word, tokens in zip(new, encoded):
+                known[word] = array("I", tokens.ids).tobytes()
+            for i in missing:
+                found[i] = known[words[i]]
+            if len(known) > MEMORY:
+                self._known, self._former = {}, known
+        return b"".join(found)
+
+
+def worker_words(tokenizer_path: str) -> Words:
+    """The worker process's ``Words``, which later tasks find filled."""
+    kept = sys.modules.setdefault("_starbuild_words", types.ModuleType("_starbuild_words"))
+    if not hasattr(kept, "by_path"):
+        kept.by_path = {}
+    if tokenizer_path not in kept.by_path:
+        kept.by_path[tokenizer_path] = Words(tokenizer_path)
+    return kept.by_path[tokenizer_path]
 
 
 _FIELDS = "start long, length long, ids_crc32 long, doc_tokens long, worker int, cls int, number long"
@@ -91,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     end = array("I", [END]).tobytes()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, number, worker = Words(tokenizer_path), defaultdict(int), TaskContext.get().partitionId()
+        words, number, worker = worker_words(tokenizer_path), defaultdict(int), TaskContext.get().partitionId()
         for batch in batches:
             rows: list[list] = [[] for _ in range(8 + with_ids)]
             texts = batch.column(1).cast(pa.large_binary())
