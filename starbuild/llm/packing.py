@@ -31,6 +31,7 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -72,6 +73,33 @@ class Words:
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
         self._known: dict[bytes, bytes] = {}
         self._former: dict[bytes, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """A word of letters alone ends in exactly one closing token, so such words are encoded together and cut there."""
+        text = [w.decode() for w in new]
+        plain = [w.isalpha() for w in text]
+        together = [w for w, p in zip(text, plain) if p]
+        ids = np.array(self._encode([" ".join(together)])[0], "<u4")
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(together):
+            plain = [False] * len(text)
+        raw, cuts, begin = ids.tobytes(), iter((4 * ends).tolist()), 0
+        rest = []
+        for word, p in zip(new, plain):
+            if p:
+                end = next(cuts)
+                self._known[word] = raw[begin:end]
+                begin = end
+            else:
+                rest.append(word)
+        for word, found in zip(rest, self._encode([w.decode() for w in rest])):
+            self._known[word] = array("I", found).tobytes()
 
     def ids(self, text: bytes) -> bytes:
         if b"<|" not in text:  # no special token can arise; the vocabulary has lower case only
@@ -87,9 +115,8 @@ class Words:
                     known[word] = former[word]
                 else:
                     new.append(word)
-            encoded = self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            for word, tokens in zip(new, encoded):
-                known[word] = array("I", tokens.ids).tobytes()
+            if new:
+                self._learn(new)
             for i in missing:
                 found[i] = known[words[i]]
             if len(known) > MEMORY:
