@@ -69,17 +69,18 @@ def with_money_columns(
     """Add total_discount, net_amount, balance_amount and payment_ratio (percent paid).
 
     A NULL deduction counts as zero.  Sums widen inside Spark, so results are cast
-    back to the declared money type; the ratio is NULL where the net amount is zero.
+    back to the declared money type; the ratio is NULL where the net amount is zero.  What
+    does not fit its type is NULL, so one odd row does not stop the table.
     """
     total = sum((F.coalesce(F.col(d).cast(money), F.lit(0).cast(money)) for d in deductions), F.lit(0).cast(money))
     net = F.col(gross).cast(money) - total
     paid_amount = F.col(paid).cast(money)
     return df.withColumns(
         {
-            "total_discount": total.cast(money),
-            "net_amount": net.cast(money),
-            "balance_amount": (net - paid_amount).cast(money),
-            "payment_ratio": percentage(paid_amount, net).cast(ratio),
+            "total_discount": total.try_cast(money),
+            "net_amount": net.try_cast(money),
+            "balance_amount": (net - paid_amount).try_cast(money),
+            "payment_ratio": percentage(paid_amount, net).try_cast(ratio),
         }
     )
 

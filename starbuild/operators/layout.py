@@ -14,11 +14,19 @@ ERRORS_TYPE = "array<string>"
 
 
 def to_layout(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to ``schema`` by name; a column the input lacks is an error."""
+    """Select and cast to ``schema`` by name; a column the input lacks is an error.
+
+    A number that does not fit its decimal is NULL, so one odd row does not stop the table.
+    """
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from input: {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+    def fitted(f: T.StructField):
+        c = F.col(f.name)
+        return (c.try_cast(f.dataType) if isinstance(f.dataType, T.DecimalType) else c.cast(f.dataType)).alias(f.name)
+
+    return df.select(*[fitted(f) for f in schema])
 
 
 def with_audit(df: DataFrame, at, updated: bool = True, created: bool = True) -> DataFrame:

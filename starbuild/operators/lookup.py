@@ -62,19 +62,21 @@ def lookup_key_skewed(
     key: str,
     as_name: str | None = None,
     share: float = 0.01,
-    spread: int = 1024,
+    spread: int | None = None,
 ) -> DataFrame:
     """:func:`lookup_key` against a large dimension when a few values fill ``df``.
 
     Values above ``share`` of the rows number at most 1/share; their dimension rows are
-    broadcast.  The rows they resolve, and rows without a key, then spread over all
-    partitions of the shuffled join instead of meeting in one.
+    broadcast.  Their rows, whether the dimension knows the value or not, and rows without
+    a key then spread over all partitions of the shuffled join instead of meeting in one.
     """
+    spread = spread or max(1024, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ((column, natural),) = _pairs(on).items()
     as_name = as_name or key
     side = dim.select(F.col(natural).alias("__nk"), F.col(key).alias("__key"))
     heavy = heavy_values(df, column, share).select(F.col(column).alias("__nk"))
-    heavy_side = side.join(F.broadcast(heavy), "__nk").select(
+    matched = side.join(F.broadcast(heavy), "__nk")
+    heavy_side = heavy.join(F.broadcast(matched), "__nk", "left").select(
         F.col("__nk").alias("__hot"), F.col("__key").alias("__hot_key")
     )
     others = [F.col(c) for c in df.columns if c != column] or [F.col(column)]

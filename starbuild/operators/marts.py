@@ -39,6 +39,18 @@ def _per_student(facts: DataFrame) -> DataFrame:
     )
 
 
+def with_current_key(facts: DataFrame, versions: DataFrame, natural_key: str, key: str) -> DataFrame:
+    """``facts`` with the key of a closed dimension version replaced by that of the current one.
+
+    Keys of members without a current version stay.
+    """
+    current = versions.where("is_current").select(natural_key, F.col(key).alias("__now"))
+    closed = versions.where("NOT is_current").select(natural_key, F.col(key).alias("__then"))
+    moved = closed.join(current, natural_key).select("__then", "__now")
+    joined = facts.join(moved, F.col(key) == F.col("__then"), "left")
+    return joined.withColumn(key, F.coalesce("__now", key)).select(*facts.columns)
+
+
 def _by_department(facts: DataFrame, students: DataFrame, how: str):
     """Per-student sums grouped by semester and department of the current student version."""
     side = students.where(F.col("is_current")).select(F.col("student_key").alias("__sk"), "department_key")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.functions.dates import as_date
@@ -15,7 +15,11 @@ _BEGINNING = "0001-01-01 00:00:00"
 
 def recent_rows(df: DataFrame, column: str, as_of, days: int = 1) -> DataFrame:
     """Rows whose timestamp lies on or after ``as_of`` minus ``days`` days."""
-    return df.where(F.col(column) >= F.date_sub(as_date(as_of), days))
+    return df.where(is_recent(column, as_of, days))
+
+
+def is_recent(column: str, as_of, days: int = 1) -> Column:
+    return F.col(column) >= F.date_sub(as_date(as_of), days)
 
 
 def newer_rows(source: DataFrame, updated: str, target: DataFrame, loaded: str) -> DataFrame:

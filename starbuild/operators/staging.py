@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +34,8 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-_scopes: list[list[str]] = []
+# of the present thread: warehouses built side by side do not see each other's tables
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("staged_tables", default=())
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -43,7 +45,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    for paths in _scopes:
+    for paths in _scopes.get():
         paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -58,11 +60,11 @@ def _delete(spark: SparkSession, folder: str) -> None:
 def staged_tables(spark: SparkSession) -> Iterator[None]:
     """Delete, on leaving, the tables staged inside; what was computed from them must be written by then."""
     paths: list[str] = []
-    _scopes.append(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scopes[:] = [scope for scope in _scopes if scope is not paths]
+        _scopes.reset(token)
         for path in paths:
             _delete(spark, path)
 

@@ -26,13 +26,24 @@ class EntityErrors(RuntimeError):
 class Warehouse:
     """The university warehouse under one root folder, built for one run time."""
 
-    def __init__(self, spark: SparkSession, root: str, run_at: dt.datetime, gate: bool = True):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        run_at: dt.datetime,
+        gate: bool = True,
+        calendar_days: tuple[str, str] = uni.CALENDAR,
+        student_rows: tuple[int | None, int | None] = (1, None),
+    ):
+        """``calendar_days`` bounds the date dimension, ``student_rows`` the rows that the student checks accept."""
         self.spark = spark
         self.lake = Lake(spark, root)
         self.run_at = run_at
         self.as_of = run_at.date()
         self.batch_id = batch_id_of(run_at)
         self.gate = gate
+        self.calendar_days = calendar_days
+        self.student_rows = student_rows
         self.jobs: list[tuple] = []
         self.lineage: list[tuple] = []
 
@@ -60,7 +71,7 @@ class Warehouse:
             save(plan().observe(seen, *quality.row_flow(kept())))
             self._record(name, begun, "success", seen.get, None)
         except Exception as error:
-            self._record(name, begun, "failed", {}, str(error)[:2000])
+            self._record(name, begun, "failed", {}, str(error))
             raise
         self.lineage += [(source, name, kind, self.batch_id) for source in sources]
 
@@ -110,8 +121,9 @@ class Warehouse:
     def build_silver(self, names: Sequence[str] = SILVER_ORDER, recent_days: int | None = None) -> None:
         """Cleanse each entity.
 
-        With ``recent_days`` only rows ingested in that window are read and merged into
-        the existing silver table; otherwise silver is derived from all batches.
+        With ``recent_days`` the rows ingested in that window, and those of every batch
+        not merged before, go into the existing silver table; otherwise silver is derived
+        from all batches.
         """
 
         def one(name: str) -> None:
@@ -124,15 +136,27 @@ class Warehouse:
                 lambda df: self.lake.overwrite(df, "silver", entity.silver_table),
                 lambda: F.col("is_valid"),
             )
+            merged = self.bronze(entity).select("_batch_id").distinct()
+            self.lake.append(merged.withColumn("table_name", F.lit(entity.silver_table)), "audit", "merged_batches")
 
         self._each(names, one)
 
+    def _merged_batches(self, entity: EntitySpec) -> list[str]:
+        """Batches that silver already holds, one per earlier run; the present one is merged anew."""
+        if not self.lake.exists("audit", "merged_batches"):
+            return []
+        rows = self.lake.read("audit", "merged_batches", F.col("table_name") == entity.silver_table)
+        return [r[0] for r in rows.select("_batch_id").distinct().collect() if r[0] != self.batch_id]
+
     def _silver_plan(self, entity: EntitySpec, recent_days: int | None) -> DataFrame:
         raw = self.bronze(entity)
         if recent_days is None or not self.lake.exists("silver", entity.silver_table):
             return uni.silver(raw, entity, self.run_at)
         keyless = dedup.any_null(entity.keys)
-        recent = merge.recent_rows(raw.where(~keyless), "_ingested_at", self.as_of, recent_days)
+        keyed = raw.where(~keyless)
+        # by the partition column, so merged batches outside the window are not opened
+        known = F.col("_batch_id").isin(self._merged_batches(entity))
+        recent = keyed.where(~known | merge.is_recent("_ingested_at", self.as_of, recent_days))
         before = self.lake.read("silver", entity.silver_table, where=~keyless)
         fresh = stage(uni.silver(recent, entity, self.run_at), f"fresh-{entity.name}")
         merged = merge.upsert(before, fresh, entity.keys, check_unique=False)
@@ -165,7 +189,7 @@ class Warehouse:
         at = self.run_at
         self._gold(
             "dim_date", [], "generate",
-            lambda: calendar.date_dimension(self.spark, *uni.CALENDAR, existing=before("dim_date")),
+            lambda: calendar.date_dimension(self.spark, *self.calendar_days, existing=before("dim_date")),
         )
         self._gold(
             "dim_department", ["silver.stg_departments"], "dimension",
@@ -201,8 +225,10 @@ class Warehouse:
         def enrollment_plan() -> DataFrame:
             dims, rows = (students, courses, semesters), self.silver("enrollments")
             if incremental and self.lake.exists("gold", "fact_enrollment"):
-                return uni.fact_enrollment_merged(self.gold("fact_enrollment"), rows, *dims, stamp=self.run_at)
-            return uni.fact_enrollment(rows, *dims, stamp=self.run_at)
+                return uni.fact_enrollment_merged(
+                    self.gold("fact_enrollment"), rows, *dims, days=self.calendar_days, stamp=self.run_at
+                )
+            return uni.fact_enrollment(rows, *dims, days=self.calendar_days, stamp=self.run_at)
 
         self._gold(
             "fact_enrollment", ["silver.stg_enrollments", "gold.dim_student", "gold.dim_course", "gold.dim_semester"],
@@ -210,7 +236,9 @@ class Warehouse:
         )
         self._gold(
             "fact_tuition", ["silver.stg_tuition", "gold.dim_student", "gold.dim_semester"], "fact",
-            lambda: uni.fact_tuition(self.silver("tuition"), students, semesters, stamp=self.run_at),
+            lambda: uni.fact_tuition(
+                self.silver("tuition"), students, semesters, days=self.calendar_days, stamp=self.run_at
+            ),
         )
         versions = self.gold("dim_student")
         self.check(
@@ -223,8 +251,11 @@ class Warehouse:
         )
 
     def build_marts(self) -> None:
-        enrollment, tuition = self.gold("fact_enrollment"), self.gold("fact_tuition")
-        students = self.current_students()
+        tuition, students = self.gold("fact_tuition"), self.current_students()
+        # facts keep the student version of their load, the marts count by the current one
+        enrollment = marts.with_current_key(
+            self.gold("fact_enrollment"), self.gold("dim_student"), "student_id", "student_key"
+        )
         for name, sources, plan in (
             (
                 "agg_academic_performance_semester",
@@ -280,11 +311,11 @@ class Warehouse:
         self.build_bronze(feeds)
         if source_checks and "students" in feeds:
             batch = self.lake.read_bronze("raw_students", uni.STUDENTS.source, self.batch_id)
-            self.check(batch, uni.bronze_student_checks(), "bronze.raw_students")
+            self.check(batch, uni.bronze_student_checks(self.student_rows), "bronze.raw_students")
         self.build_silver(names, recent_days)
         if source_checks:
             for name in names:
-                checks = uni.silver_checks(name, self.run_at)
+                checks = uni.silver_checks(name, self.run_at, self.student_rows)
                 self.check(self.silver(name), checks, f"silver.{uni.ENTITIES[name].silver_table}")
         self.build_dimensions()
         self.build_facts(incremental=recent_days is not None)

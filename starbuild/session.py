@@ -31,14 +31,17 @@ def get_session(app_name: str = "starbuild", extra: Mapping[str, str] | None = N
 
 
 def jdbc_settings(env: Mapping[str, str] | None = None) -> tuple[str, dict[str, str]]:
-    """JDBC address and connection properties from DW_HOST, DW_PORT, DW_DATABASE, DW_USER, DW_PASSWORD."""
+    """JDBC address and connection properties from DW_HOST, DW_PORT, DW_DATABASE, DW_USER, DW_PASSWORD.
+
+    The password has no default: without it this fails.
+    """
     env = os.environ if env is None else env
     url = "jdbc:postgresql://{}:{}/{}".format(
         env.get("DW_HOST", "postgres"), env.get("DW_PORT", "5432"), env.get("DW_DATABASE", "university_dw")
     )
     properties = {
         "user": env.get("DW_USER", "datawarehouse"),
-        "password": env.get("DW_PASSWORD", "datawarehouse"),
+        "password": env["DW_PASSWORD"],
         "driver": "org.postgresql.Driver",
     }
     return url, properties

@@ -104,7 +104,7 @@ class Lake:
         return version
 
     def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
-        """Rewrite, in the first version's folder, only the partitions that occur in ``df``.
+        """Rewrite, in the newest version's folder, only the partitions that occur in ``df``.
 
         ``df`` may be computed from the partitions it replaces, so it is staged first.
         """
@@ -113,12 +113,15 @@ class Lake:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_by)
-            .parquet(f"{self.table_path(layer, table)}/{_VERSION}1")
+            .parquet(self._newest_path(layer, table))
         )
 
+    def _newest_path(self, layer: str, table: str) -> str:
+        return f"{self.table_path(layer, table)}/{_VERSION}{(self.versions(layer, table) or [1])[-1]}"
+
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         """Add rows to an append-only table (audit tables)."""
-        df.write.mode("append").parquet(f"{self.table_path(layer, table)}/{_VERSION}1")
+        df.write.mode("append").parquet(self._newest_path(layer, table))
 
     def exists(self, layer: str, table: str) -> bool:
         return bool(self.versions(layer, table))

@@ -147,7 +147,7 @@ def test_new_files_only(spark, tmp_path):
 
 
 def test_jdbc_options():
-    url, properties = session.jdbc_settings({"DW_HOST": "h", "DW_USER": "u"})
+    url, properties = session.jdbc_settings({"DW_HOST": "h", "DW_USER": "u", "DW_PASSWORD": "secret"})
     assert url == "jdbc:postgresql://h:5432/university_dw" and properties["user"] == "u"
     options = jdbc.read_options(url, "t", properties, jdbc.Split("id", 0, 100, 8))
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "8" and options["dbtable"] == "t"

@@ -1,46 +1,62 @@
-"""A small university in the feed layouts.
-
-Keys, codes, scores and amounts are fixed values that the expected tables depend on;
-names, addresses and descriptions are filler.
-"""
+"""A small university in the feed layouts.  All rows are invented for these tests."""
 
 from __future__ import annotations
 
 import csv
 from pathlib import Path
 
-# department, cohort year, status by student number 1..20
-STUDENTS = """
-1 2020 Active, 2 2019 Graduated, 1 2021 Active, 3 2020 Active, 2 2018 Graduated,
-1 2020 Active, 3 2019 Active, 2 2021 Active, 1 2020 Active, 3 2019 Graduated,
-2 2018 Graduated, 1 2021 Active, 3 2020 Active, 2 2019 Active, 1 2021 Active,
-3 2020 Dropped, 2 2019 Active, 1 2018 Graduated, 3 2021 Active, 2 2020 Active
-"""
-SOUTHERN = {2, 5, 10, 16, 17}
-
-# student, course, semester, letter, total score, absences out of 30 sessions
-ENROLLMENTS = """
-1 CS101 2020F B 7.8 2, 1 MA101 2020F C+ 6.8 3, 1 EN101 2020F B+ 8.3 1, 1 CS102 2021S B 7.3 4, 1 MA102 2021S C+ 6.3 5,
-2 BA101 2019F A 8.8 0, 2 BA102 2019F B+ 8.3 1, 2 BA201 2020S B 7.8 2, 2 BA202 2020S A 9.3 0, 3 CS101 2021F B 7.3 3,
-3 MA101 2021F C+ 6.8 4, 3 EN101 2021F B 7.8 2, 4 CS101 2020F B+ 8.3 1, 4 BA101 2020F B 7.8 2, 4 EN101 2020F A 8.8 0,
-5 BA101 2018F B 7.3 3, 5 BA102 2018F C+ 6.8 5, 5 BA201 2019S B 7.8 2, 6 CS101 2020F C+ 6.3 6, 6 MA101 2020F C 5.8 7,
-7 BA101 2019F B+ 8.3 1, 7 EN101 2019F B 7.3 3, 8 BA101 2021F B 7.8 2, 8 BA102 2021F B+ 8.3 1, 9 CS101 2020F A 9.3 0,
-9 CS102 2021S A 8.8 1, 10 BA301 2019F B 7.8 2, 10 BA302 2019F B+ 8.3 1, 11 BA201 2018F C+ 6.8 4, 11 BA202 2019S B 7.3 3
-"""
-COURSES = (
-    "CS101 CS102 CS201 CS202 CS301 CS302 CS401 CS402 BA101 BA102 BA201 BA202 BA301 BA302 "
-    "EN101 EN102 EN201 MA101 MA102 MA201"
-)
-# student, semester, tuition, scholarship, discount, paid, day
-TUITION = """
-1 2020F 5000.00 1000.00 0.00 4000.00 2020-08-15, 2 2020F 5000.00 0.00 500.00 4500.00 2020-08-16,
-3 2020F 5000.00 2500.00 0.00 2500.00 2020-08-17, 1 2021S 5200.00 1000.00 0.00 4200.00 2021-01-20,
-2 2021S 5200.00 0.00 520.00 4680.00 2021-01-21
-"""
-
+# number, department, cohort year, province, status
+STUDENTS = [
+    (1, 1, 2019, "TP HCM", "Active"),
+    (2, 1, 2019, "Ha Noi", "Graduated"),
+    (3, 1, 2022, "Ha Noi", "Active"),
+    (4, 2, 2019, "TP HCM", "Graduated"),
+    (5, 2, 2021, "Ha Noi", "Active"),
+    (6, 2, 2021, "Ha Noi", "Dropped"),
+    (7, 2, 2022, "TP HCM", "Active"),
+    (8, 4, 2019, "Ha Noi", "Dropped"),
+    (9, 4, 2021, "Ha Noi", "Active"),
+    (10, 4, 2021, "Ha Noi", "Graduated"),
+    (11, 5, 2022, "TP HCM", "Active"),
+    (12, 5, 2022, "Ha Noi", "Active"),
+]
+
+# student, course, semester, letter, total score, absences out of 40 sessions
+ENROLLMENTS = [
+    (1, "LOG10", "2019F", "B", "7.1", 4),
+    (1, "ALG10", "2019F", "A", "9.0", 0),
+    (1, "ALG20", "2022F", "C+", "6.4", 10),
+    (2, "LOG10", "2019F", "C", "5.5", 8),
+    (2, "ALG20", "2021S", "B+", "8.1", 2),
+    (3, "LOG10", "2022F", "A", "9.4", 1),
+    (4, "ART10", "2019F", "B+", "8.4", 0),
+    (4, "ART20", "2021S", "B", "7.5", 6),
+    (5, "ART10", "2021F", "C+", "6.6", 5),
+    (5, "LOG10", "2021F", "B", "7.7", 3),
+    (6, "ART10", "2021F", "C", "5.1", 12),
+    (7, "ART10", "2022F", "A", "8.9", 2),
+    (8, "BIO10", "2019F", "C", "5.9", 20),
+    (9, "BIO10", "2021F", "B", "7.2", 4),
+    (9, "BIO20", "2022F", "B+", "8.2", 0),
+    (10, "BIO10", "2021F", "A", "9.9", 0),
+    (11, "LAW10", "2022F", "B", "7.0", 7),
+    (12, "LAW10", "2022F", "C+", "6.9", 9),
+]
+POINTS = {"A": 4.0, "B+": 3.3, "B": 3.0, "C+": 2.3, "C": 2.0}
+
+# course, department
+COURSES = [
+    ("LOG10", 1), ("ALG10", 1), ("ALG20", 1), ("ART10", 2), ("ART20", 2),
+    ("BIO10", 4), ("BIO20", 4), ("LAW10", 5), ("LAW20", 5),
+]
 
-def _items(text: str) -> list[list[str]]:
-    return [item.split() for item in text.replace("\n", " ").split(",")]
+# student, semester, tuition, scholarship, discount, paid, day
+TUITION = [
+    (1, "2021S", "900.00", "100.00", "0.00", "800.00", "2021-02-10"),
+    (4, "2021S", "1200.00", "0.00", "60.00", "1140.00", "2021-02-11"),
+    (5, "2021F", "1200.00", "300.00", "0.00", "900.00", "2021-09-05"),
+    (9, "2021F", "1500.00", "0.00", "0.00", "1500.00", "2021-09-06"),
+]
 
 
 def semester_start(code: str) -> str:
@@ -49,10 +65,10 @@ def semester_start(code: str) -> str:
 
 def students() -> list[dict]:
     out = []
-    for number, (department, cohort, status) in enumerate(_items(STUDENTS), 1):
+    for number, department, cohort, province, status in STUDENTS:
         out.append(
             {
-                "student_id": f"SV{number:03d}",
+                "student_id": f"P{number:03d}",
                 "first_name": f" Given{number}",
                 "last_name": f"Family{number} ",
                 "date_of_birth": f"{2000 + number % 4}-{1 + number % 12:02d}-{1 + number:02d}",
@@ -61,9 +77,9 @@ def students() -> list[dict]:
                 "phone": f"090 {number:07d}",
                 "address": f"{number} Main Street",
                 "city": "Town",
-                "province": "TP HCM" if number in SOUTHERN else "Ha Noi",
+                "province": province,
                 "cohort_year": cohort,
-                "department_id": f"DEPT{int(department):03d}",
+                "department_id": f"DEPT{department:03d}",
                 "enrollment_date": f"{cohort}-09-01",
                 "status": status,
             }
@@ -80,12 +96,12 @@ def departments() -> list[dict]:
             "dean_name": f"Dean {n}",
             "established_year": 1984 + n,
         }
-        for n in range(1, 9)
+        for n in range(1, 7)
     ]
 
 
 def semesters() -> list[dict]:
-    codes = [f"{y}{half}" for y in range(2018, 2026) for half in ("S", "F")][1:]
+    codes = [f"{y}{half}" for y in range(2019, 2024) for half in ("S", "F")]
     return [
         {
             "semester_id": f"SEM{code}",
@@ -94,36 +110,35 @@ def semesters() -> list[dict]:
             "semester_number": 2 if code[4] == "S" else 1,
             "start_date": semester_start(code),
             "end_date": f"{code[:4]}-06-15" if code[4] == "S" else f"{int(code[:4]) + 1}-01-15",
-            "is_current": str(code == "2025F").lower(),
+            "is_current": str(code == "2023F").lower(),
         }
         for code in codes
     ]
 
 
 def courses() -> list[dict]:
-    home = {"CS": 1, "BA": 2, "EN": 3, "MA": 3}
     return [
         {
             "course_id": code,
             "course_name": f"Course {code}",
             "course_description": "",
-            "credits": 2 if code.startswith("EN") else 3,
-            "department_id": f"DEPT{home[code[:2]]:03d}",
+            "credits": 2 if code.endswith("20") else 3,
+            "department_id": f"DEPT{department:03d}",
             "course_level": "Undergraduate",
             "course_type": "Required",
             "is_active": "true",
         }
-        for code in COURSES.split()
+        for code, department in COURSES
     ]
 
 
 def enrollments() -> list[dict]:
     out = []
-    for number, (student, course, semester, letter, score, absent) in enumerate(_items(ENROLLMENTS), 1):
+    for number, (student, course, semester, letter, score, absent) in enumerate(ENROLLMENTS, 1):
         out.append(
             {
                 "enrollment_id": f"ENR{number:03d}",
-                "student_id": f"SV{int(student):03d}",
+                "student_id": f"P{student:03d}",
                 "course_id": course,
                 "semester_id": f"SEM{semester}",
                 "enrollment_date": semester_start(semester),
@@ -132,7 +147,7 @@ def enrollments() -> list[dict]:
                 "total_score": score,
                 "grade_letter": letter,
                 "status": "Completed",
-                "attendance_count": 30 - int(absent),
+                "attendance_count": 40 - absent,
                 "absence_count": absent,
             }
         )
@@ -144,13 +159,13 @@ def tuition() -> list[dict]:
     return [
         {
             "transaction_id": f"TXN{n:03d}",
-            "student_id": f"SV{int(row[0]):03d}",
+            "student_id": f"P{row[0]:03d}",
             "semester_id": f"SEM{row[1]}",
             **dict(zip(names, row[2:])),
             "payment_method": "Cash",
             "status": "Paid",
         }
-        for n, row in enumerate(_items(TUITION), 1)
+        for n, row in enumerate(TUITION, 1)
     ]
 
 
