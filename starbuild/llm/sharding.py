@@ -1,11 +1,11 @@
 """Sharding by balanced label propagation, with shard sizes in rows at most one apart.
 
 Documents with equal texts are linked.  Linked documents start in a hashed shard; in each
-round a document moves to the shard that holds most of its neighbours, as far as that
-shard's quota of rows goes.  A round is a grouped count (text and shard, added up before
-the shuffle), a grouped maximum and a join back; who may move under a quota is decided by
-a hash, whole groups at a time while they are small against a shard and document by
-document when they are not, so a text with a third of all rows fills shard after shard.
+round a document moves to the shard that holds most of its neighbours (to one of several
+if they need several), as far as that shard's quota of rows goes.  A round is a grouped
+count (text and shard, added up before the shuffle), a ranking of each text's shards and a
+join back; who may move under a quota is decided by a hash, whole groups at a time while
+they are small against a shard and document by document when they are not.
 
 Documents without links cost no cut wherever they lie: they level the shards at the end.
 Rows are ranked in each shard (linked ones first) by counts per bucket and a rank within
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from starbuild.llm.common import stage, text_or_empty
 
 SHARDS = 16
-ROUNDS = 8
+ROUNDS = 16
 #: Groups up to this share of a shard move as a whole.
-SMALL = 1 / 64
+SMALL = 1 / 6
 #: Rows aimed at per bucket when ranking.
 BUCKET = 2000
 
@@ -38,33 +38,25 @@ def _chance(*parts: Column) -> Column:
 
 def _moved(linked: DataFrame, room: dict[int, int], quota: float, turn: int) -> DataFrame:
     """One round: ``linked`` with each row's new ``shard``."""
+    rooms = F.array(*[F.lit(room[j]) for j in sorted(room)])
     held = linked.groupBy("g", "size", "shard").agg(F.count("*").alias("n"))
-    free = F.lit(0)
-    for shard, rows in room.items():
-        free = F.when(F.col("shard") == shard, rows).otherwise(free)
-    # the shard with most neighbours; a full one only counts for those already there
-    rank = F.struct("n", F.xxhash64("g", "shard").alias("tie"), "shard")
-    open_best = F.max(F.when(free > 0, rank)).alias("best")
-    wanted = held.groupBy("g", "size").agg(open_best).where("best IS NOT NULL")
-    wanted = wanted.select("g", F.col("best.n").alias("best_n"), F.col("best.tie").alias("best_tie"), F.col("best.shard").alias("best"))
-    here = held.select("g", "shard", "n")
-    going = (
-        here.join(wanted, "g")
-        .where((F.col("shard") != F.col("best")) & (F.struct("best_n", "best_tie") > F.struct(F.col("n"), F.xxhash64("g", "shard"))))
-        .select("g", "shard", "best", "n")
-    )
-    going = stage(going, "shard-moves")
-    asked = {r["best"]: r["n"] for r in going.groupBy("best").agg(F.sum("n").alias("n")).collect()}
-    share = F.lit(0.0)
-    for shard, n in asked.items():
-        share = F.when(F.col("best") == shard, min(1.0, room[shard] / n)).otherwise(share)
-    accepted = going.select("g", "shard", "best", share.alias("share"))
-    dice = F.when(F.col("size") <= quota * SMALL, _chance(F.lit(turn), F.col("g"))).otherwise(_chance(F.lit(turn), F.col("u")))
-    return (
-        linked.join(accepted, ["g", "shard"], "left")
-        .withColumn("shard", F.when(dice < F.col("share"), F.col("best")).otherwise(F.col("shard")))
-        .drop("best", "share")
-    )
+    # at most one entry a shard, those with most of the group first; it needs the first few
+    ranked = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("g", "shard").alias("tie"), "shard")), asc=False)
+    need = F.ceil(F.col("size") / quota).cast("int")
+    homes = held.groupBy("g", "size").agg(F.transform(ranked, lambda x: x.shard).alias("ranked"))
+    homes = homes.withColumn("open", F.slice(F.filter("ranked", lambda j: F.get(rooms, j) > 0), F.lit(1), need))
+    homes = stage(homes.select("g", "ranked", "open", need.alias("need")), "shard-homes")
+    here = F.array_position("ranked", F.col("shard"))
+    # only ever to shards with more of the group
+    better = F.filter("open", lambda j: F.array_position("ranked", j) < here)
+    going = (here > F.col("need")) & (F.size(better) > 0)
+    wishes = held.join(homes, "g").where(going).select(F.explode(better).alias("to"), (F.col("n") / F.size(better)).alias("n"))
+    asked = {r["to"]: r["n"] for r in wishes.groupBy("to").agg(F.sum("n").alias("n")).collect()}
+    share = F.array(*[F.lit(min(1.0, room[j] / asked[j]) if asked.get(j) else 0.0) for j in sorted(room)])
+    who = F.when(F.col("size") <= quota * SMALL, F.xxhash64("g")).otherwise(F.col("u"))
+    to = F.get(better, F.pmod(F.xxhash64(F.lit(turn), F.lit("to"), who), F.size(better)).cast("int"))
+    goes = going & (_chance(F.lit(turn), who) < F.get(share, to))
+    return linked.join(homes, "g").withColumn("shard", F.when(goes, to).otherwise(F.col("shard"))).select(*linked.columns)
 
 
 def _propagated(linked: DataFrame, total: int, shards: int, rounds: int) -> DataFrame:
