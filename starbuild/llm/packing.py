@@ -45,7 +45,7 @@ CUTS = 2
 #: Rests below this are not cut.
 LEAST_CUT = 128
 #: Words a worker learns before it forgets those not met since.
-MEMORY = 500_000
+MEMORY = 400_000
 #: A full stop or comma after a letter, before white space: a token of its own.
 _STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \t-\r]|\Z)")
 

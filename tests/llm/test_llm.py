@@ -555,3 +555,11 @@ def test_pipeline(spark):
     assert four.columns == columns and Counter(r.doc_id for r in four.collect()) == want
     check_packed(stages[4](spark, four, folder).collect(), [(r.doc_id, r.text) for r in four.collect()], packing_tokenizer())
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_agrees_with_sql(spark, name):
+    from check_catalogue import compare
+
+    agrees, detail = compare(spark, "/root/testdata/sf0.01", name)
+    assert agrees, detail
