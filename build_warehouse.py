@@ -12,7 +12,7 @@ import datetime as dt
 
 from starbuild.plans.university import ENTITIES
 from starbuild.plans.warehouse import Warehouse
-from starbuild.session import get_session
+from starbuild.session import get_session, jdbc_settings
 
 
 def arguments() -> argparse.Namespace:
@@ -25,6 +25,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--run-at", type=dt.datetime.fromisoformat, default=None, help="run time; default now")
     parser.add_argument("--recent-days", type=int, default=None, help="merge only rows ingested in this window")
     parser.add_argument("--no-gate", action="store_true", help="record failed checks without stopping")
+    parser.add_argument("--export", nargs="*", default=[], help="gold tables to copy to the database of DW_HOST and others")
     return parser.parse_args()
 
 
@@ -34,6 +35,10 @@ def main() -> None:
     warehouse = Warehouse(get_session("build warehouse"), args.root, run_at, gate=not args.no_gate)
     feeds = {name: (f"{args.feeds.rstrip('/')}/{name}{args.suffix}", args.format) for name in args.entities}
     warehouse.run(feeds, recent_days=args.recent_days)
+    if args.export:
+        url, properties = jdbc_settings()
+        for table in args.export:
+            warehouse.export("gold", table, url, properties)
 
 
 if __name__ == "__main__":

@@ -29,7 +29,7 @@ def email_form(c: Column) -> Column:
 
 
 def phone_form(c: Column) -> Column:
-    """Keep digits and plus signs."""
+    """Keep digits and plus signs (the pattern is a fixed value)."""
     return F.regexp_replace(c, "[^0-9+]", "")
 
 

@@ -162,6 +162,8 @@ def _all_required(*columns: str):
     return lambda: [required(c) for c in columns]
 
 
+# Column names, types and rule messages of the entities are fixed values.
+
 STUDENTS = EntitySpec(
     "students",
     ("student_id",),

@@ -16,6 +16,8 @@ from starbuild.sources import jdbc
 from starbuild.sources.files import batch_id_of, ingest
 from starbuild.sources.lake import Lake
 
+#: Dimensions whose members can leave, with their natural keys; students are closed, not removed.
+DEPARTING = {"dim_department": "department_id", "dim_semester": "semester_id", "dim_course": "course_id"}
 SILVER_ORDER = ("departments", "semesters", "courses", "students", "enrollments", "tuition")
 
 
@@ -184,7 +186,7 @@ class Warehouse:
 
     def build_dimensions(self) -> None:
         def before(name: str) -> DataFrame | None:
-            return self.lake.read("gold", name) if self.lake.exists("gold", name) else None
+            return self._numbered(name) if self.lake.exists("gold", name) else None
 
         at = self.run_at
         self._gold(
@@ -210,6 +212,8 @@ class Warehouse:
             ),
         )
 
+        for name in DEPARTING:
+            self._retire(name)
         for name, key, natural_key in (
             ("dim_department", "department_key", "department_id"),
             ("dim_semester", "semester_key", "semester_id"),
@@ -218,6 +222,23 @@ class Warehouse:
         ):
             self.check(self.lake.read("gold", name), uni.dimension_checks(key, natural_key), f"gold.{name}")
 
+    def _numbered(self, name: str) -> DataFrame:
+        """Every member that ever had a key: those of the newest version and those that left."""
+        newest = self.lake.read("gold", name)
+        natural_key, left = DEPARTING.get(name), f"{name}_departed"
+        if natural_key is None or not self.lake.exists("gold", left):
+            return newest
+        departed = self.lake.read("gold", left).dropDuplicates([natural_key])
+        return newest.unionByName(departed.join(newest.select(natural_key), natural_key, "left_anti"))
+
+    def _retire(self, name: str) -> None:
+        """Keep the members that the newest version no longer has, so that their keys are never given out again."""
+        versions = self.lake.versions("gold", name)
+        if len(versions) > 1:
+            older, newest = self.lake.read("gold", name, version=versions[-2]), self.lake.read("gold", name)
+            gone = older.join(newest.select(DEPARTING[name]), DEPARTING[name], "left_anti")
+            self.lake.append(gone, "gold", f"{name}_departed")
+
     def build_facts(self, incremental: bool = False) -> None:
         """Both fact tables; ``incremental`` merges only enrolments updated since the last load."""
         students, semesters, courses = self.current_students(), self.gold("dim_semester"), self.gold("dim_course")

@@ -236,6 +236,24 @@ def test_an_enrolment_that_turns_invalid_leaves_the_facts(spark, tmp_path):
     assert later.gold("fact_enrollment").count() == 17
 
 
+def test_keys_of_departed_members_are_not_reissued(spark, tmp_path):
+    def keys(day, departments):
+        run = Warehouse(spark, str(tmp_path / "lake"), DAY + dt.timedelta(days=day), gate=False)
+        run.build_bronze({"departments": feed.write_feeds(tmp_path / str(day), departments=departments)["departments"]})
+        if day == 0:
+            others = feed.write_feeds(tmp_path / "others")
+            run.build_bronze({n: f for n, f in others.items() if n != "departments"})
+        run.build_silver(recent_days=1)
+        run.build_dimensions()
+        return {r.department_id: r.department_key for r in run.gold("dim_department").collect()}
+
+    rows = feed.departments()
+    assert keys(0, rows)["DEPT006"] == 6
+    gone, new = dict(rows[5], department_name=""), dict(rows[5], department_id="DEPT007")
+    assert keys(1, [gone, new]) == {f"DEPT00{n}": n for n in (1, 2, 3, 4, 5, 7)}
+    assert keys(2, [rows[5], dict(new, department_id="DEPT008")]) == {f"DEPT00{n}": n for n in range(1, 9)}
+
+
 def test_fact_plan_reads_only_what_it_needs(built):
     facts = uni.fact_tuition(built.silver("tuition"), built.current_students(), built.gold("dim_semester"))
     plan = facts._jdf.queryExecution().executedPlan().toString()
