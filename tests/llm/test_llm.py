@@ -284,8 +284,8 @@ def brute_removed(docs):
     return Counter(out)
 
 
-def removed(df):
-    rows = suffix_repeats.remove_repeats(df).collect()
+def removed(df, hot=suffix_repeats.HOT):
+    rows = suffix_repeats.remove_repeats(df, hot=hot).collect()
     return Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans) // 2, r.kept_sha256) for r in rows)
 
 
@@ -296,8 +296,9 @@ def test_repeats(spark, sample, hostile, empty):
     assert removed(empty) == Counter()
 
 
-def test_repeats_with_partly_shared_contexts(spark, monkeypatch):
-    """Passages cut at any length around the limit, runs of one letter, zero bytes and document ends."""
+@pytest.mark.parametrize("hot", [0, 5, suffix_repeats.HOT])
+def test_repeats_with_partly_shared_contexts(spark, monkeypatch, hot):
+    """All, some or no anchors settled by their strings; passages cut at any length around the limit, runs of one letter, zero bytes and document ends."""
     rng = np.random.default_rng(3)
     base = "".join(map(chr, rng.integers(97, 101, 400)))
     docs = [(1, base), (2, "a" * 130), (3, "x" + "a" * 60 + "y"), (4, "\0" * 70), (5, "\0" * 49), (6, "\0" * 51)]
@@ -307,7 +308,16 @@ def test_repeats_with_partly_shared_contexts(spark, monkeypatch):
     monkeypatch.setattr(suffix_repeats, "BLOCK", 600)
     monkeypatch.setattr(suffix_repeats, "BUCKET", 600)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert removed(df) == brute_removed([(i, t.encode()) for i, t in docs])
+    assert removed(df, hot) == brute_removed([(i, t.encode()) for i, t in docs])
+
+
+def test_hot_repeats(spark, sample, hostile, empty, monkeypatch):
+    monkeypatch.setattr(suffix_repeats, "BLOCK", 100_000)
+    monkeypatch.setattr(suffix_repeats, "BUCKET", 100_000)
+    assert removed(sample, 2) == removed(sample)
+    short = hostile.where("doc_id IS NULL OR doc_id != 7")
+    assert removed(short, 0) == brute_removed([(r.doc_id, (r.text or "").encode()) for r in short.collect()])
+    assert removed(empty, 0) == Counter()
 
 
 def test_interval_tree():
