@@ -9,6 +9,7 @@ from catalogue.registry import Tables, query, with_ctes
 from catalogue.standins import STAMP
 from catalogue.warehouse import enrollment_facts, courses, semesters, silver, students
 from starbuild.operators import quality
+from starbuild.operators.staging import stage
 from starbuild.operators.validate import EMAIL_PATTERN
 from starbuild.plans import university as uni
 
@@ -45,6 +46,11 @@ def _duplicates(column: str, source: str) -> tuple:
     return "duplicate_count", column, "0", f"max({inner})", "v = 0"
 
 
+def _orphans(source: str, column: str, dim: str) -> tuple:
+    inner = f"(SELECT count(*) FROM {source} o LEFT JOIN {dim} d ON o.{column} = d.{column} WHERE o.{column} IS NOT NULL AND d.{column} IS NULL)"
+    return "referential", column, "0 orphans", f"max({inner})", "v = 0"
+
+
 def _present(column: str) -> tuple:
     return "column_exists", column, "present", "max('present')", "true"
 
@@ -230,14 +236,15 @@ def dq_references(t: Tables):
         [
             _missing("enrollment_id"),
             _duplicates("enrollment_id", "f_enrollment"),
-            *[("referential", c, "0 orphans", "count(*) FILTER (WHERE false)", "v = 0") for c in ("student_key", "semester_key", "course_key")],
+            *[_orphans("f_enrollment", f"{d}_key", f"g_{d}") for d in ("student", "semester", "course")],
         ],
-        "f_enrollment",
+        "f_enrollment", "g_student", "g_semester", "g_course",
     ),
 )
 def dq_fact_enrollment(t: Tables):
     dims = students(t), semesters(t), courses(t)
-    facts = enrollment_facts(t, dims[0])
+    # one stored table for all checks, as the runner has it: each uniqueness and reference check reads it again
+    facts = stage(enrollment_facts(t, dims[0]), "checked-facts")
     return quality.run_checks(facts, uni.fact_checks("fact_enrollment", *dims), "gold.fact_enrollment", STAMP, "b1")
 
 

@@ -174,6 +174,15 @@ def _job(name: str, source: str, failed: str = "false") -> str:
     )
 
 
+def _fact_job(name: str, silver: str, facts: str) -> str:
+    """Valid rows taken in, those with all keys written, the others noted as failed."""
+    valid, written = f"(SELECT count(*) FROM {silver} WHERE is_valid)", f"(SELECT count(*) FROM {facts})"
+    return (
+        f"SELECT '{name}' AS job_name, 'success' AS status, {valid} AS records_processed, {written} AS records_inserted, "
+        f"{valid} - {written} AS records_failed"
+    )
+
+
 @query(
     "warehouse_run",
     "I9 I10 I12 P1 Q9 Q12 Q14",
@@ -189,8 +198,8 @@ def _job(name: str, source: str, failed: str = "false") -> str:
                 _job("gold.dim_semester", "g_semester"),
                 _job("gold.dim_course", "g_course"),
                 _job("gold.dim_student", "g_student"),
-                _job("gold.fact_enrollment", "f_enrollment"),
-                _job("gold.fact_tuition", "f_tuition"),
+                _fact_job("gold.fact_enrollment", "s_enrollments", "f_enrollment"),
+                _fact_job("gold.fact_tuition", "s_tuition", "f_tuition"),
                 _job(
                     "gold.agg_academic_performance_semester", _GROUPS.format("semester_key, department_key", _ACADEMIC)
                 ),

@@ -40,18 +40,16 @@ def fill_keys(df: DataFrame, key: str, order_by: Sequence[str], highest: int = 0
         .collect()
     )
     next_key = max([highest, *(p.top for p in per_partition if p.top is not None)]) + 1
-    first_keys = []
-    for p in per_partition:
-        if p.new_rows:
-            first_keys.append((p.chunk, next_key))
-            next_key += p.new_rows
-    if not first_keys:
+    if not per_partition:
         return placed.select(*df.columns)
-    firsts = df.sparkSession.createDataFrame(first_keys, "__chunk bigint, __first bigint")
-    position = F.col("__pos") - F.shiftleft("__chunk", _POSITION_BITS)
-    numbered = placed.join(F.broadcast(firsts), chunk == F.col("__chunk"), "left").withColumn(
-        key, F.coalesce(F.col(key), F.col("__first") + position)
-    )
+    first_keys = [0] * (per_partition[-1].chunk + 1)
+    for p in per_partition:
+        first_keys[p.chunk] = next_key
+        next_key += p.new_rows
+    # a constant rather than a join: the planner then knows the size of the numbered table
+    firsts = F.split(F.lit(",".join(map(str, first_keys))), ",").cast("array<bigint>")
+    position = F.col("__pos") - F.shiftleft(chunk, _POSITION_BITS)
+    numbered = placed.withColumn(key, F.coalesce(F.col(key), F.get(firsts, chunk.cast("int")) + position))
     return numbered.select(*df.columns)
 
 

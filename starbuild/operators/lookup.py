@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starbuild.functions.dates import as_date, date_key
@@ -138,25 +138,25 @@ def lookup_as_of(
     return joined.drop(*natural, "__from", "__to").withColumnRenamed("__key", as_name)
 
 
-def resolved(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose required keys were all found."""
+def resolved(df: DataFrame, keys: Sequence[str], seen: Observation | None = None) -> DataFrame:
+    """Rows whose required keys were all found; ``seen`` takes the counts of :func:`unresolved_metrics` on the way."""
+    if seen is not None:
+        df = df.observe(seen, *unresolved_metrics(keys))
     return df.where(_and([F.col(k).isNotNull() for k in keys]))
 
 
 def unresolved_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: how many rows lack each key, and how many lack any; a single pass."""
-    any_missing = ~_and([F.col(k).isNotNull() for k in keys])
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(k).isNull()).alias(f"missing_{k}") for k in keys],
-        F.count_if(any_missing).alias("dropped_rows"),
-    )
+    return df.agg(*unresolved_metrics(keys))
 
 
 def unresolved_metrics(keys: Sequence[str]) -> list[Column]:
     """The same counts as expressions for ``DataFrame.observe`` while the table is written."""
-    return [F.count(F.lit(1)).alias("total_rows")] + [
-        F.count_if(F.col(k).isNull()).alias(f"missing_{k}") for k in keys
+    any_missing = ~_and([F.col(k).isNotNull() for k in keys])
+    return [
+        F.count(F.lit(1)).alias("total_rows"),
+        *[F.count_if(F.col(k).isNull()).alias(f"missing_{k}") for k in keys],
+        F.count_if(any_missing).alias("dropped_rows"),
     ]
 
 

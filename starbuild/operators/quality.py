@@ -252,6 +252,11 @@ def lineage_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), LINEAGE_COLUMNS)
 
 
+def unresolved_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """How many rows of a table's build lacked which key."""
+    return spark.createDataFrame(list(rows), "job_name string, run_id string, key_name string, missing_rows bigint")
+
+
 def row_flow(kept: Column, updated: Column | None = None) -> list[Column]:
     """processed / inserted / updated / failed counts as expressions for ``observe`` or ``agg``."""
     changed = F.lit(False) if updated is None else updated

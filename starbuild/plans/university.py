@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starbuild.functions import dates, text, values
@@ -431,13 +431,15 @@ def fact_enrollment(
     passing_score: float = PASSING_SCORE,
     unknown_score_passes: bool | None = False,
     stamp=None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Enrolments with dimension keys; rows lacking a student, course or semester are dropped.
 
-    ``unknown_score_passes=None`` keeps is_passed NULL for a missing score.
+    ``unknown_score_passes=None`` keeps is_passed NULL for a missing score; ``seen`` counts the
+    dropped rows per missing key while the facts are written.
     """
     rows = lookup.resolved(
-        enrollment_lookups(enrollments, students, courses, semesters, calendar, days), ENROLLMENT_KEYS
+        enrollment_lookups(enrollments, students, courses, semesters, calendar, days), ENROLLMENT_KEYS, seen
     )
     sessions = F.col("attendance_count") + F.col("absence_count")
     rows = rows.select(
@@ -479,13 +481,14 @@ def fact_tuition(
     calendar: DataFrame | None = None,
     days: tuple[str, str] = CALENDAR,
     stamp=None,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """Payments with dimension keys; rows lacking a student or semester are dropped."""
+    """Payments with dimension keys; rows lacking a student or semester are dropped, and counted by ``seen``."""
     rows = lookup.lookup_key(layout.valid_rows(tuition), layout.current_rows(students), "student_id", "student_key")
     rows = lookup.lookup_key(rows, semesters, "semester_id", "semester_key")
     rows = lookup.lookup_date_key(rows, "payment_date", "payment_date_key", calendar, *days)
     rows = layout.copy_columns(
-        lookup.resolved(rows, TUITION_KEYS), {"remaining_amount": "balance_amount", "payment_status": "status"}
+        lookup.resolved(rows, TUITION_KEYS, seen), {"remaining_amount": "balance_amount", "payment_status": "status"}
     ).withColumn("is_fully_paid", values.stays_within(F.col("balance_amount"), 0))
     rows = rows.select(
         "transaction_id", *TUITION_KEYS, "payment_date_key", "tuition_amount", "scholarship_amount",

@@ -18,6 +18,8 @@ from starbuild.sources.lake import Lake
 
 #: Dimensions whose members can leave, with their natural keys; students are closed, not removed.
 DEPARTING = {"dim_department": "department_id", "dim_semester": "semester_id", "dim_course": "course_id"}
+#: Where an entity's rows come from: a path with its format, or a database table.
+Feed = tuple[str, str] | jdbc.Feed
 SILVER_ORDER = ("departments", "semesters", "courses", "students", "enrollments", "tuition")
 
 
@@ -48,6 +50,7 @@ class Warehouse:
         self.student_rows = student_rows
         self.jobs: list[tuple] = []
         self.lineage: list[tuple] = []
+        self.unresolved: list[tuple] = []
 
     # -- one table ------------------------------------------------------------
 
@@ -65,13 +68,27 @@ class Warehouse:
         plan: Callable[[], DataFrame],
         save: Callable[[DataFrame], object],
         kept: Callable[[], Column] = lambda: F.lit(True),
+        unresolved: Observation | None = None,
     ) -> None:
-        """Plan, write once with counts taken on the way, and note the run."""
+        """Plan, write once with counts taken on the way, and note the run.
+
+        ``unresolved`` is a count of rows that the plan drops for lack of a key; they are noted
+        as failed, and per key in ``audit.unresolved_keys``.
+        """
         begun = dt.datetime.now()
         try:
             seen = Observation(name)
             save(plan().observe(seen, *quality.row_flow(kept())))
-            self._record(name, begun, "success", seen.get, None)
+            counts = dict(seen.get)
+            if unresolved is not None:
+                missing = unresolved.get
+                for k in ("records_processed", "records_failed"):
+                    counts[k] += missing["dropped_rows"]
+                prefix = "missing_"
+                self.unresolved += [
+                    (name, self.batch_id, k.removeprefix(prefix), n) for k, n in missing.items() if k.startswith(prefix)
+                ]
+            self._record(name, begun, "success", counts, None)
         except Exception as error:
             self._record(name, begun, "failed", {}, str(error))
             raise
@@ -102,16 +119,21 @@ class Warehouse:
 
     # -- layers ---------------------------------------------------------------
 
-    def build_bronze(self, feeds: Mapping[str, tuple[str, str]]) -> None:
-        """Ingest each ``entity: (path, format)``; a repeated run replaces its own batch."""
+    def build_bronze(self, feeds: Mapping[str, Feed]) -> None:
+        """Ingest each ``entity: (path, format)`` or ``entity: jdbc.Feed``; a repeated run replaces its own batch."""
 
         def one(name: str) -> None:
-            entity, (path, file_format) = uni.ENTITIES[name], feeds[name]
+            entity, feed = uni.ENTITIES[name], feeds[name]
+            stamps = entity.source, self.batch_id, self.run_at
+            if isinstance(feed, jdbc.Feed):
+                origin, read = feed.origin, lambda: jdbc.ingest_table(self.spark, feed, *stamps)
+            else:
+                origin, read = feed[0], lambda: ingest(self.spark, feed[0], *stamps, feed[1])
             self._build(
                 f"bronze.{entity.bronze_table}",
-                [path],
+                [origin],
                 "ingest",
-                lambda: ingest(self.spark, path, entity.source, self.batch_id, self.run_at, file_format),
+                read,
                 lambda df: self.lake.replace_batch(df, entity.bronze_table),
             )
 
@@ -176,13 +198,20 @@ class Warehouse:
         """Current versions only; closed ones are not read."""
         return self.lake.read("gold", "dim_student")
 
-    def _gold(self, name: str, sources: Sequence[str], kind: str, plan: Callable[[], DataFrame]) -> None:
+    def _gold(
+        self,
+        name: str,
+        sources: Sequence[str],
+        kind: str,
+        plan: Callable[[], DataFrame],
+        unresolved: Observation | None = None,
+    ) -> None:
         def save(df: DataFrame) -> int:
             if name == "dim_student":
                 return self.lake.overwrite_dimension(df, name)
             return self.lake.overwrite(df, "gold", name)
 
-        self._build(f"gold.{name}", sources, kind, plan, save)
+        self._build(f"gold.{name}", sources, kind, plan, save, unresolved=unresolved)
 
     def build_dimensions(self) -> None:
         def before(name: str) -> DataFrame | None:
@@ -242,24 +271,26 @@ class Warehouse:
     def build_facts(self, incremental: bool = False) -> None:
         """Both fact tables; ``incremental`` merges only enrolments updated since the last load."""
         students, semesters, courses = self.current_students(), self.gold("dim_semester"), self.gold("dim_course")
+        no_enrollment, no_tuition = Observation("unresolved enrollments"), Observation("unresolved tuition")
 
         def enrollment_plan() -> DataFrame:
             dims, rows = (students, courses, semesters), self.silver("enrollments")
             if incremental and self.lake.exists("gold", "fact_enrollment"):
                 return uni.fact_enrollment_merged(
-                    self.gold("fact_enrollment"), rows, *dims, days=self.calendar_days, stamp=self.run_at
+                    self.gold("fact_enrollment"), rows, *dims, days=self.calendar_days, stamp=self.run_at, seen=no_enrollment
                 )
-            return uni.fact_enrollment(rows, *dims, days=self.calendar_days, stamp=self.run_at)
+            return uni.fact_enrollment(rows, *dims, days=self.calendar_days, stamp=self.run_at, seen=no_enrollment)
 
         self._gold(
             "fact_enrollment", ["silver.stg_enrollments", "gold.dim_student", "gold.dim_course", "gold.dim_semester"],
-            "fact", enrollment_plan,
+            "fact", enrollment_plan, no_enrollment,
         )
         self._gold(
             "fact_tuition", ["silver.stg_tuition", "gold.dim_student", "gold.dim_semester"], "fact",
             lambda: uni.fact_tuition(
-                self.silver("tuition"), students, semesters, days=self.calendar_days, stamp=self.run_at
+                self.silver("tuition"), students, semesters, days=self.calendar_days, stamp=self.run_at, seen=no_tuition
             ),
+            no_tuition,
         )
         versions = self.gold("dim_student")
         self.check(
@@ -307,15 +338,17 @@ class Warehouse:
         jdbc.write_table(df, url, f"{layer}.{table}", properties, mode)
 
     def write_audit(self) -> None:
-        """Store the job and lineage rows of this run."""
+        """Store the job and lineage rows of this run, and how many fact rows lacked which key."""
         if self.jobs:
             self.lake.append(quality.job_rows(self.spark, self.jobs), "audit", "etl_job_history")
         if self.lineage:
             self.lake.append(quality.lineage_rows(self.spark, self.lineage), "audit", "data_lineage")
-        self.jobs, self.lineage = [], []
+        if self.unresolved:
+            self.lake.append(quality.unresolved_rows(self.spark, self.unresolved), "audit", "unresolved_keys")
+        self.jobs, self.lineage, self.unresolved = [], [], []
 
     def run(
-        self, feeds: Mapping[str, tuple[str, str]], source_checks: bool = True, recent_days: int | None = None
+        self, feeds: Mapping[str, Feed], source_checks: bool = True, recent_days: int | None = None
     ) -> None:
         """Bronze to marts with the quality gates between the layers; audit rows are always stored.
 
@@ -327,7 +360,7 @@ class Warehouse:
         finally:
             self.write_audit()
 
-    def _run(self, feeds: Mapping[str, tuple[str, str]], source_checks: bool, recent_days: int | None) -> None:
+    def _run(self, feeds: Mapping[str, Feed], source_checks: bool, recent_days: int | None) -> None:
         names = [n for n in SILVER_ORDER if n in feeds]
         self.build_bronze(feeds)
         if source_checks and "students" in feeds:

@@ -18,7 +18,7 @@ def batch_id_of(moment: dt.datetime) -> str:
     return moment.strftime("%Y%m%d_%H%M%S")
 
 
-def _require(present: list[str], schema: T.StructType, path: str) -> None:
+def require_columns(present: list[str], schema: T.StructType, path: str) -> None:
     missing = [f.name for f in schema if f.name not in present]
     if missing:
         raise ValueError(f"{path}: columns missing from source: {missing}")
@@ -46,7 +46,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     instead of shifting values into the wrong column.
     """
     header = read_untyped_csv(spark, path).columns
-    _require(header, schema, path)
+    require_columns(header, schema, path)
     strings = T.StructType([T.StructField(name, T.StringType()) for name in header])
     raw = spark.read.option("header", True).option("enforceSchema", False).schema(strings).csv(path)
     return _typed(raw.select("*", _file_path()), schema)
@@ -60,7 +60,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet projected and cast to the declared schema."""
     raw = spark.read.parquet(path)
-    _require(raw.columns, schema, path)
+    require_columns(raw.columns, schema, path)
     return _typed(raw.select("*", _file_path()), schema)
 
 

@@ -165,7 +165,14 @@ def test_numbering_runs_in_parallel(spark):
     """Numbering a written, range-partitioned table needs no exchange of its rows at all."""
     numbered = keys.assign_keys(spark.range(100).selectExpr("id AS nk", "id AS v"), ["nk"], "sk")
     plan = numbered._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+    assert "Window" not in plan and "Exchange" not in plan and "Join" not in plan
+
+
+def test_numbered_tables_have_a_known_size(spark):
+    """A small keyed dimension is broadcast by the planner's own estimate, before anything has run."""
+    numbered = keys.assign_keys(spark.range(100).selectExpr("id AS nk", "id AS v"), ["nk"], "sk")
+    facts = lookup.lookup_key(spark.range(1000).withColumnRenamed("id", "nk"), numbered, "nk", "sk")
+    assert "BroadcastHashJoin" in facts._jdf.queryExecution().sparkPlan().toString()
 
 
 # -- versions -----------------------------------------------------------------

@@ -146,6 +146,27 @@ def test_new_files_only(spark, tmp_path):
     ]
 
 
+def test_database_feed(spark, monkeypatch):
+    """The rows come typed and stamped; a missing column is an error.  The scan itself needs a server and is replaced."""
+    source = spark.sql("SELECT '7' AS id, 'x' AS name, 'unused' AS more UNION ALL SELECT 'bad', NULL, ''")
+    asked = []
+
+    def scan(spark, url, table, properties, split, where):
+        asked.append((url, table, split, where))
+        return source
+
+    monkeypatch.setattr(jdbc, "read_table", scan)
+    feed = jdbc.Feed("jdbc:x", "public.people", {}, jdbc.Split("id", 0, 100, 4), "id > 0")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    rows = jdbc.ingest_table(spark, feed, schema, "b1", "2025-01-01 00:00:00")
+    assert rows.columns == ["id", "name", *files.LINEAGE]
+    got = {(r.id, r.name, r["_source_file"], r["_batch_id"]) for r in rows.collect()}
+    assert got == {(7, "x", "jdbc:public.people", "b1"), (None, None, "jdbc:public.people", "b1")}
+    assert asked == [("jdbc:x", "public.people", feed.split, "id > 0")]
+    with pytest.raises(ValueError, match="missing"):
+        jdbc.ingest_table(spark, feed, schema.add("absent", "string"), "b1", "2025-01-01 00:00:00")
+
+
 def test_jdbc_options():
     url, properties = session.jdbc_settings({"DW_HOST": "h", "DW_USER": "u", "DW_PASSWORD": "secret"})
     assert url == "jdbc:postgresql://h:5432/university_dw" and properties["user"] == "u"

@@ -206,6 +206,10 @@ def test_incremental_runs_equal_one_run(spark, tmp_path):
     first = Warehouse(spark, root, DAY, gate=False)
     first.run(feed.write_feeds(tmp_path / "1", students=early), recent_days=1)
     assert first.gold("fact_enrollment").count() == 17
+    job = first.lake.read("audit", "etl_job_history", F.col("job_name") == "gold.fact_enrollment").first()
+    assert (job.records_processed, job.records_inserted, job.records_failed) == (18, 17, 1)
+    missing = first.lake.read("audit", "unresolved_keys", F.col("job_name") == "gold.fact_enrollment").collect()
+    assert {r.key_name: r.missing_rows for r in missing} == {"student_key": 1, "course_key": 0, "semester_key": 0}
 
     # this run stops after bronze; the next one comes days later and brings nothing but the changed student
     stopped = Warehouse(spark, root, DAY + dt.timedelta(days=1), gate=False)
