@@ -2,18 +2,22 @@
 
 Two views of a document are judged apart: the words of its text (hashed presence) and its
 page metadata (language, source, and layout counts that name no word).  Both learn from
-a bounded sample of labelled documents.  In each round, each view labels the documents of
-an unlabelled pool that it is surest of, and the *other* view learns from them as well.
-At the end both are calibrated on labelled documents held out from training, and a
+a bounded sample of labelled documents.  In each round, each view scores all documents
+without a label and labels those that it is surest of, and the *other* view learns from
+them as well.  At the end both are calibrated on labelled documents held out from training, and a
 calibrated sum of their logits scores every document: a head for quality and one for
 toxic text.
 
-The samples are the rows with the smallest hash of their identifier, at most ``LABELLED``
-and ``POOL``; only their features come to the driver, where fitting takes the same time
-for any corpus.  Scoring is one pass over all documents with a broadcast of fixed size.
+The labelled sample are the rows with the smallest hash of their identifier, at most
+``LABELLED``; its features and those of the at most ``HANDED`` documents that a view hands
+over per round and end come to the driver, where fitting takes the same time for any
+corpus.  Texts are read once, into stored features; a round and the last scoring are passes
+over these with a broadcast of fixed size.  Documents with the same features are handed
+over once, so copies do not crowd out others.
 
 Defined cases: NULL text has no words; NULL language or source is a value of its own;
-labels that are NULL or whose document is missing are not used; with labels of one kind
+labels that are NULL or whose document is missing are not used (a document is unlabelled
+for a head whose label it lacks); with labels of one kind
 only, that kind's share is every document's score; documents with repeated identifiers
 are scored each; without documents or labels the result is empty or the score 0.5.
 """
@@ -22,21 +26,23 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most labelled documents and most pool documents that are used for fitting.
+from starbuild.llm.common import stage
+
+#: Most labelled documents that are used for fitting.
 LABELLED = 6000
-POOL = 4000
 WORD_BITS = 20
 META_BITS = 12
 COUNTS = 7
 ROUNDS = 3
-#: Share of the pool that a view hands to the other per round.
-HANDED = 0.05
+#: Most documents, of all without a label, that a view hands to the other per round and end.
+HANDED = 200
 #: Every so many labelled documents one is held out for calibration.
 HELD_OUT = 4
 STEPS = 200
@@ -130,6 +136,11 @@ class Sparse:
         return np.bincount(self.row, w[self.col], self.n) + w[-1]
 
 
+def _sparse(batch: pa.RecordBatch) -> tuple[Sparse, Sparse]:
+    """Both views of stored features."""
+    return Sparse(batch.column("words").to_pylist(), WORD_BITS), Sparse(batch.column("meta").to_pylist(), META_BITS)
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -172,66 +183,121 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def cotrain(words: Sparse, meta: Sparse, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights of both views and of their sum; ``label`` is NaN for the pool."""
-    known = np.flatnonzero(~np.isnan(label))
-    kinds = np.unique(label[known])
-    if len(kinds) < 2:
-        share = np.clip(kinds[0] if len(kinds) else 0.5, 0.01, 0.99)
-        return np.zeros(words.width + 1), np.zeros(meta.width + 1), np.array([0, 0, np.log(share / (1 - share))])
-    held = known[::HELD_OUT]
-    train = np.setdiff1d(known, held)
-    pool = np.flatnonzero(np.isnan(label))
-    views, given = (words, meta), [np.full(len(label), np.nan) for _ in range(2)]
-    for g in given:
-        g[train] = label[train]
-    weights = []
-    for turn in range(ROUNDS + 1):
-        weights = []
-        for x, g in zip(views, given):
-            use = np.where(np.isnan(g), 0.0, 1.0)
-            use[pool] *= 0.5  # a guess counts half
-            weights.append(fit_linear(x, np.nan_to_num(g), use))
-        if turn == ROUNDS:
-            break
-        logits = [x.dot(w) for x, w in zip(views, weights)]
-        chances = []
-        for z in logits:
-            scale = calibrate(z[held, None], label[held])
-            chances.append(_sigmoid(scale[0] * z + scale[1]))
-        for mine, other in ((0, 1), (1, 0)):
-            chance = chances[mine]
-            open_ = pool[np.isnan(given[other][pool])]
-            take = int(HANDED * len(pool))
-            order = open_[np.argsort(logits[mine][open_], kind="stable")]
-            top, bottom = order[max(0, len(order) - take) :], order[:take]
-            given[other][top[chance[top] >= SURE]] = 1
-            given[other][bottom[chance[bottom] <= 1 - SURE]] = 0
-    z = np.column_stack([x.dot(w)[held] for x, w in zip(views, weights)])
-    return weights[0], weights[1], calibrate(z, label[held])
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", heads: tuple[str, ...] = HEADS) -> dict[str, tuple]:
-    """A model per label column; ``docs`` as from ``_columns``."""
+class Head:
+    """Both views of one label; rows that were handed over follow the labelled ones."""
+
+    def __init__(self, label: np.ndarray):
+        self.label = label
+        self.known = np.flatnonzero(~np.isnan(label))
+        self.kinds = np.unique(label[self.known])
+        self.held = self.known[::HELD_OUT]
+        train = np.setdiff1d(self.known, self.held)
+        start = {int(i): label[i] for i in train}
+        #: Per view, the labels that it learns from, by row.
+        self.given = [dict(start), dict(start)]
+        self.weights: list[np.ndarray] = []
+        self.scales: list[np.ndarray] = []
+
+    def fit(self, views: tuple[Sparse, Sparse]) -> None:
+        self.weights = []
+        for x, given in zip(views, self.given):
+            rows = np.fromiter(given, int, len(given))
+            y, use = np.zeros(x.n), np.zeros(x.n)
+            y[rows] = list(given.values())
+            use[rows] = np.where(rows < len(self.label), 1.0, 0.5)  # a guess counts half
+            self.weights.append(fit_linear(x, y, use))
+        logits = [x.dot(w)[self.held] for x, w in zip(views, self.weights)]
+        self.scales = [calibrate(z[:, None], self.label[self.held]) for z in logits]
+
+    def model(self, views: tuple[Sparse, Sparse]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights of both views and of their sum."""
+        if len(self.kinds) < 2:
+            share = np.clip(self.kinds[0] if len(self.kinds) else 0.5, 0.01, 0.99)
+            return np.zeros(views[0].width + 1), np.zeros(views[1].width + 1), np.array([0, 0, np.log(share / (1 - share))])
+        z = np.column_stack([x.dot(w)[self.held] for x, w in zip(views, self.weights)])
+        return *self.weights, calibrate(z, self.label[self.held])
+
+
+def _surest(featured: DataFrame, labelled: DataFrame, heads: dict[str, Head], most: int) -> dict[tuple[str, int], list]:
+    """Per head and view, the ``most`` documents without this label at either end of its score: (end, key, logit)."""
+    model = featured.sparkSession.sparkContext.broadcast({h: [w.astype(np.float32) for w in x.weights] for h, x in heads.items()})
+    columns = {(h, v): f"z_{h}_{v}" for h in heads for v in range(2)}
+
+    def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            views = _sparse(batch)
+            out = [pa.array(np.round(views[v].dot(model.value[h][v]), 6)) for h, v in columns]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), *out], names=["id", "key", *columns.values()])
+
+    kind = featured.schema["id"].dataType.simpleString()
+    scored = featured.mapInArrow(logits, f"id {kind}, key long, " + ", ".join(f"{c} double" for c in columns.values()))
+    scored = scored.join(labelled, "id", "left")
+    # one row per distinct document; a document with this label has no say
+    best = scored.groupBy("key").agg(*[F.max(F.when(F.col(f"`{h}`").isNull(), F.col(c))).alias(c) for (h, _), c in columns.items()])
+    best = stage(best, "cotraining-scores")
+    ends = []
+    for (h, v), c in columns.items():
+        for end in (1, 0):
+            order = F.col(c).desc() if end else F.col(c).asc()
+            picked = best.where(F.col(c).isNotNull()).orderBy(order, "key").limit(most)
+            ends.append(picked.select(F.lit(h).alias("head"), F.lit(v).alias("view"), F.lit(end).alias("end"), "key", F.col(c).alias("z")))
+    found: dict[tuple[str, int], list] = {k: [] for k in columns}
+    for r in reduce(DataFrame.union, ends).collect():
+        found[r["head"], r["view"]].append((r["end"], r["key"], r["z"]))
+    for rows in found.values():
+        rows.sort(key=lambda r: (r[0], -r[2] if r[0] else r[2], r[1]))
+    return found
+
+
+def fit(featured: DataFrame, labels: DataFrame, id_col: str = "doc_id", heads: tuple[str, ...] = HEADS) -> dict[str, tuple]:
+    """A model per label column; ``featured`` as from ``_featured``, stored."""
     place = F.xxhash64("id")
     given = labels.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{h}`").cast("double").alias(h) for h in heads]).where("id IS NOT NULL")
-    given = given.groupBy("id").agg(*[F.max(h).alias(h) for h in heads])
+    given = stage(given.groupBy("id").agg(*[F.max(h).alias(h) for h in heads]), "cotraining-labels")
     chosen = given.orderBy(place, "id").limit(LABELLED).collect()
-    pool = docs.select("id").where("id IS NOT NULL").orderBy(place, "id").limit(POOL).collect()
-    spark = docs.sparkSession
-    # at most LABELLED + POOL identifiers
-    ids = sorted({r["id"] for r in chosen} | {r["id"] for r in pool})
-    wanted = spark.createDataFrame([(i,) for i in ids], docs.select("id").schema)
+    spark = featured.sparkSession
+    # at most LABELLED identifiers
+    wanted = spark.createDataFrame([(r["id"],) for r in chosen], given.select("id").schema)
     # one document per identifier, as features only
-    rows = _featured(docs.join(F.broadcast(wanted), "id")).groupBy("id").agg(F.min(F.struct("words", "meta")).alias("x")).collect()
+    rows = featured.join(F.broadcast(wanted), "id").groupBy("id").agg(F.min(F.struct("words", "meta")).alias("x")).collect()
     rows.sort(key=lambda r: r["id"])
-    words, meta = Sparse([r["x"]["words"] for r in rows], WORD_BITS), Sparse([r["x"]["meta"] for r in rows], META_BITS)
+    words, meta = [r["x"]["words"] for r in rows], [r["x"]["meta"] for r in rows]
     model = {}
     for head in heads:
         known = {r["id"]: r[head] for r in chosen if r[head] is not None}
-        label = np.array([known.get(r["id"], np.nan) for r in rows], float)
-        model[head] = tuple(w.astype(np.float32) for w in cotrain(words, meta, label))
-    return model
+        model[head] = Head(np.array([known.get(r["id"], np.nan) for r in rows], float))
+    taught = {h: m for h, m in model.items() if len(m.kinds) == 2}
+    row_of: dict[int, int] = {}
+    views = Sparse(words, WORD_BITS), Sparse(meta, META_BITS)
+    for turn in range(ROUNDS + 1 if taught else 0):
+        for m in taught.values():
+            m.fit(views)
+        if turn == ROUNDS:
+            break
+        # those already handed over may be among the surest
+        surest = _surest(featured, given, taught, HANDED * (turn + 1))
+        handed = []
+        for (h, view), found in surest.items():
+            m, (slope, level) = taught[h], taught[h].scales[view]
+            other = m.given[1 - view]
+            for end in (1, 0):
+                fresh = [(key, z) for e, key, z in found if e == end and row_of.get(key, -1) not in other][:HANDED]
+                for key, z in fresh:
+                    chance = _sigmoid(slope * z + level)
+                    if (chance if end else 1 - chance) >= SURE:
+                        handed.append((m, 1 - view, key, end))
+        missing = sorted({key for _, _, key, _ in handed} - row_of.keys())
+        if missing:
+            keys = F.broadcast(spark.createDataFrame([(k,) for k in missing], "key long"))
+            fetched = featured.join(keys, "key").groupBy("key").agg(F.min(F.struct("words", "meta")).alias("x")).collect()
+            for r in sorted(fetched, key=lambda r: r["key"]):
+                row_of[r["key"]] = len(words)
+                words.append(r["x"]["words"])
+                meta.append(r["x"]["meta"])
+            views = Sparse(words, WORD_BITS), Sparse(meta, META_BITS)
+        for m, view, key, end in handed:
+            m.given[view].setdefault(row_of[key], end)
+    return {h: tuple(w.astype(np.float32) for w in m.model(views)) for h, m in model.items()}
 
 
 def score(
@@ -239,22 +305,21 @@ def score(
 ) -> DataFrame:
     """Per document: ``text_logit`` and ``meta_logit`` of quality, calibrated ``quality`` and ``toxic``, and ``kept``."""
     slim = _columns(docs, id_col, text_col, lang_col, source_col)
-    model = docs.sparkSession.sparkContext.broadcast(fit(slim, labels, id_col))
+    featured = stage(_featured(slim).withColumn("key", F.xxhash64("words", "meta")), "cotraining-features")
+    model = docs.sparkSession.sparkContext.broadcast(fit(featured, labels, id_col))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, heads = Features(), model.value
+        heads = model.value
         for batch in batches:
-            out = []
-            for row in _rows(batch):
-                words, meta = features.both(*row)
-                logits = [
-                    (float(w[words].sum() + w[-1]), float(m[meta].sum() + m[-1]), mix) for w, m, mix in (heads[h] for h in HEADS)
-                ]
-                chance = [float(_sigmoid(np.float64(a * mix[0] + b * mix[1] + mix[2]))) for a, b, mix in logits]
-                out.append((*logits[0][:2], *chance))
-            columns = [pa.array([round(o[i], 6) for o in out], pa.float64()) for i in range(4)]
+            views, logits, chance = _sparse(batch), [], []
+            for h in HEADS:
+                *weights, mix = heads[h]
+                a, b = (x.dot(w) for x, w in zip(views, weights))
+                logits.append((a, b))
+                chance.append(_sigmoid(a * mix[0] + b * mix[1] + mix[2]))
+            columns = [pa.array(np.round(c, 6)) for c in (*logits[0], *chance)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", "text_logit", "meta_logit", "quality", "toxic"])
 
     kind = slim.schema["id"].dataType.simpleString()
-    judged = slim.mapInArrow(judge, f"id {kind}, text_logit double, meta_logit double, quality double, toxic double")
+    judged = featured.mapInArrow(judge, f"id {kind}, text_logit double, meta_logit double, quality double, toxic double")
     return judged.withColumn("kept", (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5))

@@ -495,6 +495,24 @@ def test_cotraining_on_hostile_rows(spark, hostile, empty):
     assert cotraining.score(empty, labels).count() == 0
 
 
+def test_cotraining_learns_from_all_unlabelled(spark):
+    """A word that only unlabelled documents far down the hash order hold; the labels take the first places."""
+    order = [r.id for r in spark.range(6000).orderBy(F.xxhash64("id"), "id").collect()]
+    rng = np.random.default_rng(5)
+    docs, labels = [], []
+    for n, i in enumerate(order):
+        bad = n % 4 == 0 if n < 400 else n >= 5900
+        words = [f"w{k}" for k in rng.integers(0, 200, 20)] + (["oldword" if n < 400 else "newword"] if bad else [])
+        docs.append((i, " ".join(words), "en", "rude" if bad else "plain"))
+        if n < 400:
+            labels.append((i, int(not bad), int(bad)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    probe = spark.createDataFrame([(-1, "newword", "en", "plain"), (-2, "nothing", "en", "plain")], docs.schema)
+    got = {r.id: r for r in cotraining.score(docs.union(probe), labels).collect()}
+    assert got[-1].text_logit < got[-2].text_logit - 0.5
+
+
 # -- mixing ---------------------------------------------------------------------
 
 
