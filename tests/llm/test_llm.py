@@ -369,6 +369,15 @@ def test_pseudonyms_keep_format_and_links():
     assert pseudonyms.pseudonymised(text, b"other")[0] != new
 
 
+def test_no_phone_number_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text RLIKE '[0-9]{3}[ .-][0-9]{4}'")
+    seen = [m for r in docs.select("text").collect() for m in pseudonyms.PATTERN.finditer(r.text) if m.lastgroup == "phone"]
+    assert any("(0" in m[0] for m in seen)
+    for m in seen:
+        assert pseudonyms.pseudonymised(m[0])[0] != m[0]
+    assert len({m[0] for m in seen}) == len({pseudonyms.pseudonymised(m[0])[0] for m in seen})
+
+
 def test_pseudonymise(hostile, empty, sample, texts):
     rows = pseudonyms.pseudonymise(sample).select("row.doc_id", "text", "n_replaced").collect()
     for r in rows:
