@@ -41,7 +41,7 @@ PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
     r"|(?P<access>\bAKIA[A-Z0-9]{16}\b)"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
-    r"|(?P<secret>(?<=[='\"])[0-9a-f]{16,}\b)"
+    r"|(?P<secret>(?<=[='\"])[0-9A-Fa-f]{16,}\b)"
     r"|(?P<iso>(?<![\w.-])\d{4}-\d\d-\d\d(?![\w-]))"
     r"|(?P<day>(?<![\w./])\d\d?(?P<mark>[./])\d\d?(?P=mark)\d{4}(?![\w/]))"
     r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
@@ -50,6 +50,19 @@ PATTERN = re.compile(
     r"|(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))",
     re.ASCII,
 )
+#: What a value that looks like an IBAN and is none may be instead.
+NO_IBAN = re.compile(re.sub(r"\|\(\?P<iban>.*?\\b\)(?=\|)", "", PATTERN.pattern), re.ASCII)
+#: Length of an IBAN by country.
+IBAN_LENGTH = {
+    country: int(size)
+    for size, countries in re.findall(
+        r"(\d\d)((?: [A-Z]{2})+)",
+        "15 NO 16 BE 18 DK FI FK FO GL NL SD 19 MK SI 20 AT BA EE KZ LT LU MN XK 21 CH HR LI LV 22 BG BH CR DE GB GE IE ME RS VA"
+        " 23 AE GI IL IQ OM SO TL 24 AD CZ ES MD PK RO SA SE SK TN VG 25 LY PT ST 26 IS TR 27 BI DJ FR GR IT MC MR SM"
+        " 28 AL AZ BY CY DO GT HU LB NI PL SV 29 BR EG PS QA UA 30 JO KW MU YE 31 MT SC 32 LC 33 RU",
+    )
+    for country in countries.split()
+}
 _MAYBE = re.compile(r"[0-9@]")
 
 
@@ -130,6 +143,13 @@ def _iban(text: str, key: bytes) -> str | None:
     return _refilled(text, f"{country}{_iban_check(country, new):02d}{new}")
 
 
+def _iban_ends(text: str) -> list[int]:
+    """Where an IBAN at the start of ``text`` may end: at its country's length, else the longest first."""
+    ends = [m.end() for m in re.finditer(r"[A-Z0-9]\b", text)]
+    size = IBAN_LENGTH.get(text[:2])
+    return sorted(ends, key=lambda e: (len(text[:e].replace(" ", "")) != size, -e))
+
+
 def _valid_ssn(d: list[int]) -> bool:
     area = d[0] * 100 + d[1] * 10 + d[2]
     return area not in (0, 666) and area < 900 and d[3:5] != [0, 0] and d[5:] != [0, 0, 0, 0]
@@ -201,7 +221,14 @@ def _access(text: str, key: bytes) -> str:
 
 
 def _secret(text: str, key: bytes) -> str:
-    return "".join(HEX[v] for v in permute([HEX.index(c) for c in text], [16] * len(text), key, "secret"))
+    """Letters keep the case of their place; where a digit becomes one, the case of the nearest letter before it, else of the first."""
+    new = permute([HEX.index(c) for c in text.lower()], [16] * len(text), key, "secret")
+    upper = next((c.isupper() for c in text if c.isalpha()), False)
+    out = []
+    for c, v in zip(text, new):
+        upper = c.isupper() if c.isalpha() else upper
+        out.append(HEX[v].upper() if upper else HEX[v])
+    return "".join(out)
 
 
 _KINDS: dict[str, Callable[[str, bytes], str | None]] = {
@@ -222,15 +249,25 @@ def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, int]:
     """The text with its private values replaced, and how many were."""
     if not _MAYBE.search(text):
         return text, 0
-    found = 0
-
-    def replace(match: re.Match) -> str:
-        nonlocal found
-        new = _KINDS[match.lastgroup](match[0], key) if match.lastgroup else None
-        found += new is not None
-        return match[0] if new is None else new
-
-    return PATTERN.sub(replace, text), found
+    out, found, at, seen = [], 0, 0, 0
+    while match := PATTERN.search(text, seen):
+        kind, start, end = match.lastgroup, match.start(), match.end()
+        new = None
+        if kind == "iban":
+            for size in _iban_ends(match[0]):
+                if new := _iban(match[0][:size], key):
+                    end = start + size
+                    break
+            else:  # no IBAN: the other formats have their turn, here and inside of it
+                match = NO_IBAN.match(text, start)
+                kind, end = (match.lastgroup, match.end()) if match else (None, start + 1)
+        if kind and kind != "iban":
+            new = _KINDS[kind](match[0], key)
+        if new is not None:
+            out += text[at:start], new
+            at, found = end, found + 1
+        seen = end
+    return "".join([*out, text[at:]]), found
 
 
 def pseudonymise(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -> DataFrame:

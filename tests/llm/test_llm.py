@@ -378,6 +378,28 @@ def test_no_phone_number_stays(spark):
     assert len({m[0] for m in seen}) == len({pseudonyms.pseudonymised(m[0])[0] for m in seen})
 
 
+def test_secrets_in_either_case():
+    for value in ("9233A8ECDB01FF2233A8ECDB01FF2233A8ECDB01", "AB12CDEF9233A8EC9233A8EC9233A8EC9233A8EC", "9233a8ecdb01ff22", "9233a8ECDB01ff22"):
+        new, found = pseudonyms.pseudonymised(f'TOKEN = "{value}"')
+        secret = re.fullmatch('TOKEN = "([0-9A-Fa-f]+)"', new)[1]
+        assert found == 1 and secret != value and len(secret) == len(value)
+        assert not (value.isupper() and secret != secret.upper()) and not (value.islower() and secret != secret.lower())
+        assert all(a.isupper() == b.isupper() for a, b in zip(value, secret) if a.isalpha() and b.isalpha())
+        assert pseudonyms.pseudonymised(f'"{value.lower()}"')[0].strip('"') == secret.lower()
+
+
+def test_iban_before_other_tokens():
+    for iban in ("BE68539007547034", "BE68 5390 0754 7034", "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19"):
+        alone, _ = pseudonyms.pseudonymised(iban)
+        assert alone != iban
+        for rest in (" 2024", " A", " 2024 ABCD", " IN 2024 AND", ""):
+            assert pseudonyms.pseudonymised(f"pay {iban}{rest}.") == (f"pay {alone}{rest}.", 1)
+    card, _ = pseudonyms.pseudonymised("4111 1111 1111 1111")
+    assert pseudonyms.pseudonymised("AB15 CDEF 4111 1111 1111 1111") == (f"AB15 CDEF {card}", 1)
+    iban, _ = pseudonyms.pseudonymised("BE68539007547034")
+    assert pseudonyms.pseudonymised("AB15 3456 7890 BE68539007547034") == (f"AB15 3456 7890 {iban}", 1)
+
+
 def test_pseudonymise(hostile, empty, sample, texts):
     rows = pseudonyms.pseudonymise(sample).select("row.doc_id", "text", "n_replaced").collect()
     for r in rows:
