@@ -6,8 +6,9 @@ both ratios is smoothed over the leaves in page order, the smoothed values of a
 fused into their mean, and paths above the threshold (a share of the standard deviation)
 are content.  The content root is the deepest element that holds nearly all of their
 text; every block below it belongs to the article, so headings and short paragraphs stay
-however little they weigh.  Subtrees that name themselves boilerplate (element, class,
-id or role) take part in none of this.
+however little they weigh.  Boilerplate elements and subtrees that name themselves
+boilerplate (a whole class, id or role) take part in none of this, except the page's frame,
+headings and elements that hold most of the content.
 
 Pages are independent, so this is one pass without a shuffle; work per page is linear in
 its length.
@@ -28,20 +29,31 @@ from pyspark.sql import functions as F
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span"
-    " strike strong sub sup time tt u var wbr".split()
+    " strike strong sub sup time tt u var wbr"
+    " math mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr"
+    " munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
-    "script style noscript template head title svg math iframe object canvas audio video nav footer aside form button"
+    "script style noscript template head title svg annotation annotation-xml iframe object canvas audio video nav footer aside form button"
     " select textarea menu dialog".split()
 )
-#: Words of class, id and role that mark boilerplate.
+#: Words that mark boilerplate where a whole class, id or role consists of them (and of ``NEUTRAL`` words).
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation"
     " menu breadcrumb breadcrumbs footer sidebar aside complementary contentinfo comment comments respond disqus reply"
     " replies notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe signup login share"
     " sharing social related recommended pagination pager search skip widget toolbar".split()
 )
+NEUTRAL = frozenset(
+    "area bar block body bottom box button buttons container content form group holder inner item items left link links list"
+    " outer panel right row section slot top wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that no name silences.
+SPOKEN = frozenset(["html", "body", "main", "article"]) | HEADINGS
+#: Nor one that holds more than this share of the text on the page's content paths.
+MOST = 0.5
 #: These mark boilerplate outside the article only.
 OUTER = frozenset("header masthead hero".split())
 ARTICLE = frozenset(["article", "main"])
@@ -72,19 +84,26 @@ ROOT_SHARE = 0.9
 
 
 class _Element:
-    __slots__ = ("tag", "name", "parent", "silent", "article", "depth")
+    __slots__ = ("tag", "name", "parent", "silent", "marked", "article", "depth")
 
-    def __init__(self, tag: str, name: str, parent: _Element | None, silent: bool, article: bool):
+    def __init__(self, tag: str, name: str, parent: _Element | None, silent: bool, marked: bool, article: bool):
         self.tag, self.name, self.parent, self.silent, self.article = tag, name, parent, silent, article
+        #: The nearest element, from this one up, that names itself boilerplate.
+        self.marked: _Element | None = self if marked else parent.marked if parent else None
         self.depth = parent.depth + 1 if parent else 0
 
 
+def _marks(token: str, marks: frozenset[str]) -> bool:
+    words = set(_NAME.findall(token))
+    return not marks.isdisjoint(words) and words <= marks | NEUTRAL
+
+
 class _Reader(HTMLParser):
     """Collects leaves (element, block number, text)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.at = _Element("", "", None, False, False)
+        self.at = _Element("", "", None, False, False, False)
         self.block = 0
         self.leaves: list[tuple[_Element, int, str]] = []
 
@@ -97,12 +116,13 @@ class _Reader(HTMLParser):
         if tag in VOID:
             return
         names = [value.lower() for key, value in attrs if key in ("class", "id", "role") and value]
-        words = {w for n in names for w in _NAME.findall(n)}
-        silent = self.at.silent or tag in SILENT or not MARKED.isdisjoint(words)
-        if not self.at.article and (tag == "header" or not OUTER.isdisjoint(words)):
+        silent = self.at.silent or tag in SILENT
+        if not self.at.article and tag == "header":
             silent = True
+        marks = MARKED if self.at.article else MARKED | OUTER
+        marked = tag not in SPOKEN and any(_marks(token, marks) for n in names for token in n.split())
         article = self.at.article or tag in ARTICLE
-        self.at = _Element(tag, ".".join([tag, *names[:1]]), self.at, silent, article)
+        self.at = _Element(tag, ".".join([tag, *names[:1]]), self.at, silent, marked, article)
 
     def _close_for(self, tag: str) -> None:
         element = self.at
@@ -158,32 +178,59 @@ def _content_paths(paths: list[tuple[str, ...]], texts: list[str]) -> set[tuple[
     return {p for p, v in fused.items() if v >= limit}
 
 
+def _heavy(leaves: list[tuple[_Element, int, str]]) -> tuple[dict[_Element, int], int]:
+    """Text on content paths by element, and in all."""
+    content = _content_paths([_path(e) for e, _, _ in leaves], [t for _, _, t in leaves]) if leaves else set()
+    weight: dict[_Element, int] = {}
+    whole = 0
+    for element, _, text in leaves:
+        if _path(element) in content:
+            whole += len(text)
+            while element is not None:
+                weight[element] = weight.get(element, 0) + len(text)
+                element = element.parent
+    return weight, whole
+
+
+def _spoken(leaves: list[tuple[_Element, int, str]]) -> list[tuple[_Element, int, str]]:
+    """The leaves outside boilerplate."""
+    if all(e.marked is None for e, _, _ in leaves):
+        return leaves
+    weight, whole = _heavy([x for x in leaves if x[2].strip()])
+    quiet: dict[_Element, bool] = {}
+
+    def is_quiet(element: _Element | None) -> bool:
+        chain = []
+        while element is not None and element not in quiet:
+            chain.append(element)
+            element = element.parent.marked if element.parent else None
+        out = element is not None and quiet[element]
+        for e in reversed(chain):
+            out = quiet[e] = out or weight.get(e, 0) <= MOST * whole
+        return out
+
+    return [x for x in leaves if not is_quiet(x[0].marked)]
+
+
 def main_text(html: str) -> str:
     """Blocks of the article, joined by an empty line."""
     reader = _Reader()
     reader.feed(html)
     reader.close()
-    leaves = [(e, b, t) for e, b, t in reader.leaves if t.strip()]
-    if any(e.article for e, _, _ in leaves):
-        leaves = [x for x in leaves if x[0].article]
+    every = reader.leaves
+    if any(e.article and t.strip() for e, _, t in every):
+        every = [x for x in every if x[0].article]
+    every = _spoken(every)
+    leaves = [x for x in every if x[2].strip()]
     if not leaves:
         return ""
-    paths, texts = [_path(e) for e, _, _ in leaves], [t for _, _, t in leaves]
-    content = _content_paths(paths, texts)
-    weight: dict[_Element, int] = {}
-    whole = 0
-    for (element, _, text), path in zip(leaves, paths):
-        if path in content:
-            whole += len(text)
-            while element is not None:
-                weight[element] = weight.get(element, 0) + len(text)
-                element = element.parent
+    weight, whole = _heavy(leaves)
     heavy = [e for e, w in weight.items() if w >= ROOT_SHARE * whole and (e.tag not in INLINE and e.tag not in CLOSES and e.tag[:1] != "h")]
     root = max(heavy, key=lambda e: e.depth, default=None)
     while root is not None and root.article and root.tag not in ARTICLE:
         root = root.parent
     blocks: dict[int, list[str]] = {}
-    for element, block, text in reader.leaves:
+    for element, block, text in every:
         at = element
         while at is not None and at is not root:
             at = at.parent

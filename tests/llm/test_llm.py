@@ -435,6 +435,24 @@ def test_main_text():
     assert tag_paths.main_text("<b>" * 3000 + "deep") == "deep"
 
 
+LONG = "A long paragraph, with commas, that tells a story; it goes on for a while. And on, and on."
+
+
+def test_names_silence_no_content():
+    body = f"<h2 id=search>Title</h2><p>{LONG}</p><section id='related-work'><p>{LONG}</p></section><div class='alert-levels'><p>{LONG}</p></div>"
+    want = ["Title", LONG, LONG, LONG]
+    for page in (
+        f"<body class='has-sidebar'><article>{body}</article></body>",
+        f"<body class='nav'><article class='post comments-open comments'>{body}<div class='ad'>Buy</div></article></body>",
+        f"<body><main class='with-sidebar sidebar'>{body}<div class='share-buttons'>Share this, now!</div></main></body>",
+        f"<body><div class='widget'>{body}</div><div class='related'><p>Other pages, of ours.</p></div></body>",
+        f"<body><div class='modal overlay'><div class='widget'>{body}<div class='comments'>Fine, thanks.</div></div></div></body>",
+    ):
+        assert tag_paths.main_text(page).split("\n\n") == want
+    math = f"<article><p>{LONG} So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>"
+    assert tag_paths.main_text(math) == f"{LONG} So x=1 holds."
+
+
 def test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in tag_paths.extract(pages).collect()}
