@@ -4,9 +4,10 @@ A page is read into text leaves, each with its path of open elements.  Per path,
 length and punctuation are added up and divided by the number of leaves; the product of
 both ratios is smoothed over the leaves in page order, the smoothed values of a path are
 fused into their mean, and paths above the threshold (a share of the standard deviation)
-are content.  The content root is the deepest element that holds nearly all of their
-text; every block below it belongs to the article, so headings and short paragraphs stay
-however little they weigh.  Boilerplate elements and subtrees that name themselves
+are content.  The root is the lowest common ancestor of all content (inside an article, that
+article), with what stands between the last heading before it and its start; every block
+below it belongs to the article, so headings and short paragraphs stay however little they
+weigh.  Boilerplate elements and subtrees that name themselves
 boilerplate (a whole class, id or role) take part in none of this, except the page's frame,
 headings and elements that hold most of the content.
 
@@ -79,8 +80,6 @@ _NAME = re.compile(r"[a-z]+")
 KERNEL = (0.25, 0.5, 0.25)
 #: Paths count as content above this share of the standard deviation.
 THRESHOLD = 0.5
-#: Share of the content's text that the content root holds.
-ROOT_SHARE = 0.9
 
 
 class _Element:
@@ -212,6 +211,31 @@ def _spoken(leaves: list[tuple[_Element, int, str]]) -> list[tuple[_Element, int
     return [x for x in leaves if not is_quiet(x[0].marked)]
 
 
+def _within(element: _Element | None, root: _Element) -> bool:
+    while element is not None and element is not root:
+        element = element.parent
+    return element is root
+
+
+def _heading(element: _Element | None) -> str | None:
+    while element is not None and element.tag not in HEADINGS:
+        element = element.parent
+    return element.tag if element else None
+
+
+def _title(leaves: list[tuple[_Element, int, str]], inside: list[bool], content: int) -> int:
+    """Where the headings before the root start: at the last h1, else the last heading.
+
+    A root that opens with a heading has its title; then only an h1 of the same article counts.
+    """
+    found = [(i, tag) for i in range(content + 1) if leaves[i][2].strip() and (tag := _heading(leaves[i][0]))]
+    titled = any(inside[i] for i, _ in found)
+    before = [(i, tag) for i, tag in found if not inside[i] and i < inside.index(True)]
+    if titled:
+        before = [(i, tag) for i, tag in before if tag == "h1" and leaves[i][0].article]
+    return max([i for i, tag in before if tag == "h1"] or [i for i, _ in before] or [len(leaves)])
+
+
 def main_text(html: str) -> str:
     """Blocks of the article, joined by an empty line."""
     reader = _Reader()
@@ -225,16 +249,17 @@ def main_text(html: str) -> str:
     if not leaves:
         return ""
     weight, whole = _heavy(leaves)
-    heavy = [e for e, w in weight.items() if w >= ROOT_SHARE * whole and (e.tag not in INLINE and e.tag not in CLOSES and e.tag[:1] != "h")]
-    root = max(heavy, key=lambda e: e.depth, default=None)
-    while root is not None and root.article and root.tag not in ARTICLE:
+    # the lowest common ancestor of all content
+    common = [e for e, w in weight.items() if w == whole and e.tag not in INLINE and e.tag not in CLOSES and e.tag not in HEADINGS]
+    root = max(common, key=lambda e: e.depth)
+    while root.article and root.tag not in ARTICLE:
         root = root.parent
+    inside = [_within(e, root) for e, _, _ in every]
+    start = _title(every, inside, next(i for i, (e, _, _) in enumerate(every) if inside[i] and weight.get(e)))
+    first = inside.index(True)
     blocks: dict[int, list[str]] = {}
-    for element, block, text in every:
-        at = element
-        while at is not None and at is not root:
-            at = at.parent
-        if at is root:
+    for i, (_, block, text) in enumerate(every):
+        if inside[i] or start <= i < first:
             blocks.setdefault(block, []).append(text)
     joined = [" ".join("".join(parts).split()) for parts in blocks.values()]
     return "\n\n".join(b for b in joined if b)

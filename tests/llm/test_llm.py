@@ -453,6 +453,20 @@ def test_names_silence_no_content():
     assert tag_paths.main_text(math) == f"{LONG} So x=1 holds."
 
 
+def test_root_holds_all_content():
+    body = "".join(f"<p>{LONG}</p>" for _ in range(12))
+    many = [LONG] * 12
+    for page, want in (
+        (f"<div><h1>T</h1><p>Intro</p><section>{body}</section></div>", ["T", "Intro", *many]),
+        (f"<div><section>{body}</section><section><p>{LONG}</p></section></div>", [*many, LONG]),
+        (f"<div><section>{body}</section><div class=end><p>{LONG}</p></div></div>", [*many, LONG]),
+        (f"<main><h1>T</h1><article>{body}</article></main>", ["T", *many]),
+        (f"<main><h1>T</h1><article><h2>S</h2>{body}</article></main>", ["T", "S", *many]),
+        (f"<div><h1>Site</h1><ul><li>x</li></ul></div><div><h2>T</h2>{body}</div>", ["T", *many]),
+    ):
+        assert tag_paths.main_text(page).split("\n\n") == want
+
+
 def test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in tag_paths.extract(pages).collect()}
