@@ -42,17 +42,18 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 
-#: Share of a group's rows that an estimate rests on.
-SUPPORT = 0.75
+#: Share of a group's rows that an estimate rests on: half, so that copies of one text that are fewer cannot fill it.
+SUPPORT = 0.5
 #: Makes the covariance of that share comparable to a normal one: share / P(chi2(6) <= q), q the share's chi2(4) quantile.
-CONSISTENCY = 1.487
+CONSISTENCY = 2.110
 STEPS = 3
 MIN_ROWS = 50
 #: Words of the group's mean that each document's statistics are shrunken towards.
 PRIOR_WORDS = 30
 PRIOR_LINES = 10
-#: Added to the variances of the four statistics.
-FLOOR = (0.06, 0.12, 0.7, 0.7)
+#: Added to the variances of the four statistics; small enough that each can reject alone (repeated words are at most
+#: ``MAX_REPEAT_PERCENT``, so the square of the last is at most 9.3).
+FLOOR = (0.06, 0.12, 0.7, 0.3)
 #: Largest squared distance kept: the 0.9999 quantile of chi2(4).
 CUTOFF = 23.51
 DIMS = range(len(FLOOR))

@@ -130,6 +130,33 @@ def test_outliers_on_hostile_rows(hostile, empty):
     assert outliers.score(empty).count() == 0 and outliers.reject_outliers(empty).count() == 0
 
 
+@pytest.mark.parametrize("odd", [("word_chars", 1500), ("n_symbols", 80), ("n_dup_lines", 28), ("n_repeat_words", 19)])
+@pytest.mark.parametrize("share", [0.01, 0.26, 1 / 3])
+def test_copies_of_an_outlier_are_rejected(odd, share):
+    """However many copies below a third, by each statistic alone (in NumPy, which the operator equals)."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(900):
+        n = int(rng.integers(80, 200))
+        plain = {"n_words": n, "word_chars": int(n * rng.normal(5, 0.15)), "n_symbols": int(rng.random() < 0.2), "n_dup_lines": 0, "n_repeat_words": 0, "n_lines": 30}
+        copy = {**plain, "n_words": 100, "word_chars": 500, "n_symbols": 0, odd[0]: odd[1]}
+        rows.append(("en", "a", tuple((copy if i < share * 900 else plain)[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"))))
+    found = brute_verdicts(rows)
+    kept = [not f and d <= outliers.CUTOFF for f, d in found]
+    assert not any(kept[: int(share * 900)]) and np.mean(kept[int(share * 900) + 1 :]) > 0.99
+
+
+def test_a_third_of_copies_is_rejected(spark):
+    rng = np.random.default_rng(7)
+    words = lambda: " ".join("abcdefghijkl"[: int(k)] + str(j) for j, k in enumerate(rng.integers(1, 9, 60)))
+    copy = words() + " ### $$$ %%% &&& ***" * 2
+    docs = spark.createDataFrame([(i, copy if i % 3 == 0 else words(), "en", "a") for i in range(600)], "doc_id long, text string, lang string, source string")
+    got = outliers.score(docs).collect()
+    assert not any(r.base_failed for r in got)
+    assert not any(r.kept for r in got if r.doc_id % 3 == 0)
+    assert np.mean([r.kept for r in got if r.doc_id % 3]) > 0.98
+
+
 # -- exact dedup ----------------------------------------------------------------
 
 
