@@ -7,15 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm import content_sort, cotraining, mixing, outliers, packing, pseudonyms, sharding, simhash, suffix_repeats, tag_paths
+from starbuild.llm import (
+    content_sort,
+    cotraining,
+    dual_tree,
+    mixing,
+    outliers,
+    packing,
+    pseudonyms,
+    sharding,
+    simhash,
+    suffix_repeats,
+    tag_paths,
+    token_counts,
+    whitening,
+)
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -83,6 +98,21 @@ def op10_content_sort(spark: SparkSession, folder: str) -> DataFrame:
     return content_sort.content_sort(docs).select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    whitened = whitening.whiten(_table(spark, folder, "embeddings"))
+    deviation = F.expr("try_cast(deviation AS bigint)").alias("deviation")
+    return whitened.select(F.col("id").alias("vec_id"), "component", "n", deviation, "whitened", "explained", "identity_error")
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(_table(spark, folder, "documents"), tokenizer_path(BYTE_TOKENIZER))
+    return counted.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+def op13_dual_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return dual_tree.search(_table(spark, folder, "benchmark"), _table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -96,12 +126,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_cotraining,
         op9_poisson_mixing,
         op10_content_sort,
+        op11_bit_sliced_whitening,
+        op12_token_counts,
+        op13_dual_tree_search,
     )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLE: dict[str, str] = {
+    "op13_dual_tree_search": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_TERMS}') AS terms FROM documents
+), sized AS (
+  SELECT r, doc_id, len(terms) AS n, sum(len(terms)) OVER ()::BIGINT AS l, count(*) OVER () AS docs
+  FROM d WHERE len(terms) > 0
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM d, unnest(terms) AS t(term) GROUP BY r, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * (SELECT max(docs) FROM sized) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf GROUP BY term
+), items AS (
+  SELECT DISTINCT item_id, term FROM benchmark, unnest(regexp_extract_all({_LOWER}, '{_TERMS}')) AS t(term)
+), scored AS (
+  SELECT i.item_id, s.r, s.doc_id,
+         sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * (50 + (50 * s.n * s.docs) // s.l))))::BIGINT AS score
+  FROM items i JOIN w USING (term) JOIN tf f USING (term) JOIN sized s USING (r) GROUP BY i.item_id, s.r, s.doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 50""",
     "op10_content_sort": f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
