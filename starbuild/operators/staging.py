@@ -38,8 +38,8 @@ def new_path(spark: SparkSession, label: str) -> str:
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("staged_tables", default=())
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and continue from the files.
+def stage(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` once and continue from the files; ``codec`` overrides the session's compression.
 
     Later steps see one fixed result, whatever is recomputed after a lost executor.
     """
@@ -47,7 +47,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     for paths in _scopes.get():
         paths.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
