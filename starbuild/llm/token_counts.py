@@ -4,12 +4,12 @@ A byte-level vocabulary cuts a text into pre-tokens and each of these into piece
 stands around it.  So the pieces of a pre-token are counted once for the whole corpus, and a document's
 tokens are the sum of these counts times the frequencies of its pre-tokens; no ids are made.
 
-Documents are read once, in blocks of ``BLOCK`` bytes of text.  A block is stored with the list of its
-distinct pre-tokens and, per document, their numbers in that list and their frequencies.  The lists alone
-(a pre-token leaves a block once, however many of its documents hold it) are shuffled: distinct pre-tokens
-are found with partial aggregation, their pieces counted and joined back.  A pre-token that stands in every
-document is thus one short row per block, and Spark can split that join.  The counts return to their block,
-where the frequencies are multiplied and added up.
+Documents are read once, in blocks of ``BLOCK`` bytes of text.  A block numbers its distinct pre-tokens by
+falling frequency; its documents are stored with their frequencies per number (differences of the sorted
+numbers, in one to five bytes each).  The blocks' lists of pre-tokens alone are shuffled, so that equal ones
+stand together and are counted once; a pre-token leaves a block once, however many of its documents hold it,
+so the commonest is one short row per block.  The counts return to their block, where they are joined to
+the documents' frequencies, multiplied and added up.
 
 To find pre-tokens cheaply, a text is first cut before every space, and around every line feed, that a
 character other than white space follows: no pre-token reaches across such a place.  The library cuts each
@@ -25,7 +25,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,30 +36,67 @@ from pyspark.sql import functions as F
 
 from starbuild.llm.common import stage
 
-#: Bytes of text in a block.
-BLOCK = 8 << 20
+#: Bytes of text in a block; a document counts as 64 at least.
+BLOCK = 16 << 20
+#: Stretches that the library cuts in one call.
+TOGETHER = 20_000
 
 _SPACE_THEN_WHITE = re.compile(r" (?!\S)")
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _LINE_END = re.compile(r"\n(?=\S)")
 
 
-def stretches(text: str) -> Counter:
-    """How often each stretch occurs that begins and ends where the pre-tokens of ``text`` do."""
-    found: Counter = Counter()
-    lines = _LINE_END.split(text)
-    if len(lines) > 1:
-        found["\n"] = len(lines) - 1
-    for line in lines:
-        words = _BEFORE_WORD.split(line) if _SPACE_THEN_WHITE.search(line) else line.split(" ")
-        first, words[0] = words[0], ""
-        if first:
-            found[first] += 1
-        if len(words) > 1:
-            words[0] = words.pop()  # the first place is free now
-            for word, n in Counter(words).items():
-                found[" " + word] += n
-    return found
+class _Numbers(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
+
+
+class Stretches:
+    """Numbers the stretches of texts that begin and end where pre-tokens do: even numbers for those after a space."""
+
+    def __init__(self) -> None:
+        self.spaced, self.first = _Numbers(), _Numbers()
+
+    def numbers(self, text: str) -> np.ndarray:
+        lines = _LINE_END.split(text) if "\n" in text else [text]
+        firsts, words = [], []
+        if len(lines) > 1:
+            firsts = [self.first["\n"]] * (len(lines) - 1)
+        for line in lines:
+            found = _BEFORE_WORD.split(line) if _SPACE_THEN_WHITE.search(line) else line.split(" ")
+            if found[0]:
+                firsts.append(self.first[found[0]])
+            del found[0]
+            words += found
+        spaced = np.fromiter(map(self.spaced.__getitem__, words), np.int32, len(words))
+        return np.concatenate([2 * spaced, 2 * np.array(firsts, np.int32) + 1])
+
+
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Non-negative integers below 2^35 as bytes of seven bits, the last of each below 128; and how many bytes each has."""
+    sizes = np.ones(len(values), np.int64)
+    for bits in (7, 14, 21, 28):
+        sizes += values >> bits > 0
+    ends = np.cumsum(sizes)
+    out = np.zeros(ends[-1] if len(ends) else 0, np.uint8)
+    for i in range(int(sizes.max(initial=0))):
+        at = sizes > i
+        more = np.where(sizes[at] > i + 1, 128, 0)
+        out[(ends - sizes)[at] + i] = (values[at] >> 7 * i & 127) | more
+    return out, sizes
+
+
+def from_varints(data: np.ndarray) -> np.ndarray:
+    if not len(data):
+        return np.zeros(0, np.int64)
+    last = data < 128
+    starts = np.concatenate([[0], np.flatnonzero(last)[:-1] + 1])
+    sizes = np.diff(np.append(starts, len(data)))
+    shift = 7 * (np.arange(len(data)) - np.repeat(starts, sizes))
+    return np.add.reduceat((data & 127).astype(np.int64) << shift, starts)
 
 
 class Vocabulary:
@@ -80,62 +116,103 @@ class Vocabulary:
         special = sorted((a["content"] for a in declared["added_tokens"]), key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
-    def frequencies(self, text: str) -> tuple[Counter, int]:
-        """Stretches of a text, and how many special tokens stand between them."""
-        if self._special is None or not self._special.search(text):
-            return stretches(text), 0
-        parts, found = self._special.split(text), Counter()
-        for part in parts[::2]:
-            found.update(stretches(part))
-        return found, len(parts) // 2
-
-    def cut(self, stretch: str) -> list[str]:
-        return [token for token, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(stretch)]
+    def parts(self, text: str) -> list[str]:
+        """The text between special tokens."""
+        return [text] if self._special is None or not self._special.search(text) else self._special.split(text)
+
+    def cut(self, stretches: Stretches) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct pre-tokens, and those of every stretch by number: first spaced stretches, then the others.
+
+        Many stretches are cut as one string: no pre-token crosses from one into the next.
+        """
+        pre, number = self._tokenizer.pre_tokenizer, _Numbers()
+        found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for mark, own in ((" ", list(stretches.spaced)), ("\n", list(stretches.first))):
+            for begin in range(0, len(own), TOGETHER):
+                part = own[begin : begin + TOGETHER]
+                # after the line feed in front, white space would join it: such stretches are cut alone
+                alone = [i for i, s in enumerate(part) if mark == "\n" and s[0].isspace()]
+                plain = np.delete(np.arange(len(part)), alone)
+                tokens = pre.pre_tokenize_str("".join([mark + part[i] for i in plain]))
+                starts = np.cumsum([0] + [len(part[i]) + 1 for i in plain])[:-1]
+                begins = np.array([at for _, (at, _) in tokens], np.int64)
+                owner = np.searchsorted(starts, begins, side="right") - 1
+                kept = np.ones(len(tokens), bool) if mark == " " else begins > starts[owner]
+                numbers = [number[t] for (t, _), k in zip(tokens, kept.tolist()) if k]
+                owner = plain[owner[kept]]
+                for i in alone:
+                    more = [number[t] for t, _ in pre.pre_tokenize_str(part[i])]
+                    numbers += more
+                    owner = np.append(owner, [i] * len(more))
+                order = np.argsort(owner, kind="stable")
+                owner, numbers = owner[order], np.array(numbers, np.int32)[order]
+                found.append(numbers)
+                sizes.append(np.bincount(owner, minlength=len(part)))
+        return list(number), np.concatenate(found), np.concatenate(sizes)
 
     def pieces(self, pre_token: str) -> int:
         return len(self._tokenizer.model.tokenize(pre_token))
 
 
-def _numbers(values) -> pa.Array:
-    return pa.array(values, pa.list_(pa.int32()))
-
-
 class _Block:
     """Documents whose pre-tokens are numbered together."""
 
-    def __init__(self, vocabulary: Vocabulary, name: str):
+    def __init__(self, vocabulary: Vocabulary, name: int):
         self._vocabulary, self._name = vocabulary, name
-        self._number: dict[str, int] = {}
-        self._cuts: dict[str, list[int]] = {}
+        self._stretches = Stretches()
         self._ids: list[pa.Array] = []
-        self._rows: list[tuple[int, int, list[int], list[int]]] = []
+        self._sizes: list[int] = []
+        self._special: list[int] = []
+        self._found: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def _numbers_of(self, stretch: str) -> list[int]:
-        known = self._cuts.get(stretch)
-        if known is None:
-            number = self._number
-            known = self._cuts[stretch] = [number.setdefault(t, len(number)) for t in self._vocabulary.cut(stretch)]
-        return known
+    def __len__(self) -> int:
+        return len(self._ids)
 
     def add(self, row_id: pa.Array, text: str, size: int) -> None:
-        found, special = self._vocabulary.frequencies(text)
-        frequency: dict[int, int] = {}
-        for stretch, n in found.items():
-            for number in self._numbers_of(stretch):
-                frequency[number] = frequency.get(number, 0) + n
+        parts = self._vocabulary.parts(text)
+        numbers = np.concatenate([self._stretches.numbers(part) for part in parts[::2]]) if len(parts) > 1 else self._stretches.numbers(text)
+        distinct, times = np.unique(numbers, return_counts=True)
+        self._found.append((distinct, times.astype(np.int32)))
         self._ids.append(row_id)
-        order = sorted(frequency)
-        self._rows.append((size, special, order, [frequency[i] for i in order]))
-        self.size += size
+        self._sizes.append(size)
+        self._special.append(len(parts) // 2)
+        self.size += max(size, 64)
+
+    def _frequencies(self) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Pre-tokens by falling frequency; document, number and frequency, sorted."""
+        words, flat, sizes = self._vocabulary.cut(self._stretches)
+        stretch = np.concatenate([f[0] for f in self._found]).astype(np.int64)
+        times = np.concatenate([f[1] for f in self._found])
+        doc = np.repeat(np.arange(len(self)), [len(f[0]) for f in self._found])
+        stretch = (stretch >> 1) + (stretch & 1) * len(self._stretches.spaced)
+        starts, own = np.cumsum(sizes) - sizes, sizes[stretch]
+        inner = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        number = flat[np.repeat(starts[stretch], own) + inner]
+        doc, times = np.repeat(doc, own), np.repeat(times, own)
+        total = np.bincount(number, weights=times, minlength=len(words))
+        falling = np.argsort(-total, kind="stable")
+        rank = np.empty_like(falling)
+        rank[falling] = np.arange(len(falling))
+        pair = doc * len(words) + rank[number]
+        order = np.argsort(pair, kind="stable")
+        pair, first = np.unique(pair[order], return_index=True)
+        times = np.add.reduceat(times[order].astype(np.int64), first) if len(first) else times
+        return [words[i] for i in falling], pair // max(1, len(words)), pair % max(1, len(words)), times
 
     def batch(self) -> pa.RecordBatch:
         """One row a document; the first one also carries the block's pre-tokens."""
-        n = len(self._rows)
-        words = pa.array([list(self._number)] + [None] * (n - 1), pa.list_(pa.string()))
-        columns = [pa.array([self._name] * n), pa.concat_arrays(self._ids)]
-        columns += [pa.array([r[i] for r in self._rows], pa.int64()) for i in (0, 1)] + [_numbers([r[i] for r in self._rows]) for i in (2, 3)]
-        return pa.RecordBatch.from_arrays([*columns, words], names=["block", "id", "n_bytes", "special", "numbers", "times", "words"])
+        words, doc, number, times = self._frequencies()
+        n = len(self)
+        new = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
+        columns = [pa.array([self._name] * n, pa.int64()), pa.concat_arrays(self._ids), pa.array(self._sizes, pa.int64()), pa.array(self._special, pa.int64())]
+        for values in (np.where(new, number, np.diff(number, prepend=0)), times):
+            data, sizes = varints(values)
+            ends = np.cumsum(np.bincount(doc, weights=sizes, minlength=n)).astype(np.int32)
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            columns.append(pa.Array.from_buffers(pa.binary(), n, [None, offsets.buffers()[1], pa.py_buffer(data.tobytes())]))
+        columns.append(pa.array([words] + [None] * (n - 1), pa.list_(pa.string())))
+        return pa.RecordBatch.from_arrays(columns, names=["block", "id", "n_bytes", "special", "numbers", "times", "words"])
 
 
 def frequencies(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK) -> DataFrame:
@@ -144,51 +221,71 @@ def frequencies(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", t
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, task, done = Vocabulary(vocabulary_path), TaskContext.get().partitionId(), 0
-        block = _Block(vocabulary, f"{task}-{done}")
+        block = _Block(vocabulary, (task << 32) + done)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             sizes = pc.binary_length(texts).fill_null(0).to_pylist()
             for at, size in enumerate(sizes):
-                if block.size and block.size + size > block_bytes:
+                if len(block) and block.size + max(size, 64) > block_bytes:
                     yield block.batch()
                     done += 1
-                    block = _Block(vocabulary, f"{task}-{done}")
+                    block = _Block(vocabulary, (task << 32) + done)
                 block.add(ids.slice(at, 1), texts[at].as_py() or "", size)
-        if block._rows:
+        if len(block):
             yield block.batch()
 
     kind = slim.schema["id"].dataType.simpleString()
-    return slim.mapInArrow(read, f"block string, id {kind}, n_bytes long, special long, numbers array<int>, times array<int>, words array<string>")
+    return slim.mapInArrow(read, f"block long, id {kind}, n_bytes long, special long, numbers binary, times binary, words array<string>")
 
 
 def piece_counts(pre_tokens: DataFrame, vocabulary_path: str) -> DataFrame:
-    """``word`` and ``pieces`` for every row of ``word``."""
+    """``block``, ``number`` and ``pieces`` for every row of ``block``, ``number`` and ``word``.
+
+    Equal words meet in one partition and stand together there, so each is counted once.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(vocabulary_path)
+        vocabulary, last, pieces = Vocabulary(vocabulary_path), None, 0
         for batch in batches:
-            found = [vocabulary.pieces(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], names=["word", "pieces"])
+            found = []
+            for word in batch.column(2).to_pylist():
+                if word != last:
+                    last, pieces = word, vocabulary.pieces(word)
+                found.append(pieces)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int32())], names=["block", "number", "pieces"])
+
+    together = pre_tokens.select("block", "number", "word").repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(count, "block long, number int, pieces int")
+
 
-    return pre_tokens.mapInArrow(count, "word string, pieces int")
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of all rows of a column of coded ones, and the row of each."""
+    raw = [np.frombuffer(v.as_buffer(), np.uint8) for v in column]
+    counts = np.array([int((r < 128).sum()) for r in raw], np.int64)
+    return from_varints(np.concatenate(raw)), np.repeat(np.arange(len(raw)), counts)
 
 
 def _add_up(key: tuple, documents: pa.Table, counts: pa.Table) -> pa.Table:
     """Tokens of a block's documents; ``counts`` has the pieces of each of its pre-tokens by number."""
     pieces = np.zeros(counts.num_rows, np.int64)
     pieces[counts["number"].to_numpy()] = counts["pieces"].to_numpy()
-    tokens = []
-    for numbers, times, special in zip(documents["numbers"], documents["times"], documents["special"].to_pylist()):
-        tokens.append(special + int(pieces[numbers.values.to_numpy()] @ times.values.to_numpy().astype(np.int64)))
+    steps, doc = _flat(documents["numbers"])
+    times, _ = _flat(documents["times"])
+    tokens = documents["special"].to_numpy().copy()
+    if len(steps):
+        number = np.cumsum(steps)
+        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        before = number[first] - steps[first]
+        number -= np.repeat(before, np.diff(np.append(first, len(doc))))
+        tokens[doc[first]] += np.add.reduceat(pieces[number] * times, first)
     return pa.table({"id": documents["id"], "n_bytes": documents["n_bytes"], "n_tokens": pa.array(tokens, pa.int64())})
 
 
 def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK) -> DataFrame:
     """``id``, ``n_bytes`` (UTF-8) and ``n_tokens`` of every row."""
-    stored = stage(frequencies(docs, vocabulary_path, id_col, text_col, block_bytes), "pre-tokens")
+    stored = stage(frequencies(docs, vocabulary_path, id_col, text_col, block_bytes), "pre-tokens", "zstd")
     words = stored.where("words IS NOT NULL").select("block", F.posexplode("words").alias("number", "word"))
-    pieces = piece_counts(words.select("word").distinct(), vocabulary_path)
-    counted = words.join(pieces, "word").select(F.col("block").alias("of_block"), "number", "pieces")
+    counted = piece_counts(words, vocabulary_path).withColumnRenamed("block", "of_block")
     documents = stored.select("block", "id", "n_bytes", "special", "numbers", "times")
     kind = stored.schema["id"].dataType.simpleString()
     return documents.groupBy("block").cogroup(counted.groupBy("of_block")).applyInArrow(_add_up, f"id {kind}, n_bytes long, n_tokens long")

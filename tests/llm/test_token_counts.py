@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -17,16 +18,29 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
-def test_stretches_keep_pre_tokens(library):
+def test_stretches_keep_pre_tokens(library, monkeypatch):
     """Cutting stretch by stretch gives the pre-tokens of the whole text, whatever white space and signs it has."""
     rng = random.Random(3)
     signs = " \n\t\r\x0b\x1c\x1f\x85\xa0  　᠎​'\"sdtmrevl.,1٣²é日本ßA z-\U0001f600́"
-    for _ in range(4000):
-        text = "".join(rng.choice(signs) for _ in range(rng.randrange(30)))
-        want = sorted(t for t, _ in library.pre_tokenizer.pre_tokenize_str(text))
-        cut = token_counts.Vocabulary(PATH).cut if _ == 0 else cut
-        got = sorted(t for s, n in token_counts.stretches(text).items() for t in cut(s) * n)
-        assert got == want, repr(text)
+    vocabulary = token_counts.Vocabulary(PATH)
+    monkeypatch.setattr(token_counts, "TOGETHER", 4)
+    for _ in range(1500):
+        texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(3)]
+        stretches = token_counts.Stretches()
+        numbers = [stretches.numbers(t) for t in texts]
+        words, flat, sizes = vocabulary.cut(stretches)
+        ends = sizes.cumsum()
+        for text, own in zip(texts, numbers):
+            places = [(n >> 1) + (n & 1) * len(stretches.spaced) for n in own.tolist()]
+            got = sorted(words[i] for p in places for i in flat[ends[p] - sizes[p] : ends[p]])
+            assert got == sorted(t for t, _ in library.pre_tokenizer.pre_tokenize_str(text)), repr(text)
+
+
+def test_varints():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**28 - 1, 2**28, 2**34])
+    data, sizes = token_counts.varints(values)
+    assert token_counts.from_varints(data).tolist() == values.tolist() and sizes.sum() == len(data)
+    assert token_counts.from_varints(token_counts.varints(values[:0])[0]).tolist() == []
 
 
 def check(rows, texts, library):
