@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 from starbuild.llm.common import stage
 
 #: Bytes of text in a block; a document counts as 64 at least.
-BLOCK = 16 << 20
+BLOCK = 6 << 20
 #: Stretches that the library cuts in one call.
 TOGETHER = 20_000
+#: Counts that a task gathers before it hands them out by block.
+HELD = 400_000
 
 _SPACE_THEN_WHITE = re.compile(r" (?!\S)")
 _BEFORE_WORD = re.compile(r" (?=\S)")
@@ -204,13 +206,8 @@ class _Block:
         """One row a document; the first one also carries the block's pre-tokens."""
         words, doc, number, times = self._frequencies()
         n = len(self)
-        new = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
         columns = [pa.array([self._name] * n, pa.int64()), pa.concat_arrays(self._ids), pa.array(self._sizes, pa.int64()), pa.array(self._special, pa.int64())]
-        for values in (np.where(new, number, np.diff(number, prepend=0)), times):
-            data, sizes = varints(values)
-            ends = np.cumsum(np.bincount(doc, weights=sizes, minlength=n)).astype(np.int32)
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            columns.append(pa.Array.from_buffers(pa.binary(), n, [None, offsets.buffers()[1], pa.py_buffer(data.tobytes())]))
+        columns += _coded(doc, n, _steps(doc, number), times)
         columns.append(pa.array([words] + [None] * (n - 1), pa.list_(pa.string())))
         return pa.RecordBatch.from_arrays(columns, names=["block", "id", "n_bytes", "special", "numbers", "times", "words"])
 
@@ -238,46 +235,79 @@ def frequencies(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", t
     return slim.mapInArrow(read, f"block long, id {kind}, n_bytes long, special long, numbers binary, times binary, words array<string>")
 
 
+def _coded(group: np.ndarray, groups: int, *columns: np.ndarray) -> list[pa.Array]:
+    """Columns of integers as one binary value for each of the ``groups``; ``group`` rises."""
+    out = []
+    for values in columns:
+        data, sizes = varints(values)
+        ends = np.cumsum(np.bincount(group, weights=sizes, minlength=groups))
+        offsets = pa.array(np.append(0, ends).astype(np.int32))
+        out.append(pa.Array.from_buffers(pa.binary(), groups, [None, offsets.buffers()[1], pa.py_buffer(data.tobytes())]))
+    return out
+
+
+def _steps(group: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Differences of values that rise in each group, the first of which stays."""
+    return np.where(np.append(True, group[1:] != group[:-1])[: len(group)], values, np.diff(values, prepend=0))
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of all rows of a coded column, and the row of each."""
+    raw = [np.frombuffer(v.as_buffer(), np.uint8) for v in column]
+    if not raw:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return from_varints(np.concatenate(raw)), np.repeat(np.arange(len(raw)), [int((r < 128).sum()) for r in raw])
+
+
+def _risen(steps: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """What ``_steps`` came from."""
+    values = np.cumsum(steps)
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+    return values - np.repeat(values[first] - steps[first], np.diff(np.append(first, len(group))))
+
+
 def piece_counts(pre_tokens: DataFrame, vocabulary_path: str) -> DataFrame:
-    """``block``, ``number`` and ``pieces`` for every row of ``block``, ``number`` and ``word``.
+    """Numbers and pieces, coded in rows by ``block``, of the words in rows of ``block``, ``number`` and ``word``.
 
     Equal words meet in one partition and stand together there, so each is counted once.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, last, pieces = Vocabulary(vocabulary_path), None, 0
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            block, number, count = np.concatenate(held, axis=1)
+            held.clear()
+            order = np.lexsort((number, block))
+            names, group = np.unique(block[order], return_inverse=True)
+            columns = _coded(group, len(names), _steps(group, number[order]), count[order])
+            return pa.RecordBatch.from_arrays([pa.array(names), *columns], names=["block", "numbers", "pieces"])
+
         for batch in batches:
             found = []
             for word in batch.column(2).to_pylist():
                 if word != last:
                     last, pieces = word, vocabulary.pieces(word)
                 found.append(pieces)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int32())], names=["block", "number", "pieces"])
+            held.append(np.array([batch.column(0).to_numpy(), batch.column(1).to_numpy(), found], np.int64))
+            if sum(h.shape[1] for h in held) >= HELD:
+                yield flush()
+        if held:
+            yield flush()
 
     together = pre_tokens.select("block", "number", "word").repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(count, "block long, number int, pieces int")
-
-
-def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The integers of all rows of a column of coded ones, and the row of each."""
-    raw = [np.frombuffer(v.as_buffer(), np.uint8) for v in column]
-    counts = np.array([int((r < 128).sum()) for r in raw], np.int64)
-    return from_varints(np.concatenate(raw)), np.repeat(np.arange(len(raw)), counts)
+    return together.mapInArrow(count, "block long, numbers binary, pieces binary")
 
 
 def _add_up(key: tuple, documents: pa.Table, counts: pa.Table) -> pa.Table:
     """Tokens of a block's documents; ``counts`` has the pieces of each of its pre-tokens by number."""
-    pieces = np.zeros(counts.num_rows, np.int64)
-    pieces[counts["number"].to_numpy()] = counts["pieces"].to_numpy()
+    number = _risen(*_flat(counts["numbers"]))
+    pieces = np.zeros(len(number), np.int64)
+    pieces[number] = _flat(counts["pieces"])[0]
     steps, doc = _flat(documents["numbers"])
-    times, _ = _flat(documents["times"])
     tokens = documents["special"].to_numpy().copy()
-    if len(steps):
-        number = np.cumsum(steps)
-        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        before = number[first] - steps[first]
-        number -= np.repeat(before, np.diff(np.append(first, len(doc))))
-        tokens[doc[first]] += np.add.reduceat(pieces[number] * times, first)
+    np.add.at(tokens, doc, pieces[_risen(steps, doc)] * _flat(documents["times"])[0])
     return pa.table({"id": documents["id"], "n_bytes": documents["n_bytes"], "n_tokens": pa.array(tokens, pa.int64())})
 
 
