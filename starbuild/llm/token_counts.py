@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 from starbuild.llm.common import stage
 
 #: Bytes of text in a block; a document counts as 64 at least.
-BLOCK = 6 << 20
+BLOCK = 16 << 20
 #: Stretches that the library cuts in one call.
 TOGETHER = 20_000
+#: Pairs of document and stretch that are sorted together.
+SORTED = 150_000
 #: Counts that a task gathers before it hands them out by block.
 HELD = 400_000
 
@@ -181,34 +183,38 @@ class _Block:
         self._special.append(len(parts) // 2)
         self.size += max(size, 64)
 
-    def _frequencies(self) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """Pre-tokens by falling frequency; document, number and frequency, sorted."""
+    def batch(self) -> pa.RecordBatch:
+        """One row a document; the first one also carries the block's pre-tokens, by falling frequency."""
         words, flat, sizes = self._vocabulary.cut(self._stretches)
-        stretch = np.concatenate([f[0] for f in self._found]).astype(np.int64)
+        spaced, self._stretches = len(self._stretches.spaced), Stretches()
+        starts = np.cumsum(sizes) - sizes
+        stretch = np.concatenate([f[0] for f in self._found])
+        stretch = (stretch >> 1) + (stretch & 1) * np.int32(spaced)
         times = np.concatenate([f[1] for f in self._found])
-        doc = np.repeat(np.arange(len(self)), [len(f[0]) for f in self._found])
-        stretch = (stretch >> 1) + (stretch & 1) * len(self._stretches.spaced)
-        starts, own = np.cumsum(sizes) - sizes, sizes[stretch]
-        inner = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
-        number = flat[np.repeat(starts[stretch], own) + inner]
-        doc, times = np.repeat(doc, own), np.repeat(times, own)
-        total = np.bincount(number, weights=times, minlength=len(words))
-        falling = np.argsort(-total, kind="stable")
+        total = np.bincount(stretch, weights=times, minlength=len(sizes))
+        falling = np.argsort(-np.bincount(flat, weights=np.repeat(total, sizes), minlength=len(words)), kind="stable")
         rank = np.empty_like(falling)
         rank[falling] = np.arange(len(falling))
-        pair = doc * len(words) + rank[number]
-        order = np.argsort(pair, kind="stable")
-        pair, first = np.unique(pair[order], return_index=True)
-        times = np.add.reduceat(times[order].astype(np.int64), first) if len(first) else times
-        return [words[i] for i in falling], pair // max(1, len(words)), pair % max(1, len(words)), times
-
-    def batch(self) -> pa.RecordBatch:
-        """One row a document; the first one also carries the block's pre-tokens."""
-        words, doc, number, times = self._frequencies()
-        n = len(self)
+        lengths = np.array([len(f[0]) for f in self._found])
+        ends = np.cumsum(lengths)
+        parts, begin, n = [], 0, len(self)
+        while begin < n:  # some documents at a time, as their sorting takes most memory
+            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] - lengths[begin] + SORTED, side="right")))
+            some = slice(ends[begin] - lengths[begin], ends[end - 1])
+            own, doc = sizes[stretch[some]], np.repeat(np.arange(end - begin), lengths[begin:end])
+            inner = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            number = rank[flat[np.repeat(starts[stretch[some]], own) + inner]]
+            pair = np.repeat(doc, own) * len(words) + number
+            order = np.argsort(pair, kind="stable")
+            pair, first = np.unique(pair[order], return_index=True)
+            times_of = np.repeat(times[some], own)[order].astype(np.int64)
+            summed = np.add.reduceat(times_of, first) if len(first) else times_of
+            doc, number = pair // max(1, len(words)), pair % max(1, len(words))
+            parts.append(_coded(doc, end - begin, _steps(doc, number), summed))
+            begin = end
         columns = [pa.array([self._name] * n, pa.int64()), pa.concat_arrays(self._ids), pa.array(self._sizes, pa.int64()), pa.array(self._special, pa.int64())]
-        columns += _coded(doc, n, _steps(doc, number), times)
-        columns.append(pa.array([words] + [None] * (n - 1), pa.list_(pa.string())))
+        columns += [pa.concat_arrays(column) for column in zip(*parts)]
+        columns.append(pa.array([[words[i] for i in falling]] + [None] * (n - 1), pa.list_(pa.string())))
         return pa.RecordBatch.from_arrays(columns, names=["block", "id", "n_bytes", "special", "numbers", "times", "words"])
 
 
