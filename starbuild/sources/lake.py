@@ -1,21 +1,39 @@
 """Parquet tables under one root folder.
 
-Bronze tables are partitioned by batch.  Silver and gold tables are rewritten as a new
-version folder; a version counts once its ``_SUCCESS`` marker exists, so a reader never
-sees half a table and a table can be rebuilt from itself.
+Bronze tables are partitioned by batch.  Silver and gold tables have numbered versions; a
+version counts once its ``_SUCCESS`` marker exists, so a reader never sees half a table and
+a table can be rebuilt from itself.  A version is either a folder with the whole table, or
+a *map*: a small table that names the folder of each partition.  Replacing some partitions
+writes new folders and then a new map, so readers of an older version, also those that
+began before, keep seeing what it had, and a stopped rewrite is seen by nobody.
+
+Notes belong to a version of a table and are written before it (``write_note``): they count
+if that version was completed, and a repeated attempt replaces its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starbuild.operators.staging import stage
-
 _VERSION = "version="
+_PART = "__part"
+
+
+def partition_label(columns: Sequence[str]) -> Column:
+    """The partition of a row as text that is safe in a path: plain values as they are, others by their MD5."""
+
+    def one(c: str) -> Column:
+        text = F.col(c).cast("string")
+        plain = F.when(text.rlike("^[A-Za-z0-9_]{1,64}$"), text).otherwise(F.concat(F.lit("x-"), F.md5(text)))
+        return F.when(text.isNull(), F.lit("null-")).otherwise(plain)
+
+    return F.concat_ws(".", *[one(c) for c in columns]) if columns else F.lit("all")
 
 
 def with_lineage_fields(schema: T.StructType) -> T.StructType:
@@ -83,42 +101,106 @@ class Lake:
     def table_path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def _folder(self, path: str):
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+    def _names(self, path: str) -> list[str]:
+        fs, folder = self._folder(path)
+        return [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+
+    def _numbers(self, path: str) -> list[int]:
+        """Numbers of the complete ``version=`` folders."""
+        numbers = [int(n.removeprefix(_VERSION)) for n in self._names(path) if n.startswith(_VERSION)]
+        done = [n for n in numbers if self._done(f"{path}/{_VERSION}{n}")]
+        return sorted(done)
+
+    def _done(self, path: str) -> bool:
+        fs, marker = self._folder(f"{path}/_SUCCESS")
+        return fs.exists(marker)
+
+    def _mapped(self, layer: str, table: str) -> list[int]:
+        return self._numbers(f"{self.table_path(layer, table)}/map")
+
     def versions(self, layer: str, table: str) -> list[int]:
         """Numbers of the complete versions, oldest first."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(self.table_path(layer, table))
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        numbers = [int(n.removeprefix(_VERSION)) for n in names if n.startswith(_VERSION)]
-        return sorted(n for n in numbers if fs.exists(hadoop.Path(f"{folder}/{_VERSION}{n}/_SUCCESS")))
-
-    def overwrite(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> int:
-        """Write the whole table as its next version and return the version number."""
-        version = (self.versions(layer, table) or [0])[-1] + 1
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.table_path(layer, table)}/{_VERSION}{version}")
+        return sorted({*self._numbers(self.table_path(layer, table)), *self._mapped(layer, table)})
+
+    def next_version(self, layer: str, table: str) -> int:
+        return (self.versions(layer, table) or [0])[-1] + 1
+
+    def overwrite(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] | None = None) -> int:
+        """Write the whole table as its next version and return the version number.
+
+        With ``partition_by`` (which may be empty: one partition) single partitions can be replaced later.
+        """
+        version = self.next_version(layer, table)
+        if partition_by is None:
+            df.write.mode("overwrite").parquet(f"{self.table_path(layer, table)}/{_VERSION}{version}")
+        else:
+            self._write_map(layer, table, version, self._write_parts(df, layer, table, partition_by), df.schema)
         return version
 
-    def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
-        """Rewrite, in the newest version's folder, only the partitions that occur in ``df``.
+    def replace_partitions(
+        self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str], replaced: Sequence[str] | None = None
+    ) -> int:
+        """A new version in which ``df`` stands for some partitions, while the others keep their folders.
 
-        ``df`` may be computed from the partitions it replaces, so it is staged first.
+        ``replaced`` lists the labels of the partitions that ``df`` stands for (also if it has no row of
+        one of them); by default those that occur in it.
         """
-        (
-            stage(df, table)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(self._newest_path(layer, table))
-        )
+        if not self._mapped(layer, table):
+            raise ValueError(f"{layer}.{table} was not written by partitions")
+        folders, schema = self._read_map(layer, table, self.versions(layer, table)[-1])
+        written = {} if replaced is not None and not replaced else self._write_parts(df, layer, table, partition_by)
+        if replaced is not None and not set(written) <= set(replaced):
+            raise ValueError(f"rows of other partitions than {sorted(replaced)}: {sorted(set(written) - set(replaced))}")
+        kept = {part: folder for part, folder in folders.items() if part not in (replaced or ())}
+        version = self.next_version(layer, table)
+        self._write_map(layer, table, version, kept | written, schema)
+        return version
+
+    def _write_parts(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> dict[str, str]:
+        """Write ``df`` to new folders, one a partition: their labels and paths below the table's.
+
+        Rows are brought together by partition before writing, so that a partition has few files;
+        adaptive execution splits large ones.
+        """
+        folder = f"data/{uuid.uuid4().hex}"
+        labelled = df.withColumn(_PART, partition_label(partition_by)).hint("rebalance", _PART)
+        labelled.write.partitionBy(_PART).parquet(f"{self.table_path(layer, table)}/{folder}")
+        names = self._names(f"{self.table_path(layer, table)}/{folder}")
+        return {n.removeprefix(f"{_PART}="): f"{folder}/{n}" for n in names if n.startswith(f"{_PART}=")}
+
+    def _write_map(self, layer: str, table: str, version: int, folders: dict[str, str], schema: T.StructType) -> None:
+        """The map of a version: one row a partition, and one without a partition for the schema."""
+        rows = [(None, schema.json()), *sorted(folders.items())]
+        entries = self.spark.createDataFrame(rows, "part string, folder string").coalesce(1)
+        entries.write.mode("overwrite").parquet(f"{self.table_path(layer, table)}/map/{_VERSION}{version}")
+
+    def _read_map(self, layer: str, table: str, version: int) -> tuple[dict[str, str], T.StructType]:
+        path = f"{self.table_path(layer, table)}/map/{_VERSION}{version}"
+        rows = self.spark.read.schema("part string, folder string").parquet(path).collect()
+        schema = next(r.folder for r in rows if r.part is None)
+        return {r.part: r.folder for r in rows if r.part is not None}, T.StructType.fromJson(json.loads(schema))
 
     def _newest_path(self, layer: str, table: str) -> str:
         return f"{self.table_path(layer, table)}/{_VERSION}{(self.versions(layer, table) or [1])[-1]}"
 
+    # -- notes to a version ---------------------------------------------------
+
+    def write_note(self, df: DataFrame, kind: str, layer: str, table: str, version: int) -> None:
+        """Store ``df`` beside a version that is about to be written."""
+        df.write.mode("overwrite").parquet(f"{self.table_path(layer, table)}/{kind}/{_VERSION}{version}")
+
+    def read_notes(self, kind: str, layer: str, table: str, after: int = 0) -> DataFrame | None:
+        """Notes of the versions above ``after`` with their ``version``; None if one of these lacks its note."""
+        path = f"{self.table_path(layer, table)}/{kind}"
+        wanted = [n for n in self.versions(layer, table) if n > after]
+        if not wanted or not set(wanted) <= set(self._numbers(path)):
+            return None
+        return self.spark.read.option("basePath", path).parquet(*[f"{path}/{_VERSION}{n}" for n in wanted])
+
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         """Add rows to an append-only table (audit tables)."""
         df.write.mode("append").parquet(self._newest_path(layer, table))
@@ -133,12 +215,21 @@ class Lake:
         where: Column | None = None,
         columns: Sequence[str] = (),
         version: int | None = None,
+        partitions: Collection[str] | None = None,
     ) -> DataFrame:
-        """Latest (or a given) version; filter and projection reach the Parquet scan."""
+        """Latest (or a given) version; filter and projection reach the Parquet scan.
+
+        ``partitions`` limits a table that was written by partitions to some of their labels.
+        """
         known = self.versions(layer, table)
         if not known or (version is not None and version not in known):
             raise ValueError(f"no such table version: {layer}.{table} {version or ''}".rstrip())
-        df = self.spark.read.parquet(f"{self.table_path(layer, table)}/{_VERSION}{version or known[-1]}")
+        chosen = version or known[-1]
+        if chosen not in self._mapped(layer, table):
+            return select_where(self.spark.read.parquet(f"{self.table_path(layer, table)}/{_VERSION}{chosen}"), where, columns)
+        folders, schema = self._read_map(layer, table, chosen)
+        paths = [f"{self.table_path(layer, table)}/{f}" for part, f in folders.items() if partitions is None or part in partitions]
+        df = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return select_where(df, where, columns)
 
     # -- versioned dimensions -------------------------------------------------
@@ -150,13 +241,9 @@ class Lake:
     def overwrite_dimension(self, df: DataFrame, table: str) -> int:
         """Store a merge result: closed rows first, then the current rows as the next version."""
         before = (self.versions("gold", table) or [0])[-1]
-        closed = df.where(~F.col("is_current")).withColumn("_closed_from", F.lit(before))
-        (
-            closed.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_closed_from")
-            .parquet(self.table_path("gold", f"{table}_closed"))
-        )
+        # the folder by name, so that what a stopped merge closed goes even if this one closes nothing
+        closed = df.where(~F.col("is_current"))
+        closed.write.mode("overwrite").parquet(f"{self.table_path('gold', f'{table}_closed')}/_closed_from={before}")
         return self.overwrite(df.where(F.col("is_current")), "gold", table)
 
     def read_dimension(self, table: str) -> DataFrame:
@@ -168,13 +255,21 @@ class Lake:
         return current.unionByName(closed.where(F.col("_closed_from") < F.lit(newest)).drop("_closed_from"))
 
     def drop_versions_before(self, layer: str, table: str, version: int) -> None:
-        """Delete versions older than the given one."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(self.table_path(layer, table))
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        """Delete versions older than the given one, their notes, and partition folders that no version names any more."""
+        base = self.table_path(layer, table)
         for old in self.versions(layer, table):
             if old < version:
-                fs.delete(hadoop.Path(f"{folder}/{_VERSION}{old}"), True)
+                for path in [base, *[f"{base}/{n}" for n in self._names(base) if not n.startswith(_VERSION) and n != "data"]]:
+                    self._delete(f"{path}/{_VERSION}{old}")
+        named = {f for n in self._mapped(layer, table) for f in self._read_map(layer, table, n)[0].values()}
+        for write in self._names(f"{base}/data"):
+            for part in self._names(f"{base}/data/{write}"):
+                if part.startswith(f"{_PART}=") and f"data/{write}/{part}" not in named:
+                    self._delete(f"{base}/data/{write}/{part}")
+
+    def _delete(self, path: str) -> None:
+        fs, folder = self._folder(path)
+        fs.delete(folder, True)
 
 
 def select_where(df: DataFrame, where: Column | None = None, columns: Sequence[str] = ()) -> DataFrame:

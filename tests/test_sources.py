@@ -10,7 +10,7 @@ from starbuild import session
 from starbuild.operators import layout, merge, staging
 from starbuild.plans.specs import DAY, INT, SCORE, TEXT, fields
 from starbuild.sources import files, jdbc
-from starbuild.sources.lake import Lake
+from starbuild.sources.lake import Lake, partition_label
 from starbuild.streaming.ingest import ingest_new_files
 
 SCHEMA = fields(("id", INT), ("name", TEXT), ("score", SCORE), ("day", DAY))
@@ -104,21 +104,80 @@ def test_versions(spark, tmp_path):
     assert lake.read("audit", "a").count() == 4
 
 
+def years(spark, *rows):
+    return spark.createDataFrame(list(rows), "k bigint, v string, part string")
+
+
 def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     lake.overwrite(spark.range(40).selectExpr("id AS k", "'old' AS v", "cast(id % 4 as int) AS part"), "gold", "t", ["part"])
-
-    def files_of(part):
-        return {p.name for p in (tmp_path / "gold" / "t" / "version=1" / f"part={part}").glob("*.parquet")}
-
-    before = {part: files_of(part) for part in range(4)}
+    folders = lambda version: lake._read_map("gold", "t", version)[0]
     updates = spark.createDataFrame([(1, "new", 1), (41, "new", 1)], "k bigint, v string, part int")
-    for _ in range(2):
+    for version in (2, 3):
         target = lake.read("gold", "t")
-        lake.replace_partitions(merge.upsert_partitions(target, updates, ["k"], ["part"]), "gold", "t", ["part"])
-    assert [files_of(part) == before[part] for part in range(4)] == [True, False, True, True]
+        merged = merge.upsert_partitions(target, updates, ["k"], ["part"])
+        assert lake.replace_partitions(merged, "gold", "t", ["part"]) == version
+        changed = {p for p in folders(version) if folders(version)[p] != folders(version - 1)[p]}
+        assert changed == {"1"}
     after = lake.read("gold", "t")
     assert after.count() == 41 and after.where("v = 'new'").count() == 2
+    assert lake.read("gold", "t", version=1).where("v = 'old'").count() == 40
+    assert lake.read("gold", "t", partitions=["1"]).count() == 11 and lake.read("gold", "t", partitions=["9"]).count() == 0
+
+
+def test_readers_see_one_version(spark, tmp_path):
+    """A reader that began before a rewrite, and one that begins after a stopped one, see the old table."""
+    lake = Lake(spark, str(tmp_path))
+    odd = years(spark, (1, "a", "2001"), (2, "a", "S/1 x"), (3, "a", None), (4, "a", ""))
+    assert lake.overwrite(odd, "gold", "t", ["part"]) == 1
+    reader = lake.read("gold", "t")
+    # stopped between the folders and the map
+    lake._write_parts(years(spark, (1, "b", "2001")), "gold", "t", ["part"])
+    assert lake.versions("gold", "t") == [1] and lake.read("gold", "t").where("v = 'b'").count() == 0
+    (tmp_path / "gold" / "t" / "map" / "version=2").mkdir()
+    assert lake.versions("gold", "t") == [1]
+    lake.replace_partitions(years(spark, (1, "c", "2001"), (5, "c", None)), "gold", "t", ["part"])
+    assert sorted(r.k for r in lake.read("gold", "t").collect()) == [1, 2, 4, 5]
+    assert sorted((r.k, r.v) for r in reader.collect()) == [(i, "a") for i in (1, 2, 3, 4)]
+    # a partition can become empty, and a new one can come
+    gone = sorted({r[0] for r in odd.select(partition_label(["part"])).collect()})
+    lake.replace_partitions(years(spark, (9, "d", "2001")), "gold", "t", ["part"], gone)
+    assert [(r.k, r.v) for r in lake.read("gold", "t").collect()] == [(9, "d")]
+    with pytest.raises(ValueError, match="rows of other partitions"):
+        lake.replace_partitions(years(spark, (9, "d", "1999")), "gold", "t", ["part"], ["2001"])
+    lake.replace_partitions(lake.read("gold", "t").limit(0), "gold", "t", ["part"], ["2001"])
+    assert lake.read("gold", "t").collect() == [] and lake.read("gold", "t").columns == ["k", "v", "part"]
+    lake.drop_versions_before("gold", "t", 4)
+    assert lake.versions("gold", "t") == [4] and lake.read("gold", "t").collect() == []
+    assert not list((tmp_path / "gold" / "t" / "data").glob("*/__part=*"))
+    lake.overwrite(spark.range(2), "gold", "whole")
+    with pytest.raises(ValueError, match="not written by partitions"):
+        lake.replace_partitions(spark.range(2), "gold", "whole", [])
+
+
+def test_notes_count_with_their_version(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    for n in (1, 2):
+        lake.write_note(spark.range(n), "ledger", "gold", "t", n)
+        lake.overwrite(spark.range(1), "gold", "t", [])
+    lake.write_note(spark.range(5), "ledger", "gold", "t", 3)  # stopped before its version
+    assert lake.read_notes("ledger", "gold", "t").count() == 3 and lake.read_notes("ledger", "gold", "t", 1).count() == 2
+    assert lake.read_notes("ledger", "gold", "t", 2) is None
+    lake.overwrite(spark.range(1), "gold", "t", [])
+    lake.overwrite(spark.range(1), "gold", "t", [])  # without a note
+    assert lake.read_notes("ledger", "gold", "t", 1) is None
+
+
+def test_a_stopped_merge_leaves_no_closed_version(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    rows = lambda *r: spark.createDataFrame(list(r), "k bigint, is_current boolean")
+    lake.overwrite_dimension(rows((1, True), (2, True)), "d")
+    overwrite, lake.overwrite = lake.overwrite, None
+    with pytest.raises(TypeError):
+        lake.overwrite_dimension(rows((1, False), (3, True), (2, True)), "d")
+    lake.overwrite = overwrite
+    lake.overwrite_dimension(rows((1, True), (2, True)), "d")
+    assert sorted(r.k for r in lake.read_dimension("d").collect()) == [1, 2]
 
 
 def test_filters_reach_the_scan(spark, tmp_path):
