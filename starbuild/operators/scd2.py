@@ -133,7 +133,8 @@ def merge_versions_with_keys(
 ) -> DataFrame:
     """:func:`merge_versions`, then an integer key for each new version in natural-key order."""
     merged = merge_versions(dim, snapshot, natural_key, tracked, as_of, stamp)
-    return fill_keys(merged, key, [*natural_key, START])
+    highest = dim.agg(F.max(key).cast("bigint")).first()[0]  # of one column, not of the merge
+    return fill_keys(merged, key, [*natural_key, START], highest or 0)
 
 
 def as_of_rows(dim: DataFrame, date) -> DataFrame:

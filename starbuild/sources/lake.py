@@ -232,6 +232,12 @@ class Lake:
         df = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return select_where(df, where, columns)
 
+    def read_all(self, layer: str, table: str) -> DataFrame:
+        """The rows of all complete versions together, of a table whose versions add to each other."""
+        base = self.table_path(layer, table)
+        newest = self.read(layer, table)
+        return self.spark.read.schema(newest.schema).parquet(*[f"{base}/{_VERSION}{n}" for n in self._numbers(base)])
+
     # -- versioned dimensions -------------------------------------------------
     #
     # Current rows are a table like any other.  Closed rows are only ever added: each

@@ -11,6 +11,7 @@ from starbuild.operators import layout, merge, staging
 from starbuild.plans.specs import DAY, INT, SCORE, TEXT, fields
 from starbuild.sources import files, jdbc
 from starbuild.sources.lake import Lake, partition_label
+from starbuild.sources.registry import KeyRegistry
 from starbuild.streaming.ingest import ingest_new_files
 
 SCHEMA = fields(("id", INT), ("name", TEXT), ("score", SCORE), ("day", DAY))
@@ -180,6 +181,31 @@ def test_a_stopped_merge_leaves_no_closed_version(spark, tmp_path):
     assert sorted(r.k for r in lake.read_dimension("d").collect()) == [1, 2]
 
 
+def test_keys_are_never_given_out_twice(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+
+    def fill(*names):
+        registry = KeyRegistry(lake, "d", "sk")
+        df = spark.createDataFrame([(None, n, 1) for n in names], "sk bigint, name string, v int")
+        return {r.name: r.sk for r in registry.fill(df, ["name"]).collect()}
+
+    assert fill("c", "a") == {"a": 1, "c": 2}
+    # a run that stops after the registry was written: its member keeps the key, whoever comes next
+    assert fill("a", "x") == {"a": 1, "x": 3}
+    assert fill("b", "c") == {"b": 4, "c": 2}
+    assert fill("x", None, "a") == {"x": 3, None: 5, "a": 1} and fill(None) == {None: 5}
+    # a run that stops while it writes the registry
+    lake._folder(f"{tmp_path}/keys/d/version=5/part-0")[0].mkdirs(lake._folder(f"{tmp_path}/keys/d/version=5")[1])
+    assert fill("d") == {"d": 6}
+    before = lake.versions("keys", "d")
+    assert fill("a", "d") == {"a": 1, "d": 6} and lake.versions("keys", "d") == before
+    assert fill() == {}
+    known = spark.createDataFrame([(7, "old", 1)], "sk bigint, name string, v int")
+    KeyRegistry(lake, "e", "sk").seed(known, ["name"])
+    filled = KeyRegistry(lake, "e", "sk").fill(known.unionByName(known.selectExpr("cast(null as bigint) AS sk", "'new' AS name", "2 AS v")), ["name"])
+    assert {r.name: r.sk for r in filled.collect()} == {"old": 7, "new": 8}
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     lake.overwrite(spark.range(100).selectExpr("id", "id * 2 AS twice", "'x' AS pad"), "gold", "t")
