@@ -33,6 +33,7 @@ def keep_latest(
     order_by: Sequence[str | Column],
     tie_breakers: Sequence[str | Column] | None = None,
     null_keys: str = "keep",
+    row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """The row ranked first per key (names sort descending, NULLs last).
 
@@ -41,14 +42,24 @@ def keep_latest(
     are not duplicates of each other: they all pass (``"keep"``), all go (``"drop"``)
     or count as one key (``"group"``).
 
+    ``row_id`` names columns that tell any two rows apart and stay the same when a task is
+    repeated, such as a row's file and place in it (``Lake.read_bronze(row_ids=True)``).  With
+    it, rows with a NULL key go through the window too, each by itself, and the input is read
+    once; without it they are read apart.  A row's place does not decide ties.
+
     The filter on the row number sits directly on the window, which lets Spark cut each
     map partition to one row per key before the shuffle; a key holding a third of the
     table sends one row per task.
     """
     if tie_breakers is None:
-        tie_breakers = [F.xxhash64(*[F.col(c) for c in df.columns])]
-    keyed, loose = _split_null_keys(df, keys, null_keys)
-    window = Window.partitionBy(*keys).orderBy(*_ordering(order_by), *_ordering(tie_breakers))
+        tie_breakers = [F.xxhash64(*[F.col(c) for c in df.columns if c not in (row_id or ())])]
+    groups: list[Column] = [F.col(k) for k in keys]
+    if null_keys == "keep" and row_id:
+        keyed, loose = df, None
+        groups.append(F.when(any_null(keys), F.struct(*[F.col(c) for c in row_id])))
+    else:
+        keyed, loose = _split_null_keys(df, keys, null_keys)
+    window = Window.partitionBy(*groups).orderBy(*_ordering(order_by), *_ordering(tie_breakers))
     latest = keyed.withColumn("__rank", F.row_number().over(window)).where(F.col("__rank") == 1).drop("__rank")
     return latest if loose is None else latest.unionByName(loose)
 

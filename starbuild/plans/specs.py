@@ -25,6 +25,8 @@ class EntitySpec:
     cleanse: Callable[[DataFrame], DataFrame]
     rules: Callable[[], Sequence[Rule]]
     gold_table: str
+    #: Column whose values part the stored silver table; none: it is one partition.
+    partition: tuple[str, ...] = ()
 
     @property
     def bronze_table(self) -> str:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starbuild.functions import dates, text, values
 from starbuild.operators import dedup, keys, layout, lookup, merge, quality, scd2
@@ -185,6 +186,7 @@ STUDENTS = EntitySpec(
     _clean_students,
     lambda: [required("student_id"), matches("email", EMAIL_PATTERN, "Invalid email format")],
     "dim_student",
+    ("cohort_year",),
 )
 COURSES = EntitySpec(
     "courses",
@@ -229,6 +231,7 @@ ENROLLMENTS = EntitySpec(
     _clean_enrollments,
     _all_required("enrollment_id", "student_id", "course_id"),
     "fact_enrollment",
+    ("semester_id",),
 )
 TUITION = EntitySpec(
     "tuition",
@@ -258,6 +261,7 @@ TUITION = EntitySpec(
         Rule(F.col("net_amount") >= 0, "Negative net amount"),
     ],
     "fact_tuition",
+    ("semester_id",),
 )
 SEMESTERS = EntitySpec(
     "semesters",
@@ -298,11 +302,26 @@ DEPARTMENTS = EntitySpec(
 ENTITIES = {e.name: e for e in (STUDENTS, COURSES, ENROLLMENTS, TUITION, SEMESTERS, DEPARTMENTS)}
 
 
-def silver(df: DataFrame, entity: EntitySpec, stamp=None, tie_breakers: Sequence | None = None) -> DataFrame:
-    """Bronze rows to the entity's silver table: cleanse, validate, latest per key, layout, audit."""
+def silver(
+    df: DataFrame,
+    entity: EntitySpec,
+    stamp=None,
+    tie_breakers: Sequence | None = None,
+    origin: T.StructType = T.StructType(),
+    only: DataFrame | None = None,
+) -> DataFrame:
+    """Bronze rows to the entity's silver table: cleanse, validate, latest per key, layout, audit.
+
+    ``origin`` names further columns to carry along behind the layout; ``only`` limits the keys.  A column
+    ``_row`` of ``df`` tells its rows apart, so that rows without a key need no second pass.
+    """
     checked = validate(entity.cleanse(df), entity.rules())
-    latest = dedup.keep_latest(checked, entity.keys, ["_ingested_at"], tie_breakers)
-    return layout.with_audit(layout.to_layout(latest, entity.silver), stamp)
+    if only is not None:
+        checked = checked.join(only.select(*entity.keys), list(entity.keys), "left_semi")
+    row_id = ["_row"] if "_row" in df.columns else None
+    latest = dedup.keep_latest(checked, entity.keys, ["_ingested_at"], tie_breakers, row_id=row_id)
+    layout_and_origin = T.StructType([*entity.silver.fields, *origin.fields])
+    return layout.with_audit(layout.to_layout(latest, layout_and_origin), stamp)
 
 
 def unchecked_silver(df: DataFrame, entity: EntitySpec, stamp=None) -> DataFrame:
@@ -326,12 +345,12 @@ def department_rows(departments: DataFrame, as_of) -> DataFrame:
     return rows.withColumn("department_age", F.year(dates.as_date(as_of)) - F.col("established_year"))
 
 
-def dim_department(departments: DataFrame, as_of, existing: DataFrame | None = None, stamp=None) -> DataFrame:
+def dim_department(departments: DataFrame, as_of, existing: DataFrame | keys.Numbering | None = None, stamp=None) -> DataFrame:
     rows = department_rows(departments, as_of)
     return layout.with_audit(keys.assign_keys(rows, ["department_id"], "department_key", existing), stamp)
 
 
-def dim_semester(semesters: DataFrame, existing: DataFrame | None = None, stamp=None) -> DataFrame:
+def dim_semester(semesters: DataFrame, existing: DataFrame | keys.Numbering | None = None, stamp=None) -> DataFrame:
     rows = layout.valid_rows(
         semesters,
         [
@@ -343,7 +362,7 @@ def dim_semester(semesters: DataFrame, existing: DataFrame | None = None, stamp=
 
 
 def dim_course(
-    courses: DataFrame, departments: DataFrame | None, existing: DataFrame | None = None, stamp=None
+    courses: DataFrame, departments: DataFrame | None, existing: DataFrame | keys.Numbering | None = None, stamp=None
 ) -> DataFrame:
     rows = lookup.lookup_key(layout.valid_rows(courses), departments, "department_id", "department_key").select(
         "course_id", "course_name", "course_description", "credits",
@@ -353,6 +372,10 @@ def dim_course(
     return layout.with_audit(keys.assign_keys(rows, ["course_id"], "course_key", existing), stamp)
 
 
+#: What tells the versions of students apart.
+VERSION_KEYS = ["student_id", scd2.START]
+
+
 def student_snapshot(
     students: DataFrame,
     departments: DataFrame | None,
@@ -379,16 +402,25 @@ def student_snapshot(
 
 
 def dim_student(
-    students: DataFrame, departments: DataFrame | None, as_of, existing: DataFrame | None = None, stamp=None
+    students: DataFrame,
+    departments: DataFrame | None,
+    as_of,
+    existing: DataFrame | None = None,
+    stamp=None,
+    numbering: keys.Numbering | None = None,
 ) -> DataFrame:
-    """Next state of the versioned student dimension (``existing`` may be its current rows alone)."""
+    """Next state of the versioned student dimension (``existing`` may be its current rows alone).
+
+    ``numbering`` remembers the key of each version, by student and first day.
+    """
     snapshot = student_snapshot(students, departments, as_of)
     stamp = stamp or f"{as_of} 00:00:00"
     if existing is None:
-        return keys.assign_keys(scd2.first_versions(snapshot, as_of, stamp), ["student_id"], "student_key")
-    return scd2.merge_versions_with_keys(
-        existing, snapshot, ["student_id"], TRACKED, as_of, "student_key", stamp
-    )
+        first = scd2.first_versions(snapshot, as_of, stamp)
+        return keys.assign_keys(first, ["student_id"] if numbering is None else VERSION_KEYS, "student_key", numbering)
+    if numbering is None:
+        return scd2.merge_versions_with_keys(existing, snapshot, ["student_id"], TRACKED, as_of, "student_key", stamp)
+    return numbering.fill(scd2.merge_versions(existing, snapshot, ["student_id"], TRACKED, as_of, stamp), VERSION_KEYS)
 
 
 def dim_student_rebuilt(

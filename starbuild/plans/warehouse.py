@@ -4,20 +4,30 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starbuild.operators import calendar, dedup, marts, merge, quality
+from starbuild.operators import calendar, dedup, ledger, marts, merge, quality
 from starbuild.operators.staging import stage, staged_tables
 from starbuild.plans import university as uni
-from starbuild.plans.specs import EntitySpec
+from starbuild.plans.specs import TEXT, EntitySpec, fields
 from starbuild.sources import jdbc
 from starbuild.sources.files import batch_id_of, ingest
-from starbuild.sources.lake import Lake
-
-#: Dimensions whose members can leave, with their natural keys; students are closed, not removed.
-DEPARTING = {"dim_department": "department_id", "dim_semester": "semester_id", "dim_course": "course_id"}
+from starbuild.sources.lake import Lake, partition_label
+from starbuild.sources.registry import KeyRegistry
+
+#: Integer and natural key of each dimension.
+DIMENSION_KEYS = {
+    "dim_department": ("department_key", "department_id"),
+    "dim_semester": ("semester_key", "semester_id"),
+    "dim_course": ("course_key", "course_id"),
+    "dim_student": ("student_key", "student_id"),
+}
+#: What silver keeps of where a row came from, behind the declared layout.
+ORIGIN = fields(("_ingested_at", T.TimestampType()), ("_batch_id", TEXT))
 #: Where an entity's rows come from: a path with its format, or a database table.
 Feed = tuple[str, str] | jdbc.Feed
 SILVER_ORDER = ("departments", "semesters", "courses", "students", "enrollments", "tuition")
@@ -60,6 +70,16 @@ class Warehouse:
             (name, self.batch_id, begun, dt.datetime.now(), status, *[counts.get(k) for k in known], error)
         )
 
+    def _job(self, name: str, sources: Sequence[str], kind: str, work: Callable[[], Mapping[str, int]]) -> None:
+        """Do the work of one table, which returns its row counts, and note the run."""
+        begun = dt.datetime.now()
+        try:
+            self._record(name, begun, "success", work(), None)
+        except Exception as error:
+            self._record(name, begun, "failed", {}, str(error))
+            raise
+        self.lineage += [(source, name, kind, self.batch_id) for source in sources]
+
     def _build(
         self,
         name: str,
@@ -68,31 +88,23 @@ class Warehouse:
         plan: Callable[[], DataFrame],
         save: Callable[[DataFrame], object],
         kept: Callable[[], Column] = lambda: F.lit(True),
-        unresolved: Observation | None = None,
     ) -> None:
-        """Plan, write once with counts taken on the way, and note the run.
+        """Plan, write once with counts taken on the way, and note the run."""
 
-        ``unresolved`` is a count of rows that the plan drops for lack of a key; they are noted
-        as failed, and per key in ``audit.unresolved_keys``.
-        """
-        begun = dt.datetime.now()
-        try:
+        def work() -> Mapping[str, int]:
             seen = Observation(name)
             save(plan().observe(seen, *quality.row_flow(kept())))
-            counts = dict(seen.get)
-            if unresolved is not None:
-                missing = unresolved.get
-                for k in ("records_processed", "records_failed"):
-                    counts[k] += missing["dropped_rows"]
-                prefix = "missing_"
-                self.unresolved += [
-                    (name, self.batch_id, k.removeprefix(prefix), n) for k, n in missing.items() if k.startswith(prefix)
-                ]
-            self._record(name, begun, "success", counts, None)
-        except Exception as error:
-            self._record(name, begun, "failed", {}, str(error))
-            raise
-        self.lineage += [(source, name, kind, self.batch_id) for source in sources]
+            return seen.get
+
+        self._job(name, sources, kind, work)
+
+    def _with_unresolved(self, name: str, counts: Mapping[str, int], unresolved: Observation) -> dict[str, int]:
+        """``counts`` with the rows that lack a key as failed ones, which are also noted per key."""
+        missing, counts, prefix = unresolved.get, dict(counts), "missing_"
+        for k in ("records_processed", "records_failed"):
+            counts[k] += missing["dropped_rows"]
+        self.unresolved += [(name, self.batch_id, k.removeprefix(prefix), n) for k, n in missing.items() if k.startswith(prefix)]
+        return counts
 
     def _each(self, names: Sequence[str], build: Callable[[str], None]) -> None:
         """Build every entity; report all failures together at the end."""
@@ -139,56 +151,105 @@ class Warehouse:
 
         self._each(list(feeds), one)
 
-    def bronze(self, entity: EntitySpec) -> DataFrame:
-        return self.lake.read_bronze(entity.bronze_table, entity.source)
+    def bronze(self, entity: EntitySpec, row_ids: bool = False) -> DataFrame:
+        return self.lake.read_bronze(entity.bronze_table, entity.source, row_ids=row_ids)
 
     def build_silver(self, names: Sequence[str] = SILVER_ORDER, recent_days: int | None = None) -> None:
         """Cleanse each entity.
 
-        With ``recent_days`` the rows ingested in that window, and those of every batch
-        not merged before, go into the existing silver table; otherwise silver is derived
-        from all batches.
+        Without ``recent_days`` silver is derived from all batches.  With it, only batches that no complete
+        version of silver holds, batches rewritten since, and rows ingested in that window are read; only the
+        partitions with changed rows are written; and the changes are stored as the version's ledger.  The
+        result has the rows that a derivation from all batches has.
         """
 
         def one(name: str) -> None:
             entity = uni.ENTITIES[name]
+            job, sources = f"silver.{entity.silver_table}", [f"bronze.{entity.bronze_table}"]
+            contents = self.lake.batch_contents(entity.bronze_table)
+            merged = None if recent_days is None else self.lake.read_notes("merged", "silver", entity.silver_table)
+            if merged is not None:
+                self._job(job, sources, "cleanse", lambda: self._merge_silver(entity, contents, merged, recent_days))
+                return
+
+            def note(written: DataFrame, version: int) -> None:
+                self._note_merged(entity, version, contents, written.agg(F.max("_ingested_at")).first()[0], whole=True)
+
             self._build(
-                f"silver.{entity.silver_table}",
-                [f"bronze.{entity.bronze_table}"],
-                "cleanse",
-                lambda: self._silver_plan(entity, recent_days),
-                lambda df: self.lake.overwrite(df, "silver", entity.silver_table),
+                job, sources, "cleanse", lambda: self._cleansed(entity, self.bronze(entity, row_ids=True)),
+                lambda df: self.lake.overwrite(df, "silver", entity.silver_table, entity.partition, note),
                 lambda: F.col("is_valid"),
-            )
-            merged = self.bronze(entity).select("_batch_id").distinct()
-            self.lake.append(merged.withColumn("table_name", F.lit(entity.silver_table)), "audit", "merged_batches")
+            )
 
         self._each(names, one)
 
-    def _merged_batches(self, entity: EntitySpec) -> list[str]:
-        """Batches that silver already holds, one per earlier run; the present one is merged anew."""
-        if not self.lake.exists("audit", "merged_batches"):
-            return []
-        rows = self.lake.read("audit", "merged_batches", F.col("table_name") == entity.silver_table)
-        return [r[0] for r in rows.select("_batch_id").distinct().collect() if r[0] != self.batch_id]
-
-    def _silver_plan(self, entity: EntitySpec, recent_days: int | None) -> DataFrame:
-        raw = self.bronze(entity)
-        if recent_days is None or not self.lake.exists("silver", entity.silver_table):
-            return uni.silver(raw, entity, self.run_at)
-        keyless = dedup.any_null(entity.keys)
-        keyed = raw.where(~keyless)
-        # by the partition column, so merged batches outside the window are not opened
-        known = F.col("_batch_id").isin(self._merged_batches(entity))
-        recent = keyed.where(~known | merge.is_recent("_ingested_at", self.as_of, recent_days))
-        before = self.lake.read("silver", entity.silver_table, where=~keyless)
-        fresh = stage(uni.silver(recent, entity, self.run_at), f"fresh-{entity.name}")
-        merged = merge.upsert(before, fresh, entity.keys, check_unique=False)
-        # rows without a key cannot be merged; they are taken afresh from all batches
-        return merged.unionByName(uni.silver(raw.where(keyless), entity, self.run_at))
+    def _cleansed(self, entity: EntitySpec, raw: DataFrame, only: DataFrame | None = None) -> DataFrame:
+        return uni.silver(raw, entity, self.run_at, origin=ORIGIN, only=only)
+
+    def _note_merged(
+        self, entity: EntitySpec, version: int, batches: Mapping[str, str | None], newest: dt.datetime | None, whole: bool = False
+    ) -> None:
+        """Which batches, with which content (None: gone), the coming version of silver takes in."""
+        rows = [(b, c, newest, whole) for b, c in sorted(batches.items())] or [(None, None, newest, whole)]
+        note = self.spark.createDataFrame(rows, "_batch_id string, content string, newest timestamp, whole boolean")
+        self.lake.write_note(note.coalesce(1), "merged", "silver", entity.silver_table, version)
+
+    def _merge_silver(self, entity: EntitySpec, contents: Mapping[str, str], merged: DataFrame, recent_days: int) -> Mapping[str, int]:
+        table, keys, part = entity.silver_table, list(entity.keys), partition_label(entity.partition)
+        notes = merged.orderBy("version").collect()  # one row a batch
+        begin = max(r.version for r in notes if r.whole)
+        known = {r._batch_id: r.content for r in notes if r.version >= begin and r._batch_id}
+        newest = max((r.newest for r in notes if r.version >= begin and r.newest), default=None)
+        taken = [b for b, content in contents.items() if known.get(b) != content]
+        rewritten = [b for b, content in known.items() if content is not None and contents.get(b) != content]
+        keyless = dedup.any_null(keys)
+        of_taken = F.col("_batch_id").isin(taken)
+        raw = self.bronze(entity, row_ids=True)
+        recent = raw.where(of_taken | merge.is_recent("_ingested_at", self.as_of, recent_days))
+        fresh = stage(self._cleansed(entity, recent), f"fresh-{entity.name}")
+        before = self.lake.read("silver", table)
+        # keys that a rewritten batch had decided, or that a batch older than others brings, are decided anew by all batches
+        decided = before.where(F.col("_batch_id").isin(rewritten) & ~keyless).select(*keys)
+        if newest is not None:
+            decided = decided.union(fresh.where((F.col("_ingested_at") < F.lit(newest)) & of_taken & ~keyless).select(*keys))
+        decided = stage(decided.distinct(), f"decided-{entity.name}")
+        after = fresh
+        if decided.isEmpty():
+            decided = None
+        else:
+            again = self._cleansed(entity, raw, only=decided)
+            after = fresh.join(decided, keys, "left_anti").unionByName(again)
+        compared = [f.name for f in entity.silver]
+        delta = stage(ledger.changes(before, after, keys, compared, part, "_ingested_at", decided), f"delta-{entity.name}")
+        loose = fresh.where(keyless & of_taken)
+        dropped = keyless & F.col("_batch_id").isin([*taken, *rewritten])
+        touched = {
+            r[0]
+            for df in (
+                delta.select(F.explode(F.array("part_before", "part_after"))),
+                loose.select(part),
+                before.where(dropped).select(part) if taken or rewritten else loose.limit(0).select(part),
+            )
+            for r in df.distinct().collect()
+            if r[0] is not None
+        }
+        held = self.lake.read("silver", table, partitions=touched).where(~F.coalesce(dropped, F.lit(False)))
+        held = held.join(delta.select(*keys), keys, "left_anti")
+        content = held.unionByName(delta.where("after IS NOT NULL").select("after.*")).unionByName(loose)
+        version = self.lake.next_version("silver", table)
+        self.lake.write_note(delta.drop("after"), "ledger", "silver", table, version)
+        latest = fresh.agg(F.max("_ingested_at")).first()[0]
+        batches = {b: contents.get(b) for b in {*taken, *rewritten}}
+        self._note_merged(entity, version, batches, max(filter(None, (newest, latest)), default=None))
+        self.lake.replace_partitions(content, "silver", table, entity.partition, sorted(touched))
+        valid = F.col("after.is_valid")
+        flow = quality.row_flow(valid, F.col("change") == ledger.CHANGED)
+        counts = delta.where("after IS NOT NULL").agg(*flow).first().asDict()
+        lost = loose.agg(*quality.row_flow(F.col("is_valid"))).first().asDict()
+        return {k: counts[k] + lost[k] for k in counts}
 
     def silver(self, name: str) -> DataFrame:
-        return self.lake.read("silver", f"stg_{name}")
+        return self.lake.read("silver", f"stg_{name}").drop(*ORIGIN.names)
 
     def gold(self, name: str) -> DataFrame:
         """A gold table; of the student dimension all versions."""
@@ -198,24 +259,25 @@ class Warehouse:
         """Current versions only; closed ones are not read."""
         return self.lake.read("gold", "dim_student")
 
-    def _gold(
-        self,
-        name: str,
-        sources: Sequence[str],
-        kind: str,
-        plan: Callable[[], DataFrame],
-        unresolved: Observation | None = None,
-    ) -> None:
+    def _gold(self, name: str, sources: Sequence[str], kind: str, plan: Callable[[], DataFrame]) -> None:
         def save(df: DataFrame) -> int:
             if name == "dim_student":
                 return self.lake.overwrite_dimension(df, name)
             return self.lake.overwrite(df, "gold", name)
 
-        self._build(f"gold.{name}", sources, kind, plan, save, unresolved=unresolved)
+        self._build(f"gold.{name}", sources, kind, plan, save)
+
+    def registry(self, name: str) -> KeyRegistry:
+        """The keys of a dimension's members, of all times."""
+        key, natural_key = DIMENSION_KEYS[name]
+        registry = KeyRegistry(self.lake, name, key)
+        if self.lake.exists("gold", name):
+            registry.seed(self.gold(name), uni.VERSION_KEYS if name == "dim_student" else [natural_key])
+        return registry
 
     def build_dimensions(self) -> None:
         def before(name: str) -> DataFrame | None:
-            return self._numbered(name) if self.lake.exists("gold", name) else None
+            return self.lake.read("gold", name) if self.lake.exists("gold", name) else None
 
         at = self.run_at
         self._gold(
@@ -224,73 +286,38 @@ class Warehouse:
         )
         self._gold(
             "dim_department", ["silver.stg_departments"], "dimension",
-            lambda: uni.dim_department(self.silver("departments"), self.as_of, before("dim_department"), at),
+            lambda: uni.dim_department(self.silver("departments"), self.as_of, self.registry("dim_department"), at),
         )
         self._gold(
             "dim_semester", ["silver.stg_semesters"], "dimension",
-            lambda: uni.dim_semester(self.silver("semesters"), before("dim_semester"), at),
+            lambda: uni.dim_semester(self.silver("semesters"), self.registry("dim_semester"), at),
         )
         self._gold(
             "dim_course", ["silver.stg_courses", "gold.dim_department"], "dimension",
-            lambda: uni.dim_course(self.silver("courses"), self.gold("dim_department"), before("dim_course"), at),
+            lambda: uni.dim_course(self.silver("courses"), self.gold("dim_department"), self.registry("dim_course"), at),
         )
         self._gold(
             "dim_student", ["silver.stg_students", "gold.dim_department"], "scd2",
             lambda: uni.dim_student(
-                self.silver("students"), self.gold("dim_department"), self.as_of, before("dim_student"), at
+                self.silver("students"), self.gold("dim_department"), self.as_of, before("dim_student"), at,
+                self.registry("dim_student"),
             ),
         )
-
-        for name in DEPARTING:
-            self._retire(name)
-        for name, key, natural_key in (
-            ("dim_department", "department_key", "department_id"),
-            ("dim_semester", "semester_key", "semester_id"),
-            ("dim_course", "course_key", "course_id"),
-            ("dim_student", "student_key", "student_id"),
-        ):
+        for name, (key, natural_key) in DIMENSION_KEYS.items():
             self.check(self.lake.read("gold", name), uni.dimension_checks(key, natural_key), f"gold.{name}")
 
-    def _numbered(self, name: str) -> DataFrame:
-        """Every member that ever had a key: those of the newest version and those that left."""
-        newest = self.lake.read("gold", name)
-        natural_key, left = DEPARTING.get(name), f"{name}_departed"
-        if natural_key is None or not self.lake.exists("gold", left):
-            return newest
-        departed = self.lake.read("gold", left).dropDuplicates([natural_key])
-        return newest.unionByName(departed.join(newest.select(natural_key), natural_key, "left_anti"))
-
-    def _retire(self, name: str) -> None:
-        """Keep the members that the newest version no longer has, so that their keys are never given out again."""
-        versions = self.lake.versions("gold", name)
-        if len(versions) > 1:
-            older, newest = self.lake.read("gold", name, version=versions[-2]), self.lake.read("gold", name)
-            gone = older.join(newest.select(DEPARTING[name]), DEPARTING[name], "left_anti")
-            self.lake.append(gone, "gold", f"{name}_departed")
-
     def build_facts(self, incremental: bool = False) -> None:
-        """Both fact tables; ``incremental`` merges only enrolments updated since the last load."""
+        """Both fact tables; ``incremental`` reads and writes only what changed since their last load."""
         students, semesters, courses = self.current_students(), self.gold("dim_semester"), self.gold("dim_course")
-        no_enrollment, no_tuition = Observation("unresolved enrollments"), Observation("unresolved tuition")
-
-        def enrollment_plan() -> DataFrame:
-            dims, rows = (students, courses, semesters), self.silver("enrollments")
-            if incremental and self.lake.exists("gold", "fact_enrollment"):
-                return uni.fact_enrollment_merged(
-                    self.gold("fact_enrollment"), rows, *dims, days=self.calendar_days, stamp=self.run_at, seen=no_enrollment
-                )
-            return uni.fact_enrollment(rows, *dims, days=self.calendar_days, stamp=self.run_at, seen=no_enrollment)
-
-        self._gold(
-            "fact_enrollment", ["silver.stg_enrollments", "gold.dim_student", "gold.dim_course", "gold.dim_semester"],
-            "fact", enrollment_plan, no_enrollment,
-        )
-        self._gold(
-            "fact_tuition", ["silver.stg_tuition", "gold.dim_student", "gold.dim_semester"], "fact",
-            lambda: uni.fact_tuition(
-                self.silver("tuition"), students, semesters, days=self.calendar_days, stamp=self.run_at, seen=no_tuition
+        self._fact(
+            "fact_enrollment", uni.ENROLLMENTS, ("dim_semester", "dim_course"), incremental,
+            lambda rows, seen: uni.fact_enrollment(
+                rows, students, courses, semesters, days=self.calendar_days, stamp=self.run_at, seen=seen
             ),
-            no_tuition,
+        )
+        self._fact(
+            "fact_tuition", uni.TUITION, ("dim_semester",), incremental,
+            lambda rows, seen: uni.fact_tuition(rows, students, semesters, days=self.calendar_days, stamp=self.run_at, seen=seen),
         )
         versions = self.gold("dim_student")
         self.check(
@@ -302,6 +329,107 @@ class Warehouse:
             self.gold("fact_tuition"), uni.fact_checks("fact_tuition", versions, semesters), "gold.fact_tuition"
         )
 
+    def _fact(
+        self,
+        name: str,
+        entity: EntitySpec,
+        dims: Sequence[str],
+        incremental: bool,
+        plan: Callable[[DataFrame, Observation], DataFrame],
+    ) -> None:
+        """One fact table, parted by semester.
+
+        Beside each version stand the versions it was built from, and the rows that wait for a dimension
+        member.  An incremental load takes from the ledger the keys that changed since, adds the waiting rows,
+        those whose semester or course has left its dimension and those whose student has a newer version, and
+        builds only these anew: the facts are then those of a whole build.
+        """
+        table, keys, job = entity.silver_table, list(entity.keys), f"gold.{name}"
+        sources = [f"silver.{table}", *[f"gold.{d}" for d in ("dim_student", *dims)]]
+        built_from = {table: ("silver", self.lake.versions("silver", table)[-1])}
+        built_from |= {d: ("gold", self.lake.versions("gold", d)[-1]) for d in ("dim_student", *dims)}
+        seen = Observation(f"unresolved {name}")
+
+        def note(version: int, waiting: DataFrame) -> None:
+            rows = [(t, n) for t, (_, n) in built_from.items()]
+            self.lake.write_note(self.spark.createDataFrame(rows, "source string, source_version int").coalesce(1), "sources", "gold", name, version)
+            self.lake.write_note(waiting, "waiting", "gold", name, version)
+
+        def waiting(rows: DataFrame, facts: DataFrame) -> DataFrame:
+            valid = rows.where("is_valid").select(*keys, partition_label(entity.partition).alias("part"))
+            return valid.join(facts.select(*keys), keys, "left_anti")
+
+        def whole() -> Mapping[str, int]:
+            rows, counted = self.silver(entity.name), Observation(name)
+            facts = plan(rows, seen).observe(counted, *quality.row_flow(F.lit(True)))
+
+            def before_commit(written: DataFrame, version: int) -> None:
+                open_rows = waiting(rows, written)
+                note(version, open_rows if seen.get["dropped_rows"] else open_rows.limit(0))
+
+            self.lake.overwrite(facts, "gold", name, ["semester_key"], before_commit)
+            return self._with_unresolved(job, counted.get, seen)
+
+        def changed(touched_keys: DataFrame) -> Mapping[str, int]:
+            parts = [r[0] for r in touched_keys.select("part").distinct().collect()]
+            ids = touched_keys.select(*keys).distinct()
+            rows = self.lake.read("silver", table, partitions=parts).drop(*ORIGIN.names).join(ids, keys, "left_semi")
+            rows = stage(rows, f"changed-{entity.name}")
+            facts = stage(plan(rows, seen), f"fresh-{name}")
+            # a semester's part of silver and its part of the facts
+            terms = self.registry("dim_semester").known()
+            place = terms.select(partition_label(["semester_id"]).alias("part"), partition_label(["semester_key"]).alias("place"))
+            held = {r[0] for r in place.where(F.col("part").isin(parts)).select("place").collect()}
+            held |= {r[0] for r in facts.select(partition_label(["semester_key"])).distinct().collect()}
+            before = self.lake.read("gold", name, partitions=held)
+            updated = before.select(*keys).join(facts.select(*keys), keys, "left_semi").count()
+            content = before.join(ids, keys, "left_anti").unionByName(facts)
+            note(self.lake.next_version("gold", name), waiting(rows, facts))
+            self.lake.replace_partitions(content, "gold", name, ["semester_key"], sorted(held))
+            n = facts.count()
+            counts = {"records_processed": n, "records_inserted": n - updated, "records_updated": updated, "records_failed": 0}
+            return self._with_unresolved(job, counts, seen)
+
+        def work() -> Mapping[str, int]:
+            touched_keys = self._touched(name, entity, dims, built_from) if incremental else None
+            return whole() if touched_keys is None else changed(touched_keys)
+
+        self._job(job, sources, "fact", work)
+
+    def _touched(
+        self, name: str, entity: EntitySpec, dims: Sequence[str], built_from: Mapping[str, tuple[str, int]]
+    ) -> DataFrame | None:
+        """Keys, with the parts of silver to look in, whose facts may differ since the last load; None: it is not known."""
+        table, keys = entity.silver_table, list(entity.keys)
+        if not self.lake.exists("gold", name):
+            return None
+        version = self.lake.versions("gold", name)[-1]
+        loaded, open_rows = [self.lake.read_notes(kind, "gold", name, version - 1) for kind in ("sources", "waiting")]
+        if loaded is None or open_rows is None:
+            return None
+        then = {r.source: r.source_version for r in loaded.collect()}
+        found = [open_rows.select(*keys, "part")]
+        if built_from[table][1] > then[table]:
+            entries = self.lake.read_notes("ledger", "silver", table, then[table])
+            if entries is None:  # silver was derived anew meanwhile
+                return None
+            found.append(ledger.changed_keys(entries, keys))
+        for dim in ("dim_student", *dims):
+            key, natural_key = DIMENSION_KEYS[dim]
+            if dim == "dim_student":
+                gone = self.lake.read_closed(dim, then[dim]).select(key)
+            else:
+                known = self.registry(dim).known()
+                if then[dim] in self.lake.versions("gold", dim):
+                    known = self.lake.read("gold", dim, version=then[dim])
+                gone = known.join(self.gold(dim).select(natural_key), natural_key, "left_anti").select(key)
+            gone = stage(gone, f"gone-{dim}")
+            if not gone.isEmpty():
+                terms = self.registry("dim_semester").known().select("semester_key", partition_label(["semester_id"]).alias("part"))
+                hit = self.lake.read("gold", name, columns=list(dict.fromkeys([*keys, "semester_key", key])))
+                found.append(hit.join(gone, key, "left_semi").join(terms, "semester_key").select(*keys, "part"))
+        return stage(reduce(DataFrame.union, found).distinct(), f"touched-{name}")
+
     def build_marts(self) -> None:
         tuition, students = self.gold("fact_tuition"), self.current_students()
         # facts keep the student version of their load, the marts count by the current one
@@ -334,7 +462,7 @@ class Warehouse:
         if layer == "bronze":
             df = self.lake.read_bronze(table, batch_id=self.batch_id)
         else:
-            df = self.gold(table) if layer == "gold" else self.lake.read(layer, table)
+            df = self.gold(table) if layer == "gold" else self.lake.read(layer, table).drop(*ORIGIN.names)
         jdbc.write_table(df, url, f"{layer}.{table}", properties, mode)
 
     def write_audit(self) -> None:
@@ -352,7 +480,8 @@ class Warehouse:
     ) -> None:
         """Bronze to marts with the quality gates between the layers; audit rows are always stored.
 
-        With ``recent_days`` silver and the enrolment facts take in only what is new.
+        With ``recent_days`` silver and the facts take in only what is new, and rewrite only the
+        partitions where something changed.
         """
         try:
             with staged_tables(self.spark):

@@ -13,9 +13,10 @@ if that version was completed, and a repeated attempt replaces its own.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,11 @@ def partition_label(columns: Sequence[str]) -> Column:
     return F.concat_ws(".", *[one(c) for c in columns]) if columns else F.lit("all")
 
 
+def row_id() -> Column:
+    """What tells the rows of Parquet files apart: the file and the place in it, as ``_row``."""
+    return F.struct("_metadata.file_path", "_metadata.row_index").alias("_row")
+
+
 def with_lineage_fields(schema: T.StructType) -> T.StructType:
     """A source schema followed by the lineage columns."""
     return T.StructType(
@@ -80,8 +86,9 @@ class Lake:
         batch_id: str | None = None,
         where: Column | None = None,
         columns: Sequence[str] = (),
+        row_ids: bool = False,
     ) -> DataFrame:
-        """All batches, or one.
+        """All batches, or one; ``row_ids`` adds ``_row``, the file and place of each row.
 
         With the declared ``schema`` batches written before a column was added give NULL
         for it, and no file has to be opened to learn the columns.  Without it the
@@ -92,10 +99,25 @@ class Lake:
             df = df.withColumn("_batch_id", F.col("_batch_id").cast("string"))
         else:
             df = self.spark.read.schema(with_lineage_fields(schema)).parquet(self.bronze_path(table))
+        if row_ids:
+            df = df.select("*", row_id())
         if batch_id is not None:
             df = df.where(F.col("_batch_id") == F.lit(batch_id))
         return select_where(df, where, columns)
 
+    def batch_contents(self, table: str) -> dict[str, str]:
+        """Every batch with a digest of its files' names, which are new whenever it is written.
+
+        As long as the listing of the table that any scan of it makes: one entry a run.
+        """
+        base = self.bronze_path(table)
+        found = {}
+        for name in self._names(base):
+            if name.startswith("_batch_id="):
+                files = sorted(n for n in self._names(f"{base}/{name}") if not n.startswith((".", "_")))
+                found[name.removeprefix("_batch_id=")] = hashlib.md5("\n".join(files).encode()).hexdigest()
+        return found
+
     # -- silver, gold, audit --------------------------------------------------
 
     def table_path(self, layer: str, table: str) -> str:
@@ -129,16 +151,27 @@ class Lake:
     def next_version(self, layer: str, table: str) -> int:
         return (self.versions(layer, table) or [0])[-1] + 1
 
-    def overwrite(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] | None = None) -> int:
+    def overwrite(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        partition_by: Sequence[str] | None = None,
+        note: Callable[[DataFrame, int], None] | None = None,
+    ) -> int:
         """Write the whole table as its next version and return the version number.
 
-        With ``partition_by`` (which may be empty: one partition) single partitions can be replaced later.
+        With ``partition_by`` (which may be empty: one partition) single partitions can be replaced later,
+        and ``note`` is called with the written rows and the version before this becomes visible.
         """
         version = self.next_version(layer, table)
         if partition_by is None:
             df.write.mode("overwrite").parquet(f"{self.table_path(layer, table)}/{_VERSION}{version}")
         else:
-            self._write_map(layer, table, version, self._write_parts(df, layer, table, partition_by), df.schema)
+            folders = self._write_parts(df, layer, table, partition_by)
+            if note is not None:
+                note(self._read_parts(layer, table, folders, df.schema), version)
+            self._write_map(layer, table, version, folders, df.schema)
         return version
 
     def replace_partitions(
@@ -228,9 +261,12 @@ class Lake:
         if chosen not in self._mapped(layer, table):
             return select_where(self.spark.read.parquet(f"{self.table_path(layer, table)}/{_VERSION}{chosen}"), where, columns)
         folders, schema = self._read_map(layer, table, chosen)
-        paths = [f"{self.table_path(layer, table)}/{f}" for part, f in folders.items() if partitions is None or part in partitions]
-        df = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-        return select_where(df, where, columns)
+        wanted = {part: folder for part, folder in folders.items() if partitions is None or part in partitions}
+        return select_where(self._read_parts(layer, table, wanted, schema), where, columns)
+
+    def _read_parts(self, layer: str, table: str, folders: dict[str, str], schema: T.StructType) -> DataFrame:
+        paths = [f"{self.table_path(layer, table)}/{folder}" for folder in folders.values()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def read_all(self, layer: str, table: str) -> DataFrame:
         """The rows of all complete versions together, of a table whose versions add to each other."""
@@ -254,11 +290,14 @@ class Lake:
 
     def read_dimension(self, table: str) -> DataFrame:
         """All versions: the current rows and every row closed on the way to them."""
-        current = self.read("gold", table)
-        layout = T.StructType([*current.schema.fields, T.StructField("_closed_from", T.IntegerType())])
+        return self.read("gold", table).unionByName(self.read_closed(table))
+
+    def read_closed(self, table: str, since: int = 0) -> DataFrame:
+        """Rows closed on the way to the newest version, or only those closed on the way from version ``since``."""
+        layout = T.StructType([*self.read("gold", table).schema.fields, T.StructField("_closed_from", T.IntegerType())])
         closed = self.spark.read.schema(layout).parquet(self.table_path("gold", f"{table}_closed"))
         newest = self.versions("gold", table)[-1]
-        return current.unionByName(closed.where(F.col("_closed_from") < F.lit(newest)).drop("_closed_from"))
+        return closed.where(F.col("_closed_from").between(F.lit(since), F.lit(newest - 1))).drop("_closed_from")
 
     def drop_versions_before(self, layer: str, table: str, version: int) -> None:
         """Delete versions older than the given one, their notes, and partition folders that no version names any more."""
