@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "warehouse", "changes", "checks", "feeds")
+MODULES = ("scalars", "warehouse", "changes", "checks", "feeds", "runs")
 
 
 def load() -> None:

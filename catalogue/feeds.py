@@ -223,7 +223,7 @@ def warehouse_run(t: Tables):
         if name == "enrollments":
             rows = dedup.keep_latest(rows, ["enrollment_id"], ["_ingested_at"], standins.ENROLLMENT_TIES)
         path, kind = new_path(t.spark, f"feed-{name}"), _FORMATS.get(name, "csv")
-        rows.drop("_ingested_at", "graduation_date").write.format(kind).option("header", True).save(path)
+        rows.drop("_ingested_at", "graduation_date", "_row").write.format(kind).option("header", True).save(path)
         feeds[name] = (path, kind)
     warehouse = Warehouse(t.spark, new_path(t.spark, "lake"), dt.datetime.fromisoformat(standins.STAMP), gate=False)
     warehouse.run(feeds)
@@ -244,7 +244,7 @@ def table_lineage(t: Tables):
     feeds = {}
     for name in ("departments", "courses"):
         path = new_path(t.spark, f"feed-{name}")
-        getattr(standins, name)(t).drop("_ingested_at").write.option("header", True).csv(path)
+        getattr(standins, name)(t).drop("_ingested_at", "_row").write.option("header", True).csv(path)
         feeds[name] = (path, "csv")
     warehouse = Warehouse(t.spark, new_path(t.spark, "lake"), dt.datetime.fromisoformat(standins.STAMP))
     warehouse.build_bronze(feeds)

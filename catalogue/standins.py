@@ -4,8 +4,8 @@ students <- customer with its first and last order, departments <- nation and re
 courses <- part, semesters <- half-years of orders, enrollments <- lineitem and orders,
 tuition <- orders.  The column expressions are plain SQL and serve both sides; they put
 in the blanks, aliases, bad dates, bad addresses, zero denominators and missing keys that
-the operators have to handle.  The ids of the large feeds are written so that Spark can see
-they are never NULL and leaves out the branch for rows without a key.
+the operators have to handle.  Some ids are missing, as are some references and dates, so the
+rules on them fire.  ``_row`` tells rows apart by file and place, as in a bronze table.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.registry import Tables, cte
+from starbuild.sources.lake import row_id
 
 AS_OF = "2002-01-01"
 STAMP = "2002-01-01 00:00:00"
@@ -24,7 +25,7 @@ _SEMESTER = "cast(year(o_orderdate) as string) || case when month(o_orderdate) <
 _ORDER_DAY = "cast(cast(o_orderdate as date) as string)"
 
 STUDENTS = {
-    "student_id": "coalesce('SV' || cast(c_custkey as string), '')",
+    "student_id": "case when c_custkey % 211 <> 0 then 'SV' || cast(c_custkey as string) end",
     "first_name": "' ' || c_mktsegment || ' '",
     "last_name": "case when c_mktsegment = 'BUILDING' and c_acctbal < 1000 then '   ' else c_name end",
     "date_of_birth": "case when c_nationkey = 24 then '1980-13-01' else "
@@ -71,15 +72,17 @@ SEMESTERS = {
     "semester_name": "'Term ' || sem",
     "academic_year": "cast(yr as int)",
     "semester_number": "half",
-    "start_date": "cast(yr as string) || case when half = 2 then '-02-01' else '-09-01' end",
+    "start_date": "case when yr = 1996 and half = 2 then 'unknown' "
+    "else cast(yr as string) || case when half = 2 then '-02-01' else '-09-01' end end",
     "end_date": "case when half = 2 then cast(yr as string) || '-06-15' else cast(yr + 1 as string) || '-01-15' end",
     "is_current": "false",
     "_ingested_at": f"timestamp '{INGESTED}'",
 }
 ENROLLMENTS = {
-    "enrollment_id": "coalesce(cast(l_orderkey as string) || '-' || cast(l_linenumber as string), '')",
-    "student_id": "'SV' || cast(o_custkey as string)",
-    "course_id": "'C' || cast(l_partkey as string)",
+    "enrollment_id": "case when l_linenumber <> 6 or l_quantity <> 7 "
+    "then cast(l_orderkey as string) || '-' || cast(l_linenumber as string) end",
+    "student_id": "case when l_linenumber <> 5 or l_quantity <> 8 then 'SV' || cast(o_custkey as string) end",
+    "course_id": "case when l_linenumber <> 3 or l_quantity <> 9 then 'C' || cast(l_partkey as string) end",
     "semester_id": _SEMESTER,
     "enrollment_date": _ORDER_DAY,
     "midterm_score": "cast(l_quantity / 5 as decimal(5,2))",
@@ -95,7 +98,7 @@ ENROLLMENTS = {
 }
 ENROLLMENT_TIES = ["midterm_score", "attendance_count", "absence_count", "course_id", "student_id", "status"]
 TUITION = {
-    "transaction_id": "coalesce(cast(o_orderkey as string), '')",
+    "transaction_id": "case when o_orderkey % 97 <> 0 then cast(o_orderkey as string) end",
     "student_id": "'SV' || cast(o_custkey as string)",
     "semester_id": _SEMESTER,
     "tuition_amount": "cast(o_totalprice as decimal(15,2))",
@@ -115,7 +118,11 @@ TUITION = {
 
 
 def _columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
+    return df.selectExpr(*[f"{e} AS {n}" for n, e in columns.items()], *["_row"] * ("_row" in df.columns))
+
+
+def _with_row(df: DataFrame) -> DataFrame:
+    return df.select("*", row_id())
 
 
 def _select(columns: dict[str, str], source: str) -> str:
@@ -126,7 +133,7 @@ def students(t: Tables) -> DataFrame:
     spans = t.orders.groupBy("o_custkey").agg(
         F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
     )
-    return _columns(t.customer.join(spans, F.col("c_custkey") == F.col("o_custkey"), "left"), STUDENTS)
+    return _columns(_with_row(t.customer).join(spans, F.col("c_custkey") == F.col("o_custkey"), "left"), STUDENTS)
 
 
 def departments(t: Tables) -> DataFrame:
@@ -145,11 +152,11 @@ def semesters(t: Tables) -> DataFrame:
 
 
 def enrollments(t: Tables) -> DataFrame:
-    return _columns(t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")), ENROLLMENTS)
+    return _columns(_with_row(t.lineitem).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")), ENROLLMENTS)
 
 
 def tuition(t: Tables) -> DataFrame:
-    return _columns(t.orders, TUITION)
+    return _columns(_with_row(t.orders), TUITION)
 
 
 cte(

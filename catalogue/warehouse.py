@@ -11,6 +11,7 @@ from catalogue.scalars import mean, pct
 from catalogue.standins import AS_OF, DAYS, STAMP
 from starbuild.operators import calendar, dedup, keys, lookup, marts
 from starbuild.plans import university as uni
+from starbuild.sources.lake import row_id
 
 _EMAIL_OK = f"coalesce(regexp_matches(lower(trim(email)), '{uni.EMAIL_PATTERN}'), false)"
 
@@ -57,7 +58,8 @@ cte(
     "s_semesters",
     """
 SELECT semester_id, semester_name, academic_year, semester_number, try_cast(start_date AS date) AS start_date,
-  try_cast(end_date AS date) AS end_date, is_current, true AS is_valid, '' AS validation_errors
+  try_cast(end_date AS date) AS end_date, is_current, try_cast(start_date AS date) IS NOT NULL AS is_valid,
+  CASE WHEN try_cast(start_date AS date) IS NULL THEN 'Missing start_date' ELSE '' END AS validation_errors
 FROM b_semesters""",
     "b_semesters",
 )
@@ -76,7 +78,7 @@ SELECT * EXCLUDE (rn, _ingested_at) FROM (
     row_number() OVER (PARTITION BY enrollment_id ORDER BY _ingested_at DESC NULLS LAST,
       midterm_score DESC NULLS LAST, attendance_count DESC NULLS LAST, absence_count DESC NULLS LAST,
       course_id DESC NULLS LAST, student_id DESC NULLS LAST, status DESC NULLS LAST) AS rn
-  FROM b_enrollments) x WHERE rn = 1""",
+  FROM b_enrollments) x WHERE rn = 1 OR enrollment_id IS NULL""",
     "b_enrollments",
 )
 cte(
@@ -85,8 +87,8 @@ cte(
 SELECT transaction_id, student_id, semester_id, tuition_amount, scholarship_amount, discount_amount, total_discount,
   net_amount, paid_amount, net_amount - paid_amount AS balance_amount, try_cast(payment_date AS date) AS payment_date,
   payment_method, {pct("paid_amount", "cast(net_amount AS double)")} AS payment_ratio, status,
-  student_id IS NOT NULL AND coalesce(net_amount >= 0, false) AS is_valid,
-  CASE WHEN student_id IS NULL THEN 'Missing student_id' WHEN coalesce(net_amount >= 0, false) THEN ''
+  transaction_id IS NOT NULL AND student_id IS NOT NULL AND coalesce(net_amount >= 0, false) AS is_valid,
+  CASE WHEN transaction_id IS NULL THEN 'Missing transaction_id' WHEN student_id IS NULL THEN 'Missing student_id' WHEN coalesce(net_amount >= 0, false) THEN ''
     ELSE 'Negative net amount' END AS validation_errors
 FROM (SELECT *, tuition_amount - total_discount AS net_amount FROM (
   SELECT *, coalesce(scholarship_amount, 0) + coalesce(discount_amount, 0) AS total_discount FROM b_tuition) a) b""",
@@ -488,8 +490,8 @@ SELECT * REPLACE (cast(l_linenumber AS bigint) AS l_linenumber) FROM (SELECT {_L
 )
 def dedup_latest(t: Tables):
     latest = dedup.keep_latest(
-        t.lineitem, ["l_orderkey", "l_linenumber"], ["l_shipdate"],
-        ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity"],
+        t.lineitem.select("*", row_id()), ["l_orderkey", "l_linenumber"], ["l_shipdate"],
+        ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity"], row_id=["_row"],
     )
     return latest.select(*_LINE_COLUMNS.split(", "), "l_shipdate")
 
@@ -517,8 +519,8 @@ SELECT event_id, who, event_type FROM (
 WHERE rn = 1 OR who IS NULL""",
 )
 def dedup_null_keys(t: Tables):
-    events = t.events.withColumn("who", F.when(F.col("event_type") != "error", F.col("user_id")))
-    return dedup.keep_latest(events, ["who"], ["ts"], ["event_id"]).select("event_id", "who", "event_type")
+    events = t.events.select("*", row_id()).withColumn("who", F.when(F.col("event_type") != "error", F.col("user_id")))
+    return dedup.keep_latest(events, ["who"], ["ts"], ["event_id"], row_id=["_row"]).select("event_id", "who", "event_type")
 
 
 # -- facts --------------------------------------------------------------------

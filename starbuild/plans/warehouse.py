@@ -306,19 +306,26 @@ class Warehouse:
         for name, (key, natural_key) in DIMENSION_KEYS.items():
             self.check(self.lake.read("gold", name), uni.dimension_checks(key, natural_key), f"gold.{name}")
 
+    def build_fact(self, name: str, incremental: bool = False) -> None:
+        """One fact table; ``incremental`` reads and writes only what changed since its last load."""
+        students, semesters, options = self.current_students(), self.gold("dim_semester"), {"days": self.calendar_days, "stamp": self.run_at}
+        if name == "fact_enrollment":
+            courses = self.gold("dim_course")
+            self._fact(
+                name, uni.ENROLLMENTS, ("dim_semester", "dim_course"), incremental,
+                lambda rows, seen: uni.fact_enrollment(rows, students, courses, semesters, seen=seen, **options),
+            )
+        else:
+            self._fact(
+                name, uni.TUITION, ("dim_semester",), incremental,
+                lambda rows, seen: uni.fact_tuition(rows, students, semesters, seen=seen, **options),
+            )
+
     def build_facts(self, incremental: bool = False) -> None:
-        """Both fact tables; ``incremental`` reads and writes only what changed since their last load."""
-        students, semesters, courses = self.current_students(), self.gold("dim_semester"), self.gold("dim_course")
-        self._fact(
-            "fact_enrollment", uni.ENROLLMENTS, ("dim_semester", "dim_course"), incremental,
-            lambda rows, seen: uni.fact_enrollment(
-                rows, students, courses, semesters, days=self.calendar_days, stamp=self.run_at, seen=seen
-            ),
-        )
-        self._fact(
-            "fact_tuition", uni.TUITION, ("dim_semester",), incremental,
-            lambda rows, seen: uni.fact_tuition(rows, students, semesters, days=self.calendar_days, stamp=self.run_at, seen=seen),
-        )
+        """Both fact tables, and the checks on them."""
+        semesters, courses = self.gold("dim_semester"), self.gold("dim_course")
+        for name in ("fact_enrollment", "fact_tuition"):
+            self.build_fact(name, incremental)
         versions = self.gold("dim_student")
         self.check(
             self.gold("fact_enrollment"),

@@ -258,6 +258,105 @@ def test_keys_of_departed_members_are_not_reissued(spark, tmp_path):
     assert keys(2, [rows[5], dict(new, department_id="DEPT008")]) == {f"DEPT00{n}": n for n in range(1, 9)}
 
 
+class Stop(Exception):
+    pass
+
+
+def test_stopped_and_repeated_runs_equal_one_run(spark, tmp_path, monkeypatch):
+    """Day two is attempted five times, each attempt stops further on, and its feed is corrected on the way."""
+    root = str(tmp_path / "lake")
+    first = Warehouse(spark, root, DAY, gate=False)
+    first.run(feed.write_feeds(tmp_path / "1"))
+    people, courses, enrolled = feed.students(), feed.courses(), feed.enrollments()
+    people[0] |= {"city": "Elsewhere"}
+    gone = courses[0]["course_id"]
+    courses = [dict(courses[0], course_name=""), dict(courses[1], course_id="LOG99")]
+    moved = dict(enrolled[5], semester_id=enrolled[0]["semester_id"], course_id="LOG99")
+    wrong = [dict(enrolled[3], total_score="1.00"), dict(enrolled[4], total_score="2.00"), moved]
+    right = [dict(enrolled[3], total_score="9.50"), moved]  # the correction of the fifth row is withdrawn
+
+    def attempt(rows, stop_in=None, on=None):
+        run = Warehouse(spark, root, DAY + dt.timedelta(days=1), gate=False)
+        folder = tmp_path / f"{len(list(tmp_path.iterdir()))}"
+        feeds = feed.write_feeds(folder, students=people[:1], courses=courses, enrollments=rows)
+        if stop_in:
+            original = getattr(run.lake, stop_in)
+
+            def stopping(*args, **options):
+                if on in args:
+                    raise Stop(f"{stop_in} {on}")
+                return original(*args, **options)
+
+            monkeypatch.setattr(run.lake, stop_in, stopping)
+        run.build_bronze({n: feeds[n] for n in ("students", "courses", "enrollments")})
+        run.build_silver(["courses", "students", "enrollments"], recent_days=1)
+        run.build_dimensions()
+        run.build_facts(incremental=True)
+        run.build_marts()
+        return run
+
+    with pytest.raises(EntityErrors, match="_write_map stg_enrollments"):
+        attempt(wrong, "_write_map", "stg_enrollments")
+    with pytest.raises(Stop):  # silver holds the wrong rows; the key of LOG99 is registered, its dimension is not written
+        attempt(wrong, "overwrite", "dim_course")
+    with pytest.raises(Stop):  # closed rows of the student are written, the current ones are not
+        attempt(right, "overwrite", "dim_student")
+    with pytest.raises(Stop):
+        attempt(right, "_write_map", "fact_enrollment")
+    last = attempt(right)
+
+    dim = last.gold("dim_student")
+    assert dim.count() == 13 and scd2.version_faults(dim, ["student_id"]).count() == 0
+    assert dim.groupBy("student_key").count().where("count > 1").count() == 0
+    keys = {r.course_id: r.course_key for r in last.gold("dim_course").collect()}
+    assert gone not in keys and keys["LOG99"] == 10 and len(set(keys.values())) == 9
+
+    scores = {r.enrollment_id: r for r in last.silver("enrollments").collect()}
+    assert len(scores) == 18 and scores[enrolled[3]["enrollment_id"]].total_score == Decimal("9.50")
+    assert str(scores[enrolled[4]["enrollment_id"]].total_score) == str(Decimal(enrolled[4]["total_score"]).quantize(Decimal("0.01")))
+    # the whole build from the same lake
+    incremental = {r.enrollment_id: r for r in last.gold("fact_enrollment").drop("created_at").collect()}
+    whole = Warehouse(spark, root, DAY + dt.timedelta(days=1), gate=False)
+    whole.build_silver(["enrollments"])
+    assert [r for r in scores.values()] and {r.enrollment_id: r.total_score for r in whole.silver("enrollments").collect()} == {
+        i: r.total_score for i, r in scores.items()
+    }
+    whole.build_fact("fact_enrollment")
+    assert {r.enrollment_id: r for r in whole.gold("fact_enrollment").drop("created_at").collect()} == incremental
+    left = sum(r["course_id"] == gone for i, r in enumerate(enrolled) if i != 5)
+    assert len(incremental) == 18 - left and left > 0
+    # the changes of the last attempt are few, and the job history tells new rows from updated ones
+    last.write_audit()
+    jobs = last.lake.read("audit", "etl_job_history", F.col("job_name") == "gold.fact_enrollment").collect()
+    assert [(r.records_inserted, r.records_updated) for r in jobs][-1][1] > 0
+
+
+def test_a_late_batch_does_not_undo_a_newer_one(spark, tmp_path):
+    """Batches taken in out of order, rows without a key, and a batch that goes: silver is that of all batches."""
+    rows = feed.enrollments()[:4]
+    lake = str(tmp_path / "lake")
+
+    def take(day, *enrollments):
+        run = Warehouse(spark, lake, DAY + dt.timedelta(days=day), gate=False)
+        run.build_bronze({"enrollments": feed.write_feeds(tmp_path / f"{day}-{len(list(tmp_path.iterdir()))}", enrollments=list(enrollments))["enrollments"]})
+        run.build_silver(["enrollments"], recent_days=0)
+        return sorted((r.enrollment_id or "", str(r.total_score)) for r in run.silver("enrollments").collect())
+
+    one = lambda row, score: dict(row, total_score=score)
+    loose = dict(rows[3], enrollment_id="", total_score="5.00")
+    take(0, one(rows[0], "1.00"), one(rows[1], "1.00"), loose)
+    take(4, one(rows[0], "4.00"), one(rows[2], "4.00"))
+    late = take(2, one(rows[0], "2.00"), one(rows[1], "2.00"), loose)
+    ids = [r["enrollment_id"] for r in rows]
+    assert late == sorted([("", "5.00"), ("", "5.00"), (ids[0], "4.00"), (ids[1], "2.00"), (ids[2], "4.00")])
+    # the newest batch again, without two of its rows: older batches decide them
+    again = take(4, one(rows[1], "9.00"))
+    assert again == sorted([("", "5.00"), ("", "5.00"), (ids[0], "2.00"), (ids[1], "9.00")])
+    run = Warehouse(spark, lake, DAY + dt.timedelta(days=4), gate=False)
+    entries = run.lake.read_notes("ledger", "silver", "stg_enrollments", 3)
+    assert {(r.enrollment_id, r.change) for r in entries.collect()} == {(ids[0], "changed"), (ids[1], "changed"), (ids[2], "removed")}
+
+
 def test_fact_plan_reads_only_what_it_needs(built):
     facts = uni.fact_tuition(built.silver("tuition"), built.current_students(), built.gold("dim_semester"))
     plan = facts._jdf.queryExecution().executedPlan().toString()
