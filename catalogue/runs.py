@@ -66,7 +66,7 @@ def warehouse_stopped_run(t: Tables):
     "D2",
     """
 WITH seen AS (SELECT 'C' || p_partkey AS course_id, CASE WHEN p_size < 20 THEN 1 WHEN p_size < 30 THEN 2 ELSE 3 END AS run FROM part)
-SELECT row_number() OVER (ORDER BY run, course_id) AS course_key, course_id FROM seen WHERE run <> 2""",
+SELECT course_key, course_id FROM (SELECT *, row_number() OVER (ORDER BY run, course_id) AS course_key FROM seen) x WHERE run <> 2""",
 )
 def keys_after_stopped_run(t: Tables):
     """Courses of three runs; the second one stopped before its dimension, and its courses never came back."""
@@ -85,9 +85,10 @@ def keys_after_stopped_run(t: Tables):
     "lake_partition_versions",
     "O2 O3",
     """
-SELECT 1::bigint AS version, year(o_orderdate) AS order_year, count(*) AS order_count, sum(o_totalprice) AS amount
+SELECT 1::bigint AS version, year(o_orderdate) AS order_year, count(*) AS order_count, sum(cast(o_totalprice AS decimal(18,2))) AS amount
 FROM orders GROUP BY ALL
-UNION ALL SELECT 2, year(o_orderdate), count(*), sum(CASE WHEN year(o_orderdate) = 1996 THEN 2 ELSE 1 END * o_totalprice)
+UNION ALL SELECT 2, year(o_orderdate), count(*),
+  sum(cast(o_totalprice AS decimal(18,2)) * CASE WHEN year(o_orderdate) = 1996 THEN 2 ELSE 1 END)
 FROM orders WHERE year(o_orderdate) <> 1997 GROUP BY ALL""",
 )
 def lake_partition_versions(t: Tables):

@@ -291,8 +291,7 @@ def test_stopped_and_repeated_runs_equal_one_run(spark, tmp_path, monkeypatch):
         run.build_bronze({n: feeds[n] for n in ("students", "courses", "enrollments")})
         run.build_silver(["courses", "students", "enrollments"], recent_days=1)
         run.build_dimensions()
-        run.build_facts(incremental=True)
-        run.build_marts()
+        run.build_fact("fact_enrollment", incremental=True)
         return run
 
     with pytest.raises(EntityErrors, match="_write_map stg_enrollments"):
