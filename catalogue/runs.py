@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogue import standins
 from catalogue.registry import Tables, query, with_ctes
-from starbuild.operators import dedup, ledger
+from starbuild.operators import dedup, keys, ledger, quality, scd2
 from starbuild.operators.staging import new_path
 from starbuild.plans.university import ENTITIES
 from starbuild.plans.warehouse import Warehouse
@@ -85,10 +85,10 @@ def keys_after_stopped_run(t: Tables):
     "lake_partition_versions",
     "O2 O3",
     """
-SELECT 1::bigint AS version, year(o_orderdate) AS order_year, count(*) AS order_count, sum(cast(o_totalprice AS decimal(18,2))) AS amount
+SELECT 1::bigint AS version, year(o_orderdate) AS order_year, count(*) AS order_count, cast(sum(cast(o_totalprice AS decimal(18,2))) AS double) AS amount
 FROM orders GROUP BY ALL
 UNION ALL SELECT 2, year(o_orderdate), count(*),
-  sum(cast(o_totalprice AS decimal(18,2)) * CASE WHEN year(o_orderdate) = 1996 THEN 2 ELSE 1 END)
+  cast(sum(cast(o_totalprice AS decimal(18,2)) * CASE WHEN year(o_orderdate) = 1996 THEN 2 ELSE 1 END) AS double)
 FROM orders WHERE year(o_orderdate) <> 1997 GROUP BY ALL""",
 )
 def lake_partition_versions(t: Tables):
@@ -125,3 +125,52 @@ def change_ledger(t: Tables):
     decided = old.select("o_orderkey").union(now.select("o_orderkey"))
     found = ledger.changes(old, now, ["o_orderkey"], columns[1:], partition_label(["o_orderstatus"]), decided=decided)
     return found.drop("after")
+
+
+@query(
+    "scd2_late_snapshots",
+    "D8 D11",
+    """
+WITH states AS (SELECT o_custkey, cast(o_orderdate AS date) AS day, max(o_orderpriority) AS priority, max(o_orderstatus) AS status
+  FROM orders GROUP BY ALL),
+opened AS (SELECT *, row_number() OVER w = 1 OR priority IS DISTINCT FROM lag(priority) OVER w
+    OR status IS DISTINCT FROM lag(status) OVER w AS opens FROM states WINDOW w AS (PARTITION BY o_custkey ORDER BY day))
+SELECT o_custkey, priority, status, cast(day AS varchar) AS effective_start_date,
+  cast(lead(day) OVER (PARTITION BY o_custkey ORDER BY day) AS varchar) AS effective_end_date,
+  lead(day) OVER (PARTITION BY o_custkey ORDER BY day) IS NULL AS is_current
+FROM opened WHERE opens""",
+)
+def scd2_late_snapshots(t: Tables):
+    """The states of all customers by day, arriving in three lots of mixed days; the last lot is the oldest third."""
+    order = F.max("o_orderpriority").alias("priority"), F.max("o_orderstatus").alias("status")
+    states = t.orders.groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("day")).agg(*order)
+    lot = F.when(F.col("day") < F.lit("1997-07-01").cast("date"), 2).otherwise(F.pmod(F.dayofyear("day"), F.lit(2)))
+    lots = [states.where(lot == n) for n in range(3)]
+    natural, tracked = ["o_custkey"], ["priority", "status"]
+    dim = keys.assign_keys(scd2.timelines(lots[0], natural, tracked, "day"), [*natural, scd2.START], "customer_key")
+    dim = scd2.merge_states(dim, lots[0], lots[1], natural, tracked, "day", "customer_key")
+    dim = scd2.merge_states(dim, lots[0].union(lots[1]), lots[2], natural, tracked, "day", "customer_key")
+    return dim.drop("customer_key")
+
+
+@query(
+    "lineage_closure",
+    "Q14",
+    """
+WITH n AS (SELECT * FROM (VALUES ('departments', (SELECT count(*) FROM nation)), ('courses', (SELECT count(*) FROM part))) v(e, n))
+SELECT 'bronze.raw_' || e AS target_table, 'feed' AS source_table, 1::bigint AS steps, n AS row_count FROM n
+UNION ALL SELECT 'silver.stg_' || e, 'bronze.raw_' || e, 1, n FROM n
+UNION ALL SELECT 'silver.stg_' || e, 'feed', 2, n FROM n""",
+)
+def lineage_closure(t: Tables):
+    """Two feeds taken up to silver: all sources of each table, with the table's rows."""
+    names = ("departments", "courses")
+    warehouse = Warehouse(t.spark, new_path(t.spark, "lake"), _BEGIN, gate=False)
+    warehouse.build_bronze({n: _written(t, n, getattr(standins, n)(t)) for n in names})
+    warehouse.build_silver(names)
+    warehouse.write_audit()
+    lineage = warehouse.lake.read("audit", "data_lineage")
+    history = warehouse.lake.read("audit", "etl_job_history")
+    counts = history.select(F.col("job_name").alias("target_table"), F.col("records_processed").alias("row_count"))
+    source = F.when(F.col("source_table").startswith("bronze."), F.col("source_table")).otherwise("feed")
+    return quality.lineage_closure(lineage).withColumn("source_table", source).join(counts, "target_table")

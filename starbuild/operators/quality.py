@@ -83,7 +83,7 @@ def not_null(column: str, below_share: float | None = None) -> Check:
 def unique(*columns: str) -> Check:
     """No two rows share a value; rows with a NULL in the columns do not count."""
     return Check(
-        "duplicate_count", ",".join(columns), "0", F.sum("__dup"), lambda n: n == 0, tuple(columns), unique=columns
+        "duplicate_count", ",".join(columns), "0", None, lambda n: n == 0, tuple(columns), unique=columns
     )
 
 
@@ -158,7 +158,7 @@ def failed_rows(condition: Column, below_percent: float, name: str, columns: Seq
 def references(column: str, parent: DataFrame, key: str) -> Check:
     """Every non-NULL value exists in the parent table."""
     return Check(
-        "referential", column, "0 orphans", F.coalesce(F.sum("__n"), F.lit(0)), lambda n: n == 0, (column,),
+        "referential", column, "0 orphans", None, lambda n: n == 0, (column,),
         parent=(parent, key),
     )
 
@@ -172,13 +172,43 @@ def _row(check: Check, value: Column, passed: Column, table: str, at: Column, ba
     return F.struct(*[v.cast(t).alias(n) for v, t, n in zip(values, types, RESULT_COLUMNS)])
 
 
+def _by_value(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row with a column ``m<i>`` for each uniqueness or reference check, from one pass over ``df``.
+
+    Every row gives its value for each check; values are counted per check (before the shuffle, so
+    a hot value leaves each task once) and meet the values of all parents in one join.
+    """
+
+    def value(columns: Sequence[str], text: Sequence[Column]) -> Column:
+        return text[0] if len(columns) == 1 else F.to_json(F.struct(*[t.alias(f"c{i}") for i, t in enumerate(text)]))
+
+    values, parents, metrics = [], [], []
+    for i, check in enumerate(checks):
+        columns = check.unique or check.columns
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        values.append(F.struct(F.lit(i).alias("check"), F.when(present, value(columns, [F.col(c).cast("string") for c in columns])).alias("value")))
+        mine = F.col("check") == i
+        if check.unique:
+            metrics.append(F.count_if(mine & (F.col("n") > 1)))
+            continue
+        parent, key = check.parent
+        same_type = F.col(key).try_cast(df.schema[check.column].dataType)
+        parents.append(parent.select(F.lit(i).alias("check"), same_type.cast("string").alias("value"), F.lit(True).alias("known")))
+        metrics.append(F.coalesce(F.sum(F.when(mine & F.col("known").isNull(), F.col("n"))), F.lit(0)))
+    exploded = df.select(F.inline(F.array(*values))).where(F.col("value").isNotNull())
+    counted = exploded.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
+    if parents:
+        counted = counted.join(reduce(DataFrame.union, parents).distinct(), ["check", "value"], "left")
+    return counted.agg(*[m.alias(f"m{i}") for i, m in enumerate(metrics)])
+
+
 def run_checks(
     df: DataFrame, checks: Sequence[Check], table: str, as_of=None, batch_id: str | None = None
 ) -> DataFrame:
     """One result row per check.
 
-    All plain checks share a single aggregation over ``df``.  Each uniqueness check is a
-    count per key on top (counted before the shuffle), each reference check an anti-join.
+    All plain checks share a single aggregation over ``df``, all uniqueness and reference
+    checks a second one per value, so the table is read twice at most.
     """
     at = F.current_timestamp() if as_of is None else as_timestamp(as_of)
     simple, special, absent = [], [], []
@@ -194,22 +224,8 @@ def run_checks(
     if simple:
         metrics = df.agg(*[c.metric.alias(f"m{i}") for i, c in enumerate(simple)])
         parts.append((metrics, [(c, F.col(f"m{i}")) for i, c in enumerate(simple)]))
-    for check in special:
-        if check.unique:
-            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.unique])
-            repeated = df.where(present).groupBy(*check.unique).agg(F.count(F.lit(1)).alias("n"))
-            metrics = repeated.agg(F.count_if(F.col("n") > 1).alias("m0"))
-        else:
-            parent, key = check.parent
-            # counted per value first: a hot value reaches the join as one row per task
-            values = df.where(F.col(check.column).isNotNull()).groupBy(F.col(check.column).alias("__fk"))
-            known = parent.select(F.col(key).alias("__pk"))
-            metrics = (
-                values.agg(F.count(F.lit(1)).alias("__n"))
-                .join(known, F.col("__fk") == F.col("__pk"), "left_anti")
-                .agg(check.metric.alias("m0"))
-            )
-        parts.append((metrics, [(check, F.col("m0"))]))
+    if special:
+        parts.append((_by_value(df, special), [(c, F.col(f"m{i}")) for i, c in enumerate(special)]))
     if absent:
         nothing = df.sparkSession.range(1).select(F.lit("column missing").alias("m0"))
         parts.append((nothing, [(c, F.col("m0")) for c in absent]))
@@ -266,3 +282,27 @@ def row_flow(kept: Column, updated: Column | None = None) -> list[Column]:
         F.count_if(kept & changed).alias("records_updated"),
         F.count_if(~kept).alias("records_failed"),
     ]
+
+
+#: Steps after which a chain of sources is taken for a circle.
+LONGEST_CHAIN = 50
+
+
+def lineage_closure(lineage: DataFrame) -> DataFrame:
+    """Every table with all tables it comes from, directly or not, and the fewest ``steps`` between them.
+
+    ``lineage`` has rows of ``source_table`` and ``target_table``, as many a pair as there were runs.
+    """
+    edges = lineage.select("source_table", "target_table").distinct()
+    return lineage.sparkSession.sql(
+        """
+WITH RECURSIVE found (target_table, source_table, steps) AS (
+  SELECT target_table, source_table, 1 FROM {edges}
+  UNION ALL
+  SELECT f.target_table, e.source_table, f.steps + 1
+  FROM found f JOIN {edges} e ON f.source_table = e.target_table WHERE f.steps < {longest}
+)
+SELECT target_table, source_table, min(steps) AS steps FROM found GROUP BY target_table, source_table""",
+        edges=edges,
+        longest=LONGEST_CHAIN,
+    )

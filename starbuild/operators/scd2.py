@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,6 +137,51 @@ def merge_versions_with_keys(
     return fill_keys(merged, key, [*natural_key, START], highest or 0)
 
 
+def timelines(states: DataFrame, natural_key: Sequence[str], tracked: Sequence[str], day: str) -> DataFrame:
+    """Versions from dated states: at most one row per natural key and ``day``, in any order.
+
+    A state whose tracked columns equal those of the state before opens no version; a version
+    ends where the next one begins.  States without a key or a day are left out.
+    """
+    dated = states.where(~any_null([*natural_key, day])).withColumn(day, F.col(day).cast("date"))
+    over_time = Window.partitionBy(*natural_key).orderBy(day)
+    same = [F.col(c).eqNullSafe(F.lag(c).over(over_time)) for c in tracked]
+    opens = (F.row_number().over(over_time) == 1) | ~reduce(lambda a, b: a & b, same)
+    opened = dated.withColumn("__opens", opens).where(F.col("__opens")).drop("__opens")
+    ended = opened.withColumn(END, F.lead(day).over(over_time))
+    return ended.withColumnRenamed(day, START).withColumn(CURRENT, F.col(END).isNull())
+
+
+def merge_states(
+    dim: DataFrame,
+    states: DataFrame,
+    late: DataFrame,
+    natural_key: Sequence[str],
+    tracked: Sequence[str],
+    day: str,
+    key: str | None = None,
+) -> DataFrame:
+    """``dim`` after taking in dated states that may be older than its versions.
+
+    ``states`` are all dated states that ``dim`` was made from, also those that opened no version
+    (a late state between two equal ones splits their version); ``late`` the new ones, which win on
+    a day that both have.  Only the timelines of the natural keys in ``late`` are rebuilt, so states
+    give the same history in whatever order they arrive.  A version that begins on the day on which one
+    of its key began before keeps that one's integer ``key``; the others are numbered after the highest.
+    """
+    touched = late.where(~any_null(natural_key)).select(*natural_key).distinct()
+    earlier = states.join(touched, list(natural_key), "left_semi")
+    earlier = earlier.join(late.select(*natural_key, day), [*natural_key, day], "left_anti")
+    rebuilt = timelines(earlier.unionByName(late.select(*states.columns)), natural_key, tracked, day)
+    untouched = dim.join(touched, list(natural_key), "left_anti")
+    if key is None:
+        return untouched.unionByName(rebuilt.select(*untouched.columns))
+    known = dim.select(*natural_key, START, F.col(key).cast("bigint").alias(key))
+    keyed = rebuilt.join(known, [*natural_key, START], "left")
+    merged = untouched.unionByName(keyed.select(*untouched.columns))
+    return fill_keys(merged, key, [*natural_key, START], dim.agg(F.max(key).cast("bigint")).first()[0] or 0)
+
+
 def as_of_rows(dim: DataFrame, date) -> DataFrame:
     """The versions in force on one date."""
     day = as_date(date)

@@ -5,9 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starbuild.operators import dedup, keys, layout, lookup, merge, quality, scd2
+from starbuild.operators import dedup, keys, layout, ledger, lookup, merge, quality, scd2
 from starbuild.operators.calendar import date_dimension
 from starbuild.operators.validate import EMAIL_PATTERN, Rule, matches, required, validate
+from starbuild.sources.lake import row_id
 
 
 def table(df, *order):
@@ -351,3 +352,87 @@ def test_empty_table(rows):
     checks = [quality.not_null("id"), quality.unique("id"), quality.fresh("at", "2024-01-01", 1), quality.row_count(1)]
     out = {r.check_type: r.is_passed for r in quality.run_checks(df, checks, "t").collect()}
     assert out == {"missing_count": True, "duplicate_count": True, "freshness": False, "row_count": False}
+
+
+# -- late states, lineage, ledger ---------------------------------------------
+
+STATES = "id string, city string, day string"
+
+
+def versions(df):
+    return sorted(((r.id, r.city, str(r.effective_start_date), r.effective_end_date and str(r.effective_end_date), r.is_current) for r in df.collect()), key=str)
+
+
+def test_states_give_one_history_in_any_order(rows):
+    lots = [
+        [("1", "a", "2024-01-01"), ("2", "x", "2024-01-01"), ("1", "a", "2024-01-05"), ("3", None, "2024-01-02")],
+        [("1", "b", "2024-01-03"), ("2", "x", "2024-01-09"), (None, "x", "2024-01-09"), ("4", "q", None)],
+        [("1", "b", "2023-12-31"), ("3", "", "2024-01-01"), ("3", None, "2024-01-03")],
+    ]
+    whole = versions(scd2.timelines(rows(sum(lots, []), STATES), ["id"], ["city"], "day"))
+    assert [v for v in whole if v[0] == "1"] == [
+        ("1", "a", "2024-01-01", "2024-01-03", False), ("1", "a", "2024-01-05", None, True),
+        ("1", "b", "2023-12-31", "2024-01-01", False), ("1", "b", "2024-01-03", "2024-01-05", False),
+    ]
+    for order in ([0, 1, 2], [2, 1, 0], [1, 2, 0]):
+        first, taken = rows(lots[order[0]], STATES), lots[order[0]]
+        dim = keys.assign_keys(scd2.timelines(first, ["id"], ["city"], "day"), ["id", scd2.START], "sk")
+        for n in order[1:]:
+            before = {(r.id, str(r.effective_start_date)): r.sk for r in dim.collect()}
+            dim = scd2.merge_states(dim, rows(taken, STATES), rows(lots[n], STATES), ["id"], ["city"], "day", "sk")
+            after = {(r.id, str(r.effective_start_date)): r.sk for r in dim.collect()}
+            assert len(set(after.values())) == len(after) and all(after[k] == before[k] for k in after.keys() & before.keys())
+            taken = taken + lots[n]
+        assert versions(dim) == whole
+    corrected = scd2.merge_states(
+        scd2.timelines(rows(lots[0], STATES), ["id"], ["city"], "day"), rows(lots[0], STATES), rows([("2", "y", "2024-01-01")], STATES), ["id"], ["city"], "day"
+    )
+    assert ("2", "y", "2024-01-01", None, True) in versions(corrected)
+
+
+def test_lineage_closure(rows):
+    edges = [("a", "b"), ("b", "c"), ("a", "c"), ("a", "b"), ("c", "d"), ("x", "x")]
+    out = quality.lineage_closure(rows(edges, "source_table string, target_table string")).collect()
+    assert {(r.target_table, r.source_table, r.steps) for r in out} == {
+        ("b", "a", 1), ("c", "a", 1), ("c", "b", 1), ("d", "c", 1), ("d", "a", 2), ("d", "b", 2), ("x", "x", 1),
+    }
+
+
+def test_changes(rows):
+    schema = "id string, v string, part int, at int"
+    before = rows([("1", "a", 1, 5), ("2", "a", 1, 5), ("3", None, 1, 5), ("4", "a", 1, 5), ("5", "a", 1, 5), (None, "a", 1, 5)], schema)
+    after = rows([("1", "b", 2, 4), ("2", "b", 2, 6), ("3", None, 1, 9), ("6", "n", 3, 1), (None, "z", 1, 9)], schema)
+    part = F.col("part").cast("string")
+    out = ledger.changes(before, after, ["id"], ["v"], part, "at")
+    assert table(out.drop("after"), "id") == [("2", "changed", "1", "2"), ("6", "new", None, "3")]
+    decided = rows([("1",), ("1",), ("4",), ("7",)], "id string")
+    out = ledger.changes(before, after, ["id"], ["v"], part, "at", decided)
+    assert table(out.drop("after"), "id") == [("1", "changed", "1", "2"), ("2", "changed", "1", "2"), ("4", "removed", "1", None), ("6", "new", None, "3")]
+    touched = ledger.changed_keys(out.drop("after"), ["id"])
+    assert table(touched, "id", "part") == [("1", "1"), ("1", "2"), ("2", "1"), ("2", "2"), ("4", "1"), ("6", "3")]
+
+
+def test_latest_row_in_one_scan(spark, tmp_path):
+    """With row identities the input is read once and rows without a key still all pass."""
+    data = [(i % 3 if i < 9 else None, i) for i in range(14)] + [(None, 13)]
+    spark.createDataFrame(data, "k int, v int").repartition(3).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).select("*", row_id())
+    latest = dedup.keep_latest(df, ["k"], ["v"], row_id=["_row"]).drop("_row")
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "WindowGroupLimit" in plan and "Union" not in plan
+    assert sorted((r.k is None, r.v) for r in latest.collect()) == [(False, 6), (False, 7), (False, 8)] + [(True, v) for v in (9, 10, 11, 12, 13, 13)]
+    assert sorted(map(tuple, dedup.keep_latest(df.drop("_row"), ["k"], ["v"]).collect()), key=str) == sorted(map(tuple, latest.collect()), key=str)
+
+
+def test_checks_by_value_share_one_pass(spark, rows, tmp_path):
+    rows([(1, "a", 10), (1, "b", 10), (2, "b", 11), (None, None, None), (3, "c", 99), (3, "c", 99)], "id int, name string, ref int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    parent, names = rows([(10,), (11,), (11,), (None,)], "pk bigint"), rows([("a",), ("c",)], "name string")
+    checks = [quality.unique("id"), quality.unique("id", "name"), quality.references("ref", parent, "pk"), quality.references("name", names, "name")]
+    out = quality.run_checks(df, checks, "t", "2024-01-01")
+    assert [(r.check_name, r.actual_value, r.is_passed) for r in out.collect()] == [
+        ("duplicate_count_id", "2", False), ("duplicate_count_id,name", "1", False), ("referential_ref", "2", False), ("referential_name", "2", False),
+    ]
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    empty = quality.run_checks(df.limit(0), checks, "t", "2024-01-01")
+    assert all(r.actual_value == "0" and r.is_passed for r in empty.collect())
