@@ -193,12 +193,13 @@ def _by_value(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             continue
         parent, key = check.parent
         same_type = F.col(key).try_cast(df.schema[check.column].dataType)
-        parents.append(parent.select(F.lit(i).alias("check"), same_type.cast("string").alias("value"), F.lit(True).alias("known")))
+        parents.append(parent.select(F.lit(i).alias("check"), same_type.cast("string").alias("value")))
         metrics.append(F.coalesce(F.sum(F.when(mine & F.col("known").isNull(), F.col("n"))), F.lit(0)))
     exploded = df.select(F.inline(F.array(*values))).where(F.col("value").isNotNull())
     counted = exploded.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n"))
     if parents:
-        counted = counted.join(reduce(DataFrame.union, parents).distinct(), ["check", "value"], "left")
+        known = reduce(DataFrame.union, parents).distinct().withColumn("known", F.lit(True))
+        counted = counted.join(known, ["check", "value"], "left")
     return counted.agg(*[m.alias(f"m{i}") for i, m in enumerate(metrics)])
 
 
