@@ -24,6 +24,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--entities", nargs="*", default=list(ENTITIES), choices=list(ENTITIES))
     parser.add_argument("--run-at", type=dt.datetime.fromisoformat, default=None, help="run time; default now")
     parser.add_argument("--recent-days", type=int, default=None, help="merge only rows ingested in this window")
+    parser.add_argument("--keep-versions", type=int, default=None, help="delete older table versions that are not in use")
     parser.add_argument("--no-gate", action="store_true", help="record failed checks without stopping")
     parser.add_argument("--export", nargs="*", default=[], help="gold tables to copy to the database of DW_HOST and others")
     return parser.parse_args()
@@ -34,7 +35,7 @@ def main() -> None:
     run_at = args.run_at or dt.datetime.now().replace(microsecond=0)
     warehouse = Warehouse(get_session("build warehouse"), args.root, run_at, gate=not args.no_gate)
     feeds = {name: (f"{args.feeds.rstrip('/')}/{name}{args.suffix}", args.format) for name in args.entities}
-    warehouse.run(feeds, recent_days=args.recent_days)
+    warehouse.run(feeds, recent_days=args.recent_days, keep_versions=args.keep_versions)
     if args.export:
         url, properties = jdbc_settings()
         for table in args.export:

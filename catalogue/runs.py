@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from catalogue import standins
 from catalogue.registry import Tables, query, with_ctes
-from starbuild.operators import dedup, keys, ledger, quality, scd2
+from catalogue.warehouse import extended_mart_sql
+from starbuild.operators import dedup, keys, ledger, marts, quality, scd2
 from starbuild.operators.staging import new_path
+from starbuild.operators.upkeep import SIGN, Sums
 from starbuild.plans.university import ENTITIES
 from starbuild.plans.warehouse import Warehouse
 from starbuild.sources.lake import Lake, partition_label
@@ -174,3 +176,72 @@ def lineage_closure(t: Tables):
     counts = history.select(F.col("job_name").alias("target_table"), F.col("records_processed").alias("row_count"))
     source = F.when(F.col("source_table").startswith("bronze."), F.col("source_table")).otherwise("feed")
     return quality.lineage_closure(lineage).withColumn("source_table", source).join(counts, "target_table")
+
+
+@query(
+    "sums_kept_up",
+    "A1 A3 D14",
+    """
+SELECT o_orderpriority, year(o_orderdate) AS order_year, count(*) AS order_count,
+  cast(sum(cast(o_totalprice AS decimal(15,2))) AS double) AS amount,
+  cast(min(cast(o_totalprice AS decimal(15,2))) AS double) AS price_min, cast(max(cast(o_totalprice AS decimal(15,2))) AS double) AS price_max
+FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY ALL""",
+)
+def sums_kept_up(t: Tables):
+    """Sums of an earlier state of the orders, brought up to date: a third had other prices, some were not there, some leave."""
+    price = "cast(o_totalprice AS decimal(15,2))"
+    orders = t.orders.select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("order_year"), F.expr(price).alias("price"))
+    then = orders.where("o_orderkey % 5 <> 0").withColumn("price", F.expr("if(o_orderkey % 3 = 0, cast(price * 2 AS decimal(15,2)), price)"))
+    now = orders.where("o_orderkey % 7 <> 0")
+    sums = Sums(("o_orderpriority", "order_year"), ("o_orderpriority", "order_year", "price"), {"amount": "price"}, {"price": "price"})
+    touched = "o_orderkey % 5 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 7 = 0"
+    left, came = [df.where(touched).withColumn(SIGN, F.lit(s)) for df, s in ((then, -1), (now, 1))]
+    return sums.kept_up(sums.of(then), left.unionByName(came), now).withColumnRenamed("rows", "order_count")
+
+
+@query("mart_kept_up", "A1 A2 D14 J5", extended_mart_sql("g_student"))
+def mart_kept_up(t: Tables):
+    """The extended mart from sums stored by a first run, after a second one brought what one year's enrolments lacked."""
+    rows = standins.enrollments(t).where("enrollment_id IS NOT NULL")
+    latest = dedup.keep_latest(rows, ["enrollment_id"], ["_ingested_at"], standins.ENROLLMENT_TIES)
+    of_year = F.coalesce(F.col("semester_id").startswith("1997"), F.lit(False))
+    root = new_path(t.spark, "lake")
+
+    def run(at: dt.datetime, enrollments: DataFrame, feeds: dict, recent_days: int | None = None) -> DataFrame:
+        warehouse = Warehouse(t.spark, root, at, gate=False, calendar_days=standins.DAYS)
+        warehouse.build_bronze(feeds | {"enrollments": _written(t, "enrollments", enrollments)})
+        warehouse.build_silver([*feeds, "enrollments"], recent_days)
+        if feeds:
+            warehouse.build_dimensions()
+        warehouse.build_fact("fact_enrollment", incremental=recent_days is not None)
+        sums = warehouse.build_sums("fact_enrollment", incremental=recent_days is not None)
+        return marts.academic_extended_from_sums(sums, warehouse.current_students())
+
+    wrong = latest.withColumn("total_score", F.when(~of_year, F.col("total_score"))).where(~of_year | (F.crc32("enrollment_id") % 10 > 0))
+    feeds = {n: _written(t, n, getattr(standins, n)(t)) for n in ("departments", "semesters", "courses", "students")}
+    run(_BEGIN, wrong, feeds)
+    return run(_BEGIN + dt.timedelta(hours=6), latest.where(of_year), {}, recent_days=0)
+
+
+@query(
+    "retention_by_use",
+    "O3",
+    """
+SELECT version, year(o_orderdate) AS order_year, count(*) AS order_count FROM orders, (VALUES (2::bigint), (4)) v(version)
+WHERE year(o_orderdate) <> 1995 + version GROUP BY ALL""",
+)
+def retention_by_use(t: Tables):
+    """What a sweep leaves of four versions, each without another year: the newest one, and the second, which is pinned."""
+    store = Lake(t.spark, new_path(t.spark, "lake"))
+    orders = t.orders.select("o_orderkey", F.year("o_orderdate").alias("order_year"))
+    store.overwrite(orders.where("order_year <> 1996"), "gold", "orders", ["order_year"])
+    store.replace_partitions(
+        orders.where("order_year = 1996"), "gold", "orders", ["order_year"], ["1996", "1997"]
+    )
+    with store.pin("gold", "orders") as held:
+        for gone in (1998, 1999):
+            back = orders.where(F.col("order_year") == gone - 1)
+            store.replace_partitions(back, "gold", "orders", ["order_year"], [str(gone - 1), str(gone)])
+        store.sweep("gold", "orders")
+        left = [store.read("gold", "orders", version=v).withColumn("version", F.lit(v)) for v in (held, store.versions("gold", "orders")[-1])]
+    return left[0].unionByName(left[1]).groupBy("version", "order_year").agg(F.count(F.lit(1)).alias("order_count"))

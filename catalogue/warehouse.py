@@ -621,21 +621,21 @@ def academic_mart(t: Tables):
     return marts.academic_performance(enrollment_facts(t, dim), dim)
 
 
-@query(
-    "academic_mart_extended",
-    "A2 J5",
-    with_ctes(
+def extended_mart_sql(students: str) -> str:
+    return with_ctes(
         f"""
 SELECT {_CORE}, min(gpa_points) AS min_gpa, max(gpa_points) AS max_gpa,
   cast(round(cast(stddev_samp(gpa_points) AS decimal(20,10)), 2) AS double) AS stddev_gpa,
   count(*) FILTER (WHERE grade_letter = 'A') AS grade_a_count, count(*) FILTER (WHERE grade_letter = 'B') AS grade_b_count,
   count(*) FILTER (WHERE grade_letter = 'C') AS grade_c_count, count(*) FILTER (WHERE grade_letter = 'D') AS grade_d_count,
   count(*) FILTER (WHERE grade_letter = 'F') AS grade_f_count
-FROM f_enrollment f LEFT JOIN (SELECT * FROM g_student WHERE status <> 'Dropped') s ON f.student_key = s.student_key
+FROM f_enrollment f LEFT JOIN {students} s ON f.student_key = s.student_key
 GROUP BY semester_key, department_key""",
         "f_enrollment",
-    ),
-)
+    )
+
+
+@query("academic_mart_extended", "A2 J5", extended_mart_sql("(SELECT * FROM g_student WHERE status <> 'Dropped')"))
 def academic_mart_extended(t: Tables):
     dim = students(t)
     known = dim.where(F.col("status") != "Dropped")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from starbuild.operators import calendar, dedup, ledger, marts, merge, quality
 from starbuild.operators.staging import stage, staged_tables
+from starbuild.operators.upkeep import SIGN
 from starbuild.plans import university as uni
 from starbuild.plans.specs import TEXT, EntitySpec, fields
 from starbuild.sources import jdbc
@@ -30,6 +31,11 @@ DIMENSION_KEYS = {
 ORIGIN = fields(("_ingested_at", T.TimestampType()), ("_batch_id", TEXT))
 #: Where an entity's rows come from: a path with its format, or a database table.
 Feed = tuple[str, str] | jdbc.Feed
+#: The stored partial sums of each fact table, from which the marts are made.
+MART_SUMS = {
+    "fact_enrollment": ("sums_enrollment", marts.ENROLLMENT_SUMS),
+    "fact_tuition": ("sums_tuition", marts.PAYMENT_SUMS),
+}
 SILVER_ORDER = ("departments", "semesters", "courses", "students", "enrollments", "tuition")
 
 
@@ -173,6 +179,7 @@ class Warehouse:
                 return
 
             def note(written: DataFrame, version: int) -> None:
+                self.lake.drop_note("ledger", "silver", entity.silver_table, version)
                 self._note_merged(entity, version, contents, written.agg(F.max("_ingested_at")).first()[0], whole=True)
 
             self._build(
@@ -372,6 +379,7 @@ class Warehouse:
 
             def before_commit(written: DataFrame, version: int) -> None:
                 open_rows = waiting(rows, written)
+                self.lake.drop_note("moved", "gold", name, version)
                 note(version, open_rows if seen.get["dropped_rows"] else open_rows.limit(0))
 
             self.lake.overwrite(facts, "gold", name, ["semester_key"], before_commit)
@@ -391,7 +399,12 @@ class Warehouse:
             before = self.lake.read("gold", name, partitions=held)
             updated = before.select(*keys).join(facts.select(*keys), keys, "left_semi").count()
             content = before.join(ids, keys, "left_anti").unionByName(facts)
-            note(self.lake.next_version("gold", name), waiting(rows, facts))
+            version = self.lake.next_version("gold", name)
+            note(version, waiting(rows, facts))
+            reads = MART_SUMS[name][1].reads
+            left = before.join(ids, keys, "left_semi").select(*reads, F.lit(-1).alias(SIGN))
+            moved = left.unionByName(facts.select(*reads, F.lit(1).alias(SIGN)))
+            self.lake.write_note(moved, "moved", "gold", name, version)
             self.lake.replace_partitions(content, "gold", name, ["semester_key"], sorted(held))
             n = facts.count()
             counts = {"records_processed": n, "records_inserted": n - updated, "records_updated": updated, "records_failed": 0}
@@ -437,28 +450,74 @@ class Warehouse:
                 found.append(hit.join(gone, key, "left_semi").join(terms, "semester_key").select(*keys, "part"))
         return stage(reduce(DataFrame.union, found).distinct(), f"touched-{name}")
 
-    def build_marts(self) -> None:
-        tuition, students = self.gold("fact_tuition"), self.current_students()
+    def build_sums(self, name: str, incremental: bool = False) -> DataFrame:
+        """The partial sums of one fact table, stored by semester.
+
+        ``incremental`` takes off the rows that left the facts since the sums were stored and adds those that
+        came; facts that did not change are not read again, but for groups that lost their smallest or largest value.
+        """
+        table, sums = MART_SUMS[name]
+        now = self.lake.versions("gold", name)[-1]
+
+        def note(version: int) -> None:
+            row = self.spark.createDataFrame([(name, now)], "source string, source_version int")
+            self.lake.write_note(row.coalesce(1), "sources", "gold", table, version)
+
+        def whole() -> Mapping[str, int]:
+            seen = Observation(table)
+            rows = sums.of(self.gold(name)).observe(seen, *quality.row_flow(F.lit(True)))
+            self.lake.overwrite(rows, "gold", table, ["semester_key"], lambda _, version: note(version))
+            return seen.get
+
+        def work() -> Mapping[str, int]:
+            if not incremental or not self.lake.exists("gold", table):
+                return whole()
+            loaded = self.lake.read_notes("sources", "gold", table, self.lake.versions("gold", table)[-1] - 1)
+            then = loaded.first().source_version if loaded is not None else None
+            if then == now:
+                return dict.fromkeys(("records_processed", "records_inserted", "records_updated", "records_failed"), 0)
+            moved = None if then is None else self.lake.read_notes("moved", "gold", name, then)
+            if moved is None:  # the facts were built anew meanwhile
+                return whole()
+            parts = [r[0] for r in moved.select(partition_label(["semester_key"])).distinct().collect()]
+            stored, rows = [self.lake.read("gold", t, partitions=parts) for t in (table, name)]
+            before, seen = stored.count(), Observation(table)
+            kept_up = sums.kept_up(stored, moved, rows).observe(seen, *quality.row_flow(F.lit(True)))
+            note(self.lake.next_version("gold", table))
+            self.lake.replace_partitions(kept_up, "gold", table, ["semester_key"], parts)
+            counts = seen.get if parts else {"records_processed": 0, "records_inserted": 0, "records_failed": 0}
+            inserted = max(0, counts["records_inserted"] - before)
+            return {**counts, "records_inserted": inserted, "records_updated": counts["records_processed"] - inserted}
+
+        self._job(f"gold.{table}", [f"gold.{name}"], "aggregate", work)
+        return self.gold(table)
+
+    def build_marts(self, incremental: bool = False) -> None:
+        """The marts, from partial sums per semester and student; ``incremental`` keeps the sums up to date."""
+        students = self.current_students()
+        payments = self.build_sums("fact_tuition", incremental)
         # facts keep the student version of their load, the marts count by the current one
-        enrollment = marts.with_current_key(
-            self.gold("fact_enrollment"), self.gold("dim_student"), "student_id", "student_key"
+        enrollments = marts.ENROLLMENT_SUMS.combined(
+            marts.with_current_key(
+                self.build_sums("fact_enrollment", incremental), self.gold("dim_student"), "student_id", "student_key"
+            )
         )
         for name, sources, plan in (
             (
                 "agg_academic_performance_semester",
-                ["gold.fact_enrollment", "gold.dim_student"],
-                lambda: marts.academic_performance(enrollment, students),
+                ["gold.sums_enrollment", "gold.dim_student"],
+                lambda: marts.academic_from_sums(enrollments, students),
             ),
             (
                 "agg_academic_performance",
-                ["gold.fact_enrollment", "gold.dim_student"],
-                lambda: marts.academic_performance_extended(enrollment, students),
+                ["gold.sums_enrollment", "gold.dim_student"],
+                lambda: marts.academic_extended_from_sums(enrollments, students),
             ),
-            ("agg_financial_summary", ["gold.fact_tuition"], lambda: marts.financial_summary(tuition)),
+            ("agg_financial_summary", ["gold.sums_tuition"], lambda: marts.financial_from_sums(payments)),
             (
                 "agg_cohort_analysis",
-                ["gold.dim_student", "gold.fact_enrollment"],
-                lambda: marts.cohort_order(marts.cohort_analysis(students, enrollment)),
+                ["gold.dim_student", "gold.sums_enrollment"],
+                lambda: marts.cohort_order(marts.cohort_analysis(students, sums=enrollments)),
             ),
         ):
             stamped = F.lit(self.run_at).cast("timestamp")
@@ -482,17 +541,33 @@ class Warehouse:
             self.lake.append(quality.unresolved_rows(self.spark, self.unresolved), "audit", "unresolved_keys")
         self.jobs, self.lineage, self.unresolved = [], [], []
 
+    def sweep(self, keep: int) -> None:
+        """Delete superseded versions of silver and gold tables that no reader has pinned.
+
+        The notes on merged batches stay: they are few, and the next incremental run reads them all.
+        """
+        for layer in ("silver", "gold"):
+            for table in self.lake.tables(layer):
+                self.lake.sweep(layer, table, keep, ["merged"])
+
     def run(
-        self, feeds: Mapping[str, Feed], source_checks: bool = True, recent_days: int | None = None
+        self,
+        feeds: Mapping[str, Feed],
+        source_checks: bool = True,
+        recent_days: int | None = None,
+        keep_versions: int | None = None,
     ) -> None:
         """Bronze to marts with the quality gates between the layers; audit rows are always stored.
 
-        With ``recent_days`` silver and the facts take in only what is new, and rewrite only the
-        partitions where something changed.
+        With ``recent_days`` silver, the facts and the sums below the marts take in only what is new, and
+        rewrite only the partitions where something changed.  With ``keep_versions`` a finished run deletes
+        older versions that are not pinned.
         """
         try:
             with staged_tables(self.spark):
                 self._run(feeds, source_checks, recent_days)
+            if keep_versions is not None:
+                self.sweep(keep_versions)
         finally:
             self.write_audit()
 
@@ -509,4 +584,4 @@ class Warehouse:
                 self.check(self.silver(name), checks, f"silver.{uni.ENTITIES[name].silver_table}")
         self.build_dimensions()
         self.build_facts(incremental=recent_days is not None)
-        self.build_marts()
+        self.build_marts(incremental=recent_days is not None)

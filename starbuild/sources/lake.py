@@ -13,10 +13,12 @@ if that version was completed, and a repeated attempt replaces its own.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,10 +228,17 @@ class Lake:
         """Store ``df`` beside a version that is about to be written."""
         df.write.mode("overwrite").parquet(f"{self.table_path(layer, table)}/{kind}/{_VERSION}{version}")
 
+    def drop_note(self, kind: str, layer: str, table: str, version: int) -> None:
+        """Remove what a stopped attempt at the coming version noted, if the present one notes nothing of the kind."""
+        self._delete(f"{self.table_path(layer, table)}/{kind}/{_VERSION}{version}")
+
     def read_notes(self, kind: str, layer: str, table: str, after: int = 0) -> DataFrame | None:
-        """Notes of the versions above ``after`` with their ``version``; None if one of these lacks its note."""
+        """Notes of all versions above ``after`` with their ``version``; None if one of these lacks its note.
+
+        Versions that were deleted count: numbers have no gaps, and a note may outlast its version.
+        """
         path = f"{self.table_path(layer, table)}/{kind}"
-        wanted = [n for n in self.versions(layer, table) if n > after]
+        wanted = range(after + 1, self.next_version(layer, table))
         if not wanted or not set(wanted) <= set(self._numbers(path)):
             return None
         return self.spark.read.option("basePath", path).parquet(*[f"{path}/{_VERSION}{n}" for n in wanted])
@@ -312,6 +321,89 @@ class Lake:
                 if part.startswith(f"{_PART}=") and f"data/{write}/{part}" not in named:
                     self._delete(f"{base}/data/{write}/{part}")
 
+    # -- retention by use -----------------------------------------------------
+    #
+    # A reader that works on a version for long pins it: an empty file that names the
+    # version and when the pin ends.  A sweep first hides a superseded version by taking
+    # its marker away, then looks for pins again, and only then deletes.  A reader first
+    # pins, then looks whether the version is still to be seen.  Whichever comes first,
+    # a version that a reader took for granted stays.
+
+    def _pins_path(self, layer: str, table: str) -> str:
+        return f"{self.root}/pins/{layer}.{table}"
+
+    def pinned(self, layer: str, table: str, now: dt.datetime | None = None) -> set[int]:
+        """Versions that a reader has pinned, whose pin has not ended."""
+        seconds = (now or dt.datetime.now()).timestamp()
+        pins = [name.split("-") for name in self._names(self._pins_path(layer, table)) if not name.startswith(".")]
+        return {int(version) for version, ends, _ in pins if int(ends) > seconds}
+
+    @contextmanager
+    def pin(
+        self, layer: str, table: str, version: int | None = None, hours: float = 24, now: dt.datetime | None = None
+    ) -> Iterator[int]:
+        """Hold a version (the newest by default) against sweeps while inside, ``hours`` at most; gives its number."""
+        ends = int(((now or dt.datetime.now()) + dt.timedelta(hours=hours)).timestamp())
+        while True:
+            chosen = version or (self.versions(layer, table) or [0])[-1]
+            held = f"{self._pins_path(layer, table)}/{chosen}-{ends}-{uuid.uuid4().hex}"
+            self._touch(held)
+            if chosen in self.versions(layer, table):
+                break
+            self._delete(held)
+            if version is not None or not self.versions(layer, table):
+                raise ValueError(f"no such table version: {layer}.{table} {version or ''}".rstrip())
+        try:
+            yield chosen
+        finally:
+            self._delete(held)
+
+    def sweep(
+        self, layer: str, table: str, keep: int = 1, kept_notes: Collection[str] = (), now: dt.datetime | None = None
+    ) -> list[int]:
+        """Delete versions that are superseded by ``keep`` newer ones and not pinned; return their numbers.
+
+        With them go their notes, but those of the kinds in ``kept_notes``, and the partition folders that
+        only they named.  Folders that no version ever named are not touched: a writer may be at work on
+        them.  A sweep that stopped is finished by the next.
+        """
+        if keep < 1:
+            raise ValueError("the newest version is always kept")
+        base, visible = self.table_path(layer, table), self.versions(layer, table)
+        if not visible:
+            return []
+        old = [n for n in self._any_numbers(base) | self._any_numbers(f"{base}/map") if n < visible[-keep:][0]]
+        swept, freed = [], set()
+        for n in sorted(old):
+            path = f"{base}/map/{_VERSION}{n}" if n in self._any_numbers(f"{base}/map") else f"{base}/{_VERSION}{n}"
+            self._delete(f"{path}/_SUCCESS")
+            if n in self.pinned(layer, table, now):
+                self._touch(f"{path}/_SUCCESS")
+                continue
+            if path.startswith(f"{base}/map/"):
+                freed |= set(self._read_map(layer, table, n)[0].values())
+            swept.append(n)
+        named = {f for n in self._mapped(layer, table) for f in self._read_map(layer, table, n)[0].values()}
+        for folder in sorted(freed - named):
+            self._delete(f"{base}/{folder}")
+        # the maps go last: they tell the next sweep what one that stops here has left
+        kinds = [n for n in self._names(base) if not n.startswith(_VERSION) and n not in ("data", "map", *kept_notes)]
+        for n in swept:
+            for path in (base, *[f"{base}/{kind}" for kind in kinds], f"{base}/map"):
+                self._delete(f"{path}/{_VERSION}{n}")
+        return swept
+
+    def tables(self, layer: str) -> list[str]:
+        """Names of the tables of a layer that have versions."""
+        return sorted(n for n in self._names(f"{self.root}/{layer}") if self.exists(layer, n))
+
+    def _any_numbers(self, path: str) -> set[int]:
+        return {int(n.removeprefix(_VERSION)) for n in self._names(path) if n.startswith(_VERSION)}
+
+    def _touch(self, path: str) -> None:
+        fs, file = self._folder(path)
+        fs.create(file, True).close()
+
     def _delete(self, path: str) -> None:
         fs, folder = self._folder(path)
         fs.delete(folder, True)

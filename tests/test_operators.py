@@ -436,3 +436,36 @@ def test_checks_by_value_share_one_pass(spark, rows, tmp_path):
     ]
     empty = quality.run_checks(df.limit(0), checks, "t", "2024-01-01")
     assert all(r.actual_value == "0" and r.is_passed for r in empty.collect())
+
+
+def test_sums_kept_up_equal_sums_of_all_rows(rows):
+    """Groups that lose an edge, all rows, or nothing; new groups, NULL keys and NULL values, an unchanged row."""
+    from starbuild.operators.upkeep import Sums
+
+    schema = "g string, v int"
+    kept = [("a", 5), ("a", 7), ("b", None), (None, 3), ("e", 1)]
+    left = [("a", 1), ("a", 9), ("c", 4), ("b", 2), ("e", 1), ("d", 6)]
+    came = [("a", 6), ("f", None), (None, 8), ("d", 6)]
+    amount = "cast(coalesce(v, 0) AS decimal(9,2))"
+    sums = Sums(("g",), ("g", "v"), {"total": amount, "known": "if(v IS NULL, 0L, 1L)"}, {"v": "cast(v AS decimal(9,2))"})
+    before, after = rows(kept + left, schema), rows(kept + came, schema)
+    changes = rows([(*r, -1) for r in left] + [(*r, 1) for r in came], schema + ", _sign int")
+    got = sums.kept_up(sums.of(before), changes, after)
+    want = sums.of(after)
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    nothing = sums.kept_up(sums.of(before), changes.limit(0), before)
+    assert sorted(map(str, nothing.collect())) == sorted(map(str, sums.of(before).collect()))
+    plain = Sums(("g",), ("g", "v"), {"total": amount})
+    assert sorted(map(str, plain.kept_up(plain.of(before), changes, after).collect())) == sorted(map(str, plain.of(after).collect()))
+
+
+def test_sums_of_untouched_edges_do_not_read_the_rows(rows, spark, monkeypatch):
+    from starbuild.operators.upkeep import Sums
+
+    schema = "g string, v int"
+    sums = Sums(("g",), ("g", "v"), {"total": "v"}, {"v": "v"})
+    stored = sums.of(rows([("a", 1), ("a", 2), ("a", 3)], schema))
+    changes = rows([("a", 2, -1), ("b", 2, 1)], schema + ", _sign int")
+    unread = spark.range(1).selectExpr("cast(raise_error('read') AS string) AS g", "1 AS v")
+    got = {r.g: (r["rows"], r.total, r.v_min, r.v_max) for r in sums.kept_up(stored, changes, unread).collect()}
+    assert got == {"a": (2, 4, 1, 3), "b": (1, 2, 2, 2)}

@@ -288,3 +288,80 @@ def test_staged_tables_live_in_the_shared_folder(spark):
 
 def test_session_is_reused(spark):
     assert session.get_session() is spark
+
+
+def test_sweep_leaves_pinned_versions_and_folders_at_work(spark, tmp_path):
+    import datetime as dt
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    state = lambda n: spark.range(4).selectExpr("id", "id % 2 AS part", f"{n} AS state")
+    lake.overwrite(state(1), "gold", "t", ["part"], lambda _, v: lake.write_note(spark.range(v), "kept", "gold", "t", v))
+    for n in (2, 3, 4):
+        lake.write_note(spark.range(n), "kept", "gold", "t", n)
+        lake.write_note(spark.range(n), "other", "gold", "t", n)
+        lake.replace_partitions(state(n).where("part = 1"), "gold", "t", ["part"])
+    at_work = lake._write_parts(state(9), "gold", "t", ["part"])  # of a writer that has no map yet
+    reader = lake.read("gold", "t", version=2)
+    with lake.pin("gold", "t", 2) as held:
+        assert held == 2 and lake.sweep("gold", "t", 1, ["kept"]) == [1, 3]
+        assert lake.versions("gold", "t") == [2, 4]
+        assert sorted((r.id, r.state) for r in reader.collect()) == [(0, 1), (1, 2), (2, 1), (3, 2)]
+        later = dt.datetime.now() + dt.timedelta(hours=25)
+        assert lake.pinned("gold", "t") == {2} and lake.pinned("gold", "t", later) == set()
+    assert lake.read_notes("kept", "gold", "t").count() == 10 and lake.read_notes("other", "gold", "t", 1) is None
+    assert lake.sweep("gold", "t") == [2] and lake.sweep("gold", "t") == []
+    assert sorted((r.id, r.state) for r in lake.read("gold", "t").collect()) == [(0, 1), (1, 4), (2, 1), (3, 4)]
+    assert all((tmp_path / "lake" / "gold" / "t" / folder).exists() for folder in at_work.values())
+    with pytest.raises(ValueError, match="no such table version"), lake.pin("gold", "t", 2):
+        pass
+    with pytest.raises(ValueError, match="always kept"):
+        lake.sweep("gold", "t", 0)
+    assert not list((tmp_path / "lake" / "pins" / "gold.t").glob("[0-9]*"))
+
+
+def test_a_stopped_sweep_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for n in range(3):
+        lake.overwrite(spark.range(n + 1), "silver", "t", [])
+    delete, done = Lake._delete, []
+
+    def stops(self, path):
+        if "/data/" in path:
+            raise RuntimeError("stopped")
+        done.append(path)
+        delete(self, path)
+
+    monkeypatch.setattr(Lake, "_delete", stops)
+    with pytest.raises(RuntimeError):
+        lake.sweep("silver", "t")
+    assert lake.versions("silver", "t") == [3] and done
+    monkeypatch.setattr(Lake, "_delete", delete)
+    assert lake.sweep("silver", "t") == [1, 2] and lake.read("silver", "t").count() == 3
+    assert len(list((tmp_path / "lake" / "silver" / "t" / "data").glob("*/__part=*"))) == 1
+    assert lake.next_version("silver", "t") == 4
+
+
+def test_a_reader_that_pins_while_a_sweep_hides_the_version_keeps_it(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.overwrite(spark.range(1), "silver", "t")
+    lake.overwrite(spark.range(2), "silver", "t")
+    delete, pins = Lake._delete, []
+
+    def pinned_meanwhile(self, path):
+        if path.endswith("version=1/_SUCCESS") and not pins:
+            pins.append(lake.pin("silver", "t", 1))
+            pins[0].__enter__()
+        delete(self, path)
+
+    monkeypatch.setattr(Lake, "_delete", pinned_meanwhile)
+    assert lake.sweep("silver", "t") == [] and lake.read("silver", "t", version=1).count() == 1
+    pins[0].__exit__(None, None, None)
+    assert lake.sweep("silver", "t") == [1]
+
+
+def test_a_note_of_a_stopped_attempt_does_not_count(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.overwrite(spark.range(1), "silver", "t", [])
+    lake.write_note(spark.range(1), "ledger", "silver", "t", 2)  # and then the attempt stopped
+    lake.overwrite(spark.range(2), "silver", "t", [], lambda _, v: lake.drop_note("ledger", "silver", "t", v))
+    assert lake.read_notes("ledger", "silver", "t", 1) is None
