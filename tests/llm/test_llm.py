@@ -292,6 +292,35 @@ def test_shards_keep_groups_together(spark, empty):
     assert sharding.balanced_shards(empty).count() == 0
 
 
+@pytest.mark.parametrize("singles", [0, 300])
+def test_shards_exchange_pairs(spark, singles):
+    """Nearly all rows linked, so there is no room: exchanges bring the pairs together."""
+    docs = spark.range(8000 + singles).selectExpr("id AS doc_id", "CASE WHEN id < 8000 THEN concat('p', id div 2) ELSE concat('x', id) END AS text")
+    rows = sharding.balanced_shards(docs).collect()
+    size, where = Counter(r.shard for r in rows), defaultdict(set)
+    for r in rows:
+        if r.id < 8000:
+            where[r.id // 2].add(r.shard)
+    assert max(size.values()) - min(size.values()) <= 1 and len(size) == 16
+    assert sum(len(s) > 1 for s in where.values()) < 40  # of 4000
+
+
+def test_met_wishes():
+    met = sharding.met_wishes({(0, 1): 5, (1, 0): 3, (1, 2): 4, (2, 0): 1}, {0: 0, 1: 0, 2: 0})
+    assert met == {(0, 1): 4, (1, 0): 3, (1, 2): 1, (2, 0): 1}  # an exchange and a cycle of three
+    met = sharding.met_wishes({(0, 1): 5, (1, 2): 4}, {0: 0, 1: 0, 2: 3})
+    assert met == {(0, 1): 3, (1, 2): 3}  # a chain into free room
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        wishes = {(i, j): int(rng.integers(1, 50)) for i in range(8) for j in range(8) if i != j and rng.random() < 0.6}
+        room = {j: int(rng.integers(0, 20)) for j in range(8)}
+        met = sharding.met_wishes(wishes, room)
+        assert all(0 <= met[e] <= wishes[e] for e in wishes)
+        for j in range(8):
+            assert sum(n for (_, t), n in met.items() if t == j) - sum(n for (f, _), n in met.items() if f == j) <= room[j] + 1e-9
+        assert sharding.met_wishes(wishes, dict.fromkeys(room, 10**6)) == wishes
+
+
 # -- repeated passages ----------------------------------------------------------
 
 
