@@ -509,6 +509,44 @@ def test_names_silence_no_content():
     assert tag_paths.main_text(math) == f"{LONG} So x=1 holds."
 
 
+def test_reader_comments_go_whatever_their_length():
+    thread = "".join(f"<p>{LONG}</p>" for _ in range(30))
+    items = "".join(f"<article class='comment'><p>{LONG}</p></article>" for _ in range(30))
+    for page in (
+        f"<main><h1>T</h1><p>{LONG}</p><div class='comments'>{thread}</div></main>",
+        f"<article><h1>T</h1><p>{LONG}</p></article><section id='comments'>{items}</section>",
+        f"<article><h1>T</h1><p>{LONG}</p></article>{items}",
+        f"<article><h1>T</h1><p>{LONG}</p><div class='post-comments'>{thread}</div></article>",
+        f"<article><h1>T</h1><p>{LONG}</p></article><div id='user-comments'><article>{thread}</article></div>",
+    ):
+        assert tag_paths.main_text(page).split("\n\n") == ["T", LONG]
+    plain = f"<div class='text'><h1>T</h1>{thread}</div><div class='site-footer'><p>Our address, and more.</p></div>"
+    assert tag_paths.main_text(plain).split("\n\n") == ["T", *[LONG] * 30]
+
+
+@pytest.mark.parametrize("piece", ["<div>x", "<b>x<p>y", "<div>x</i>", "<span class='a'>x", "<table><tr><td>x<p>", "<p>x</p></ul>", "<section id=comments>x"])
+def test_work_is_linear_in_the_page(piece):
+    import time
+
+    def took(n):
+        begun = time.perf_counter()
+        assert "x" in tag_paths.main_text(piece * n)
+        return time.perf_counter() - begun
+
+    took(100)
+    assert took(40_000) < 5 and took(40_000) < 40 * max(took(4_000), 0.01)
+
+
+def test_extract_on_hostile_columns(spark):
+    page = f"<article><p>{LONG}</p></article>"
+    pages = spark.createDataFrame([(1, page, "old", "r"), (1, page, "old", "r"), (2, None, None, None)], "page_id long, html string, text string, row string")
+    out = tag_paths.extract(pages)
+    assert out.columns == ["page_id", "row", "text"]
+    assert Counter(map(tuple, out.collect())) == {(1, "r", LONG): 2, (2, None, ""): 1}
+    long = f"<article>{'<p>' + LONG + '</p>'}" + f"<p>{LONG}</p>" * 20_000
+    assert len(tag_paths.main_text(long).split("\n\n")) == 20_001
+
+
 def test_root_holds_all_content():
     body = "".join(f"<p>{LONG}</p>" for _ in range(12))
     many = [LONG] * 12
@@ -665,6 +703,14 @@ def test_mixing(sample, hostile, empty, spark):
     assert mixing.mixed(empty).count() == 0
 
 
+def test_mixing_query_with_clashing_columns(spark, sample, tmp_path):
+    sample.selectExpr("*", "'a' AS rate", "'b' AS copies", "'c' AS copy", "'d' AS Place", "'e' AS k").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op9_poisson_mixing(spark, str(tmp_path))
+    want = mixing.replicate(sample).select("row.doc_id", "rate", "copies", "copy", "place")
+    assert got.columns == [*sample.columns, "k", "rate", "copies", "copy", "place"]
+    assert Counter(got.select(*want.columns).collect()) == Counter(want.collect())
+
+
 def test_mixing_meets_its_target(spark):
     docs = spark.range(20000).selectExpr("id AS doc_id", "'0123456789' AS text", "CASE WHEN id < 200 THEN 'rare' ELSE 'common' END AS source")
     sizes = {r.source: r["count"] for r in mixing.mixed(docs, {"rare": 1.0, "common": 1.0}).groupBy("source").count().collect()}
