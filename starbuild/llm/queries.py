@@ -90,7 +90,11 @@ def op8_cotraining(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_poisson_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.replicate(_table(spark, folder, "documents")).select("row.*", "rate", "copies", "copy", "place")
+    docs = _table(spark, folder, "documents")
+    drawn = ["rate", "copies", "copy", "place"]
+    # a column of the table that is named like one of these gives way to it
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in drawn]
+    return mixing.replicate(docs).select(*kept, *drawn)
 
 
 def op10_content_sort(spark: SparkSession, folder: str) -> DataFrame:
