@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 from starbuild.llm.common import packed
 
 ROUNDS = 10
-#: For tests and the registered query; give your own.
-KEY = b"pseudonym key, replace it"
 
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 KEY_SYMBOLS = UPPER + DIGITS
@@ -245,7 +243,7 @@ _KINDS: dict[str, Callable[[str, bytes], str | None]] = {
 }
 
 
-def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, int]:
+def pseudonymised(text: str, key: bytes) -> tuple[str, int]:
     """The text with its private values replaced, and how many were."""
     if not _MAYBE.search(text):
         return text, 0
@@ -270,8 +268,13 @@ def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, int]:
     return "".join([*out, text[at:]]), found
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -> DataFrame:
-    """The rows as ``row`` with the new ``text`` and ``n_replaced``."""
+def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
+    """The rows as ``row`` with the new ``text`` and ``n_replaced``.
+
+    Whoever has the ``key`` (up to 64 bytes count) can undo the replacement: keep it secret.
+    """
+    if not key:
+        raise ValueError("pseudonyms need a secret key")
 
     @F.arrow_udf("struct<text string, found long>")
     def replaced(texts: pa.Array) -> pa.Array:
