@@ -161,6 +161,28 @@ def new_files(t: Tables):
     return store.read_bronze("raw_orders", ORDERS, columns=["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
 
 
+@query(
+    "ingest_resent_files",
+    "I1 O1",
+    """
+SELECT o_orderkey, o_orderstatus, cast(cast(o_totalprice AS decimal(15,2)) AS double) AS o_totalprice,
+  cast(cast(o_orderdate AS date) AS varchar) AS o_orderdate, run AS _batch_id
+FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 'first' ELSE 'later' END AS run FROM orders
+  UNION ALL SELECT * REPLACE ('Z' AS o_orderstatus), 'later' FROM orders WHERE o_orderkey % 6 = 0) x""",
+)
+def resent_files(t: Tables):
+    """Rows sent in a first run, sent again in the next ones along with others, some of them corrected."""
+    feed, progress = new_path(t.spark, "feed-stream"), new_path(t.spark, "progress")
+    store = lake.Lake(t.spark, new_path(t.spark, "lake"))
+    rows = layout.to_layout(t.orders, ORDERS)
+    corrected = rows.where("o_orderkey % 6 = 0").withColumn("o_orderstatus", F.lit("Z"))
+    for sent in (rows.where("o_orderkey % 3 = 0"), rows, corrected.unionByName(rows.where("o_orderkey % 3 < 2"))):
+        sent.write.mode("append").option("header", True).csv(feed)
+        ingest_new_files(t.spark, feed, ORDERS, store, "raw_orders", progress, AT, resent_within="1 day")
+    taken = store.read_bronze("raw_orders", ORDERS, columns=["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "_batch_id"])
+    return taken.withColumn("_batch_id", F.when(F.col("_batch_id") == "stream_00000000", "first").otherwise("later"))
+
+
 _FORMATS = {"students": "parquet", "tuition": "json", "semesters": "json"}
 _GROUPS = "(SELECT DISTINCT {} FROM {}) x"
 _ACADEMIC = "f_enrollment f LEFT JOIN g_student s ON f.student_key = s.student_key"
@@ -200,6 +222,8 @@ def _fact_job(name: str, silver: str, facts: str) -> str:
                 _job("gold.dim_student", "g_student"),
                 _fact_job("gold.fact_enrollment", "s_enrollments", "f_enrollment"),
                 _fact_job("gold.fact_tuition", "s_tuition", "f_tuition"),
+                _job("gold.sums_enrollment", _GROUPS.format("semester_key, student_key", "f_enrollment")),
+                _job("gold.sums_tuition", _GROUPS.format("semester_key, student_key", "f_tuition")),
                 _job(
                     "gold.agg_academic_performance_semester", _GROUPS.format("semester_key, department_key", _ACADEMIC)
                 ),

@@ -1,6 +1,7 @@
 """Readers, the lake, JDBC options and the incremental file ingest."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -231,6 +232,26 @@ def test_new_files_only(spark, tmp_path):
     ]
 
 
+def test_resent_rows_are_taken_once(spark, tmp_path):
+    lake, feed = Lake(spark, str(tmp_path / "lake")), tmp_path / "feed"
+
+    def run():
+        before = [] if not feed_runs else lake.read_bronze("t", SCHEMA).collect()
+        ingest_new_files(spark, str(feed), SCHEMA, lake, "t", str(tmp_path / "progress"), "2024-01-01 00:00:00", "2 days")
+        feed_runs.append(1)
+        now = lake.read_bronze("t", SCHEMA).collect()
+        return [(r.id, r.name) for r in (Counter(now) - Counter(before)).elements()]
+
+    feed_runs, head = [], "id,name,score,day\n"
+    write(feed / "a.csv", head + "1,a,1.0,2020-01-01\n2,,1.0,1990-01-01\n,x,bad,\n")
+    assert sorted(map(str, run())) == sorted(map(str, [(1, "a"), (2, None), (None, "x")]))
+    # again with one more row, and one that differs in text that does not parse
+    write(feed / "b.csv", head + "1,a,1.0,2020-01-01\n,x,bad,\n,x,worse,\n3,c,1.0,1970-01-01\n")
+    assert sorted(map(str, run())) == sorted(map(str, [(3, "c"), (None, "x")]))
+    write(feed / "c.csv", head + "1,a,1.0,2020-01-01\n2,,1.0,1990-01-01\n")
+    assert run() == []
+
+
 def test_database_feed(spark, monkeypatch):
     """The rows come typed and stamped; a missing column is an error.  The scan itself needs a server and is replaced."""
     source = spark.sql("SELECT '7' AS id, 'x' AS name, 'unused' AS more UNION ALL SELECT 'bad', NULL, ''")
