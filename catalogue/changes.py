@@ -13,7 +13,7 @@ from catalogue.registry import Tables, cte, query, with_ctes
 from catalogue.standins import DAYS, STAMP
 from catalogue.warehouse import courses, semesters, silver, students
 from starbuild.operators import dedup, keys, lookup, merge, scd2
-from starbuild.operators.staging import new_path
+from starbuild.operators.staging import new_path, stage
 from starbuild.plans import university as uni
 from starbuild.sources.lake import Lake
 
@@ -356,10 +356,12 @@ FROM f_enrollment""",
 )
 def fact_enrollment_incremental(t: Tables):
     """Facts loaded up to the end of 1999, then merged with the enrolments dated later."""
+    # silver and the first load are tables, which the merge reads several times
     enrollments = silver(t, "enrollments").withColumn("updated_at", F.col("enrollment_date").cast("timestamp"))
+    enrollments = stage(enrollments.drop("validation_errors", "created_at"), "silver-enrollments")
     dims = students(t), courses(t), semesters(t)
     early = enrollments.where(F.col("enrollment_date") < F.lit("2000-01-01").cast("date"))
-    loaded = uni.fact_enrollment(early, *dims, days=DAYS, stamp="1999-12-31 00:00:00")
+    loaded = stage(uni.fact_enrollment(early, *dims, days=DAYS, stamp="1999-12-31 00:00:00"), "loaded-facts")
     corrected = enrollments.withColumn("total_score", F.col("total_score") / 2)
     merged = uni.fact_enrollment_merged(loaded, corrected, *dims, days=DAYS, stamp=STAMP)
     return merged.select("enrollment_id", "student_key", "course_key", "semester_key", "total_score", "created_at")

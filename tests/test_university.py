@@ -431,3 +431,45 @@ def test_hostile_enrollments(spark, rows):
     assert out["E2"].enrollment_date is None and out["E2"].gpa_points is None and out["E2"].attendance_rate == 75
     assert not out["E3"].is_valid and out["E3"].validation_errors == ["Missing student_id"]
     assert out["E4"].gpa_points == 0 and out["E4"].attendance_rate is None
+
+
+def test_merged_facts_read_the_enrolments_once(spark, rows):
+    """New, changed, late, invalid and id-less enrolments; each row of the source is computed one time."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(score):
+        read.add(1)
+        return score
+
+    then, now = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+    silver = rows(
+        [
+            ("kept", "S1", "C1", then, 5.0, True), ("changed", "S1", "C1", now, 6.0, True), ("left", "S1", "C1", now, 7.0, False),
+            ("late", "S1", "C1", then, 8.0, True), ("new", "S1", "C1", now, 9.0, True), ("unknown", "S2", "C1", now, 1.0, True),
+            ("unstamped", "S1", "C1", None, 2.0, True), (None, "S1", "C1", then, 3.0, True),
+        ],
+        "enrollment_id string, student_id string, course_id string, updated_at string, total_score double, is_valid boolean",
+    ).withColumns(
+        {
+            "updated_at": F.col("updated_at").cast("timestamp"),
+            "total_score": F.udf(counted, "double").asNondeterministic()("total_score").cast("decimal(5,2)"),
+            "semester_id": F.lit("T1"),
+            "enrollment_date": F.lit("2024-01-01").cast("date"),
+            **{c: F.lit(None).cast("decimal(5,2)") for c in ("midterm_score", "final_score", "gpa_points", "attendance_rate")},
+            **{c: F.lit(None).cast("string") for c in ("grade_letter", "status")},
+            **{c: F.lit(1) for c in ("attendance_count", "absence_count")},
+        }
+    )
+    students = rows([("S1", 1, True)], "student_id string, student_key bigint, is_current boolean")
+    courses, semesters = rows([("C1", 1)], "course_id string, course_key bigint"), rows([("T1", 1)], "semester_id string, semester_key bigint")
+    loaded = uni.fact_enrollment(silver.withColumn("is_valid", F.lit(True)), students, courses, semesters, stamp="2024-01-15 00:00:00")
+    loaded = loaded.where("enrollment_id IN ('kept', 'changed', 'left', 'unstamped')").withColumn("total_score", F.lit(0).cast("decimal(5,2)"))
+    loaded = rows(loaded.collect(), loaded.schema)
+    before = read.value
+    merged = uni.fact_enrollment_merged(loaded, silver, students, courses, semesters, stamp=now)
+    found = sorted((r.enrollment_id or "", float(r.total_score)) for r in merged.collect())
+    assert found == [("", 3.0), ("changed", 6.0), ("kept", 0.0), ("late", 8.0), ("new", 9.0), ("unstamped", 0.0)]
+    assert read.value - before == silver.count()
+    again = silver.where("enrollment_id = 'new'")
+    with pytest.raises(Exception, match="more than one row"):
+        uni.fact_enrollment_merged(loaded, silver.union(again), students, courses, semesters, stamp=now).collect()
