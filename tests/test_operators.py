@@ -469,3 +469,12 @@ def test_sums_of_untouched_edges_do_not_read_the_rows(rows, spark, monkeypatch):
     unread = spark.range(1).selectExpr("cast(raise_error('read') AS string) AS g", "1 AS v")
     got = {r.g: (r["rows"], r.total, r.v_min, r.v_max) for r in sums.kept_up(stored, changes, unread).collect()}
     assert got == {"a": (2, 4, 1, 3), "b": (1, 2, 2, 2)}
+
+
+def test_changes_move_only_the_compared_columns_of_earlier_rows(spark, tmp_path):
+    spark.range(4).selectExpr("id AS k", "id AS v", "'x' AS carried_along").write.parquet(str(tmp_path / "before"))
+    before = spark.read.parquet(str(tmp_path / "before"))
+    after = before.select("k", (F.col("v") * 2).alias("v"))
+    found = ledger.changes(before, after, ["k"], ["v"], F.lit("p"))
+    assert "carried_along" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.k, r.change) for r in found.collect()) == [(1, "changed"), (2, "changed"), (3, "changed")]
