@@ -478,3 +478,28 @@ def test_changes_move_only_the_compared_columns_of_earlier_rows(spark, tmp_path)
     found = ledger.changes(before, after, ["k"], ["v"], F.lit("p"))
     assert "carried_along" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.k, r.change) for r in found.collect()) == [(1, "changed"), (2, "changed"), (3, "changed")]
+
+
+def test_whole_changes_shuffle_each_side_once(spark, tmp_path):
+    """Against all rows there are: new, changed, removed and unchanged ones, and rows without a key, which all stay."""
+    schema = "id string, v string, part int, at int"
+    before = [("1", "a", 1, 5), ("2", "a", 1, 5), ("3", None, 1, 5), ("4", "a", 1, 5), (None, "q", 1, 5)]
+    raw = [("1", "b", 2, 4), ("1", "a", 2, 3), ("2", "a", 1, 6), ("3", None, 1, 9), ("6", "n", 3, 1), (None, "z", 1, 9), (None, "z", 1, 9)]
+    for name, data in (("before", before), ("raw", raw)):
+        spark.createDataFrame(data, schema).repartition(2).write.parquet(str(tmp_path / name))
+    read = spark.read.parquet
+    after = dedup.keep_latest(read(str(tmp_path / "raw")).select("*", row_id()), ["id"], ["at"], row_id=["_row"], with_apart=True).drop("_row")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = ledger.whole_changes(read(str(tmp_path / "before")), after, ["id"], ["v", "part"], F.col("part").cast("string"), "at")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = [(r.id or "", r.change, r.part_before, r.part_after, tuple(r.row or ()), r.latest) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert plan.count("Exchange hashpartitioning") == 2 and "FullOuter" in plan
+    assert sorted(got, key=str) == [
+        ("", None, None, "1", (None, "z", 1, 9), 9), ("", None, None, "1", (None, "z", 1, 9), 9),
+        ("1", "changed", "1", "2", ("1", "b", 2, 4), 4), ("2", None, "1", "1", ("2", "a", 1, 5), 6),
+        ("3", None, "1", "1", ("3", None, 1, 5), 9), ("4", "removed", "1", None, (), None), ("6", "new", None, "3", ("6", "n", 3, 1), 1),
+    ]

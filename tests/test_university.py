@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starbuild.operators import scd2
 from starbuild.operators.quality import QualityGateError
 from starbuild.plans import university as uni
+from starbuild.plans import warehouse as plans
 from starbuild.plans.warehouse import EntityErrors, Warehouse
 
 DAY = dt.datetime(2025, 1, 1, 2, 0, 0)
@@ -487,3 +488,30 @@ def test_a_window_that_holds_all_batches_is_cleansed_once(spark, tmp_path, monke
         run.build_silver(["enrollments"], recent_days=1)
         assert len(passes) == 1
         assert {str(r.total_score) for r in run.silver("enrollments").collect()} == {score}
+
+
+def test_a_window_that_holds_all_batches_is_paired_with_silver_once(spark, tmp_path, monkeypatch):
+    """A repeated batch that corrects, leaves out and adds rows, some without an id: one staged table, the rows of a whole build."""
+    rows, lake, staged = feed.enrollments()[:4], str(tmp_path / "lake"), []
+    original = plans.stage
+    monkeypatch.setattr(plans, "stage", lambda df, label, *more: staged.append(label) or original(df, label, *more))
+    loose = dict(rows[3], enrollment_id="", total_score="5.00")
+    sent = [
+        [*rows[:3], loose],
+        [dict(rows[0], total_score="2.00"), dict(rows[3], total_score="2.00"), loose, loose],
+        [dict(rows[1], total_score="3.00"), rows[0], loose],
+    ]
+    for n, (hours, enrollments) in enumerate(zip((0, 6, 6), sent)):
+        run = Warehouse(spark, lake, DAY + dt.timedelta(hours=hours), gate=False)
+        run.build_bronze({"enrollments": feed.write_feeds(tmp_path / str(n), enrollments=enrollments)["enrollments"]})
+        staged.clear()
+        run.build_silver(["enrollments"], recent_days=1)
+        assert staged == ([] if n == 0 else ["pairs-enrollments"])
+    content = lambda: sorted(map(str, run.silver("enrollments").drop("created_at", "updated_at").collect()))
+    stamps = {r.enrollment_id: r.updated_at for r in run.silver("enrollments").collect()}
+    incremental, ledger = content(), run.lake.read_notes("ledger", "silver", "stg_enrollments", 2)
+    ids = [r["enrollment_id"] for r in rows]
+    assert {(r.enrollment_id, r.change) for r in ledger.collect()} == {(ids[0], "changed"), (ids[1], "changed"), (ids[3], "removed")}
+    assert stamps[ids[2]] == DAY and stamps[ids[1]] == DAY + dt.timedelta(hours=6)  # an unchanged row keeps its stamps
+    run.build_silver(["enrollments"])
+    assert content() == incremental and len(incremental) == 5
