@@ -1,12 +1,14 @@
 """Readers, the lake, JDBC options and the incremental file ingest."""
 
 import datetime as dt
+import os
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as contract
 from starbuild import session
 from starbuild.operators import layout, merge, staging
 from starbuild.plans.specs import DAY, INT, SCORE, TEXT, fields
@@ -386,3 +388,15 @@ def test_a_note_of_a_stopped_attempt_does_not_count(spark, tmp_path):
     lake.write_note(spark.range(1), "ledger", "silver", "t", 2)  # and then the attempt stopped
     lake.overwrite(spark.range(2), "silver", "t", [], lambda _, v: lake.drop_note("ledger", "silver", "t", v))
     assert lake.read_notes("ledger", "silver", "t", 1) is None
+
+
+def test_text_feeds_are_compressed_and_read_as_written(spark):
+    contract.queries()  # loads the catalogue in its order
+    from catalogue import feeds
+
+    rows = spark.range(3).selectExpr("cast(id AS string) AS transaction_id", "'a,b' AS semester_id")
+    schema = fields(("transaction_id semester_id", TEXT))
+    for name, suffix in (("tuition", "json.gz"), ("enrollments", "csv.gz"), ("students", "parquet")):
+        path, kind = feeds._written(rows, name)
+        assert all(f.endswith(suffix) for f in os.listdir(path) if f.startswith("part-"))
+        assert files.read_source(spark, path, schema, kind).orderBy("transaction_id").collect() == rows.collect()
